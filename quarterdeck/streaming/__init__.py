@@ -1,0 +1 @@
+"""Empty on purpose: every job in the inventory reads finite files, none reads a stream."""
