@@ -75,25 +75,20 @@ def max_activity(requested: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def activity_signals(requested: DataFrame, log: DataFrame, as_of: dt.date | Column, rules: ActivityRules) -> DataFrame:
-    """Engagement and gap of every requested deal; a deal without activity scores 0 with a gap."""
+    """``requested`` with engagement and gap; a deal without activity scores 0 with a gap."""
     today = as_of if isinstance(as_of, Column) else F.lit(as_of)
     counts = activity_counts(log)
-    joined = requested.select("deal_id").join(counts, "deal_id", "left")
-    days = F.datediff(today, F.col("last_activity_date"))
     known = F.col("activity_count").isNotNull()
-    return (
-        joined.withColumn("max_count", max_activity(requested, counts).scalar())
-        .withColumn("days_since_last", days)
-        .select(
-            "deal_id",
-            F.when(
-                known, engagement(F.col("days_since_last"), F.col("activity_count"), F.col("max_count"), rules)
-            )
-            .otherwise(F.lit(0.0))
-            .alias("engagement_score"),
-            F.when(known, F.col("days_since_last") > rules.gap_days).otherwise(F.lit(True)).alias("activity_gap_flag"),
-            "last_activity_date",
-            "days_since_last",
-            F.coalesce("activity_count", F.lit(0).cast("long")).alias("activity_count"),
-        )
+    score = engagement(F.col("days_since_last"), F.col("activity_count"), F.col("_max_count"), rules)
+    joined = (
+        requested.join(counts, "deal_id", "left")
+        .withColumn("_max_count", max_activity(requested, counts).scalar())
+        .withColumn("days_since_last", F.datediff(today, F.col("last_activity_date")))
     )
+    return joined.withColumns(
+        {
+            "engagement_score": F.when(known, score).otherwise(F.lit(0.0)),
+            "activity_gap_flag": F.coalesce(F.col("days_since_last") > rules.gap_days, F.lit(True)),
+            "activity_count": F.coalesce("activity_count", F.lit(0).cast("long")),
+        }
+    ).drop("_max_count")

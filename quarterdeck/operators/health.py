@@ -11,25 +11,26 @@ from quarterdeck.operators.guardrails import redact_pii
 from quarterdeck.params import PII_KINDS, HealthRules
 
 
-def assemble_deals(
-    deals: DataFrame,
-    activity: DataFrame,
-    sentiment: DataFrame,
-    context: DataFrame,
-    rules: HealthRules,
-    pii_kinds: tuple[str, ...] = PII_KINDS,
-) -> DataFrame:
-    """One row per deal with health, slip risk, hand-off flag and redacted context.
-
-    Signals may be missing: no activity counts as engagement 0 with a gap, no
-    sentiment as neutral, no context as empty text.  Signal columns themselves stay
-    null then.
+# Signal columns and their types, for runs in which a signal is not available.
+SIGNALS = {
+    "engagement_score": "double",
+    "activity_gap_flag": "boolean",
+    "sentiment_score": "double",
+    "tone_trajectory": "double",
+    "sentiment_decline_flag": "boolean",
+    "retrieval_ok": "boolean",
+    "context_block": "string",
+}
+
+
+def score_health(deals: DataFrame, rules: HealthRules, pii_kinds: tuple[str, ...] = PII_KINDS) -> DataFrame:
+    """Health, slip risk, hand-off flag and redacted context beside the signal columns.
+
+    Any signal may be absent or null: no activity counts as engagement 0 with a
+    gap, no sentiment as neutral, no context as empty text.
     """
-    joined = (
-        deals.join(activity, "deal_id", "left")
-        .join(sentiment, "deal_id", "left")
-        .join(context.select("deal_id", "retrieval_ok", "context_block"), "deal_id", "left")
-    )
+    absent = {name: F.lit(None).cast(kind) for name, kind in SIGNALS.items() if name not in deals.columns}
+    joined = deals.withColumns(absent) if absent else deals
     health = deal_health(
         F.coalesce("engagement_score", F.lit(0.0)),
         F.coalesce("sentiment_score", F.lit(0.0)),
@@ -48,6 +49,25 @@ def assemble_deals(
     )
 
 
+def assemble_deals(
+    deals: DataFrame,
+    activity: DataFrame | None,
+    sentiment: DataFrame | None,
+    context: DataFrame | None,
+    rules: HealthRules,
+    pii_kinds: tuple[str, ...] = PII_KINDS,
+) -> DataFrame:
+    """Signal tables that were computed apart, joined to their deals and scored.
+
+    A missing table, or a deal missing from one, leaves its signals null.
+    """
+    joined = deals
+    for signals in (activity, sentiment, context):
+        if signals is not None:
+            joined = joined.join(signals, "deal_id", "left")
+    return score_health(joined, rules, pii_kinds)
+
+
 def handoffs(scored: DataFrame, rules: HealthRules) -> DataFrame:
     """Deals strictly above the trigger."""
     return scored.filter(F.col("slip_risk_score") > rules.handoff_trigger)

@@ -34,18 +34,19 @@ def positions(
     steps = []
     for depth in range(len(names), 0, -1):
         parent = names[: depth - 1]
-        before = Window.partitionBy(*group, *parent).orderBy(names[depth - 1])
-        running = F.sum("_n").over(before.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        steps.append(level.withColumn(f"_before{depth}", running - F.col("_n")))
-        level = level.groupBy(*group, *parent).agg(F.sum("_n").alias("_n"))
-    starts = steps[-1].drop("_n")
+        ordered = Window.partitionBy(*group, *parent).orderBy(names[depth - 1])
+        running = F.sum("_n").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        found = level.withColumn(f"_before{depth}", running - F.col("_n"))
+        if depth == 1 and total:
+            found = found.withColumn(total, F.sum("_n").over(Window.partitionBy(*group)))
+        steps.append(found.drop("_n"))
+        if depth > 1:
+            level = level.groupBy(*group, *parent).agg(F.sum("_n").alias("_n"))
+    starts = steps[-1]
     for depth in range(2, len(names) + 1):
-        finer = steps[len(names) - depth].drop("_n")
-        starts = finer.join(starts, [*group, *names[: depth - 1]])
+        starts = steps[len(names) - depth].join(starts, [*group, *names[: depth - 1]])
     start = sum((F.col(f"_before{d}") for d in range(1, len(names) + 1)), F.lit(0))
-    starts = starts.select(*group, *names, start.alias("_start"))
-    if total:
-        starts = starts.join(level.withColumnRenamed("_n", total), group)
+    starts = starts.select(*group, *names, start.alias("_start"), *([total] if total else []))
 
     inside = Window.partitionBy(*group, *names).orderBy(*order)
     return (
@@ -62,7 +63,15 @@ def ordinal_blocks(ordinal: str | Column) -> list[Column]:
     return [F.shiftright(value, 40), F.shiftright(value, 20)]
 
 
-def head_per_group(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], n: int) -> DataFrame:
-    """First ``n`` rows of each group; every map task forwards at most ``n`` per group."""
+def head_per_group(
+    df: DataFrame, group: Sequence[str], order: Sequence[str | Column], n: int, rank: str | None = None
+) -> DataFrame:
+    """First ``n`` rows of each group, with their rank from 1 if named.
+
+    Spark limits each group once more before the shuffle, so a map task forwards at
+    most ``n`` rows of a group however large it is.
+    """
     window = Window.partitionBy(*group).orderBy(*order)
-    return df.withColumn("_row", F.row_number().over(window)).filter(F.col("_row") <= n).drop("_row")
+    name = rank or "_row"
+    first = df.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= n)
+    return first if rank else first.drop(name)

@@ -119,8 +119,7 @@ def nearest_chunks(chunks: DataFrame, queries: DataFrame, top_k: int) -> DataFra
     """The ``top_k`` nearest chunks for each deal and query, with ``hit_rank`` from 1."""
     distances = query_distances(chunks, queries)
     order = [F.asc_nulls_last("distance"), F.col("chunk_id")]
-    best = head_per_group(distances, ["deal_id", "query_no"], order, max(top_k, 1))
-    return best.withColumn("hit_rank", F.row_number().over(Window.partitionBy("deal_id", "query_no").orderBy(*order)))
+    return head_per_group(distances, ["deal_id", "query_no"], order, max(top_k, 1), rank="hit_rank")
 
 
 def merge_hits(hits: DataFrame) -> DataFrame:
@@ -153,25 +152,17 @@ def context_blocks(merged: DataFrame) -> DataFrame:
 
 
 def deal_context(requested: DataFrame, chunks: DataFrame, queries: DataFrame, top_k: int) -> DataFrame:
-    """Context block and retrieval status of every requested deal.
+    """``requested`` with the context block and retrieval status of every deal.
 
     Retrieval succeeds for a deal even when it has no chunks; the block is empty then.
     """
-    asked = requested_in(chunks, requested)
-    blocks = context_blocks(merge_hits(nearest_chunks(asked, queries, top_k)))
-    joined = requested.select("deal_id").join(blocks, "deal_id", "left")
-    return joined.select(
-        "deal_id",
-        F.lit(True).alias("retrieval_ok"),
-        F.coalesce("context_block", F.lit("")).alias("context_block"),
+    blocks = context_blocks(merge_hits(nearest_chunks(chunks, queries, top_k)))
+    joined = requested.join(blocks, "deal_id", "left")
+    return joined.withColumn("context_block", F.coalesce("context_block", F.lit(""))).withColumn(
+        "retrieval_ok", F.lit(True)
     )
 
 
-def requested_in(chunks: DataFrame, requested: DataFrame) -> DataFrame:
-    """Chunks of requested deals only."""
-    return salted_join(chunks, requested.select("deal_id").distinct(), ["deal_id"], ["chunk_id"], how="left_semi")
-
-
 def retrieval_outcomes(requested: DataFrame, queries: Sequence[str]) -> DataFrame:
     """Whether each question can be asked of each deal: neither side may be blank."""
     asked = F.array(*(F.struct(F.lit(i).alias("query_no"), F.lit(bool(q.strip())).alias("ok")) for i, q in enumerate(queries)))

@@ -109,12 +109,12 @@ class _Counter:
         self.positive_slots = range(len(positive_phrases))
         self.negative_slots = range(len(positive_phrases), len(self.phrases))
 
-    def columns(self, text: str) -> dict[str, Column]:
-        # A null text counts nothing and adds no join.
-        lowered = F.col(text)
+    def columns(self, lowered: Column) -> dict[str, Column]:
+        """Counts of one row; a null text counts nothing and adds no join."""
+        none = F.lit(0).cast("long")
         counted = {
-            "_pos": F.coalesce(tone.hits(lowered, self.positive), F.lit(0).cast("long")),
-            "_neg": F.coalesce(tone.hits(lowered, self.negative), F.lit(0).cast("long")),
+            "_pos": F.coalesce(tone.hits(lowered, self.positive), none),
+            "_neg": F.coalesce(tone.hits(lowered, self.negative), none),
         }
         if self.phrases:
             counted["_steps"] = tone.row_steps(lowered, self.phrases)
@@ -123,64 +123,79 @@ class _Counter:
     def names(self) -> list[str]:
         return ["_pos", "_neg", *(["_steps"] if self.phrases else [])]
 
-    def merge(self, df: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
-        merged = [F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg")]
+    def merged(self, order: Sequence[str], only: Column | None = None) -> list[Column]:
+        """Aggregates over the rows of a group, in ``order``, where ``only`` holds."""
+        keep = F.lit(True) if only is None else only
+        sums = [F.sum(F.when(keep, F.col(c))).alias(c) for c in ("_pos", "_neg")]
+        if not self.phrases:
+            return sums
+        entry = F.when(keep & F.col("_steps").isNotNull(), F.struct(*order, "_steps"))
+        ordered = F.sort_array(F.collect_list(entry))["_steps"]
+        return [*sums, tone.compose(ordered, self.phrases).alias("_steps")]
+
+    def score(self, counts: Column) -> Column:
+        """Tone score of a struct of merged counts, 0 without any row."""
+        zero = F.lit(0).cast("long")
+        positive, negative = F.coalesce(counts["_pos"], zero), F.coalesce(counts["_neg"], zero)
         if self.phrases:
-            entry = F.when(F.col("_steps").isNotNull(), F.struct(*order, "_steps"))
-            ordered = F.sort_array(F.collect_list(entry))["_steps"]
-            merged.append(tone.compose(ordered, self.phrases).alias("_steps"))
-        return df.groupBy(*group).agg(*merged)
-
-    def score(self) -> Column:
-        positive, negative = F.col("_pos"), F.col("_neg")
-        if self.phrases:
-            positive = positive + tone.phrase_hits(F.col("_steps"), self.positive_slots)
-            negative = negative + tone.phrase_hits(F.col("_steps"), self.negative_slots)
+            positive = positive + tone.phrase_hits(counts["_steps"], self.positive_slots)
+            negative = negative + tone.phrase_hits(counts["_steps"], self.negative_slots)
         return tone.balance(positive, negative)
 
 
-def _call_tone(transcripts: DataFrame, counter: _Counter) -> DataFrame:
+# A block's place in its half: calls by date and number first, then e-mails by ordinal.
+_PLACE = ("source", "day", "block")
+
+
+def _call_blocks(transcripts: DataFrame, counter: _Counter) -> DataFrame:
     turns = (
         buyer_turns(transcripts)
         .filter(F.col("call_num").isNotNull())
         .select(
             strip(F.col("deal_id").cast("string")).alias("deal_id"),
-            F.coalesce("call_date", F.lit("")).alias("call_date"),
+            F.coalesce("call_date", F.lit("")).alias("day"),
             "call_num",
             F.coalesce("turn_num", F.lit(0)).alias("turn_num"),
             "ordinal",
             F.lower("turn_text").alias("_text"),
         )
-        .withColumns(counter.columns("_text"))
+        .withColumns(counter.columns(F.col("_text")))
         .withColumn("turn_block", F.shiftright("turn_num", _TURN_SHIFT))
     )
-    calls = counter.merge(turns, ["deal_id", "call_date", "call_num", "turn_block"], ["turn_num", "ordinal"])
+    calls = turns.groupBy("deal_id", "day", "call_num", "turn_block").agg(*counter.merged(["turn_num", "ordinal"]))
     halves = call_halves(transcripts).select("deal_id", "call_num", F.explode("halves").alias("half"))
     split = calls.join(halves, ["deal_id", "call_num"]).withColumn(
-        "call_block", F.shiftright("call_num", _CALL_SHIFT)
+        "block", F.shiftright("call_num", _CALL_SHIFT).cast("long")
     )
-    blocks = counter.merge(split, ["deal_id", "half", "call_date", "call_block"], ["call_num", "turn_block"])
-    return counter.merge(blocks, ["deal_id", "half"], ["call_date", "call_block"])
+    blocks = split.groupBy("deal_id", "half", "day", "block").agg(*counter.merged(["call_num", "turn_block"]))
+    return blocks.withColumn("source", F.lit(0))
 
 
-def _email_tone(emails: DataFrame, transcripts: DataFrame, counter: _Counter) -> DataFrame:
+def _email_blocks(emails: DataFrame, transcripts: DataFrame, counter: _Counter) -> DataFrame:
     counted = (
         emails.withColumn("_text", F.lower("body"))
-        .withColumns(counter.columns("_text"))
+        .withColumns(counter.columns(F.col("_text")))
         .select("deal_id", "timestamp", "ordinal", *counter.names())
     )
-    split = email_halves(counted, transcripts).withColumn("email_block", F.shiftright("ordinal", _EMAIL_SHIFT))
-    blocks = counter.merge(split, ["deal_id", "half", "email_block"], ["ordinal"])
-    return counter.merge(blocks, ["deal_id", "half"], ["email_block"])
+    split = email_halves(counted, transcripts).withColumn(
+        "block", F.shiftright(F.col("ordinal").cast("long"), _EMAIL_SHIFT)
+    )
+    blocks = split.groupBy("deal_id", "half", "block").agg(*counter.merged(["ordinal"]))
+    return blocks.withColumns({"source": F.lit(1), "day": F.lit("")})
 
 
 def half_scores(transcripts: DataFrame, emails: DataFrame, rules: ToneRules) -> DataFrame:
-    """Tone score of each deal and half that has any text: calls first, then e-mails."""
+    """Early and late tone score of every deal with any text."""
     counter = _Counter(rules)
-    calls = _call_tone(transcripts, counter).withColumn("_source", F.lit(0))
-    mails = _email_tone(emails, transcripts, counter).withColumn("_source", F.lit(1))
-    both = counter.merge(calls.unionByName(mails), ["deal_id", "half"], ["_source"])
-    return both.select("deal_id", "half", counter.score().alias("score"))
+    blocks = _call_blocks(transcripts, counter).unionByName(_email_blocks(emails, transcripts, counter))
+    merged = blocks.groupBy("deal_id").agg(
+        *(F.struct(*counter.merged(_PLACE, F.col("half") == half)).alias(half) for half in (EARLY, LATE))
+    )
+    return merged.select(
+        "deal_id",
+        counter.score(F.col(EARLY)).alias("early_score"),
+        counter.score(F.col(LATE)).alias("late_score"),
+    )
 
 
 def signal_span(transcripts: DataFrame, emails: DataFrame) -> DataFrame:
@@ -213,31 +228,22 @@ def signal_span(transcripts: DataFrame, emails: DataFrame) -> DataFrame:
 
 
 def deal_sentiment(requested: DataFrame, transcripts: DataFrame, emails: DataFrame, rules: ToneRules) -> DataFrame:
-    """Late score, trajectory, decline flag and signal span of every requested deal."""
+    """``requested`` with late score, trajectory, decline flag and signal span."""
     require_columns(transcripts, [*TRANSCRIPT_COLUMNS, "ordinal"])
     require_columns(emails, [*EMAIL_COLUMNS, "ordinal"])
-    halves = half_scores(transcripts, emails, rules)
-    pair = halves.groupBy("deal_id").agg(
-        F.max(F.when(F.col("half") == EARLY, F.col("score"))).alias("_early"),
-        F.max(F.when(F.col("half") == LATE, F.col("score"))).alias("_late"),
-    )
-    joined = (
-        requested.select("deal_id")
-        .join(pair, "deal_id", "left")
-        .join(signal_span(transcripts, emails), "deal_id", "left")
+    joined = requested.join(half_scores(transcripts, emails, rules), "deal_id", "left").join(
+        signal_span(transcripts, emails), "deal_id", "left"
     )
     zero = F.lit(0).cast("long")
-    late = F.coalesce("_late", F.lit(0.0))
-    trajectory = late - F.coalesce("_early", F.lit(0.0))
-    return joined.select(
-        "deal_id",
-        late.alias("sentiment_score"),
-        trajectory.alias("tone_trajectory"),
-        (trajectory < rules.decline_threshold).alias("sentiment_decline_flag"),
-        F.lit(2).alias("window_count"),
-        F.coalesce("buyer_turn_count", zero).alias("buyer_turn_count"),
-        F.coalesce("email_count", zero).alias("email_count"),
-        F.coalesce("unplaced_turn_count", zero).alias("unplaced_turn_count"),
-        "first_signal_at",
-        "last_signal_at",
-    )
+    late = F.coalesce("late_score", F.lit(0.0))
+    trajectory = late - F.coalesce("early_score", F.lit(0.0))
+    counts = ("buyer_turn_count", "email_count", "unplaced_turn_count")
+    return joined.withColumns(
+        {
+            "sentiment_score": late,
+            "tone_trajectory": trajectory,
+            "sentiment_decline_flag": trajectory < rules.decline_threshold,
+            "window_count": F.lit(2),
+            **{c: F.coalesce(c, zero) for c in counts},
+        }
+    ).drop("early_score", "late_score")

@@ -55,12 +55,15 @@ def score_deals(
     as_of: dt.date | Column,
     settings: DealSettings = DealSettings(),
 ) -> DataFrame:
-    """Every deal with its signals, scores and redacted context."""
+    """Every deal with its signals, scores and redacted context.
+
+    Signals are added to the deal rows one after the other, all on deal_id.
+    """
     requested = deals.one_row_per_deal(deals.normalize_deals(raw_deals))
-    activity = deals.activity_signals(requested, log, as_of, settings.activity)
-    tone = sentiment.deal_sentiment(requested, transcripts, emails, settings.tone)
-    context = retrieval.deal_context(requested, chunks, queries, settings.retrieval.top_k)
-    return health.assemble_deals(requested, activity, tone, context, settings.health)
+    active = deals.activity_signals(requested, log, as_of, settings.activity)
+    toned = sentiment.deal_sentiment(active, transcripts, emails, settings.tone)
+    told = retrieval.deal_context(toned, chunks, queries, settings.retrieval.top_k)
+    return health.score_health(told, settings.health)
 
 
 def segment_review(

@@ -494,6 +494,13 @@ STATEMENTS = {
                round(deal_health_score, 6) AS deal_health_score, round(slip_risk_score, 6) AS slip_risk_score,
                handoff_triggered, true AS deal_intel_ok, length(coalesce(context_block, '')) AS context_chars
         FROM scored""",
+    "deal_assembly": """
+        SELECT deal_id, round(e.engagement_score, 6) AS engagement_score, e.activity_gap_flag,
+               round(0.40::DOUBLE * coalesce(e.engagement_score, 0) + 0.35::DOUBLE * 0.5
+                     + 0.25::DOUBLE * (CASE WHEN coalesce(e.activity_gap_flag, true) THEN 0 ELSE 1 END), 6)
+                 AS deal_health_score,
+               false AS deal_intel_ok, '' AS rag_summary_redacted
+        FROM requested r LEFT JOIN (SELECT * FROM engaged WHERE activity_count > 0) e USING (deal_id)""",
     "handoffs": "SELECT deal_id, round(slip_risk_score, 6) AS slip_risk_score FROM scored WHERE handoff_triggered",
     "batch_counts": "SELECT count(*) AS scored, count(*) FILTER (handoff_triggered) AS handed_off FROM scored",
     # growth

@@ -291,7 +291,7 @@ def requested_keys(spark, sf):
 
 
 def _requested(spark, sf):
-    return deals.one_row_per_deal(deals.normalize_deals(b.deal_rows(spark, sf)))
+    return deals.one_row_per_deal(deals.normalize_deals(b.deal_rows(spark, sf))).select("deal_id")
 
 
 @query
@@ -485,6 +485,19 @@ def deal_health(spark, sf):
     )
 
 
+@query
+def deal_assembly(spark, sf):
+    """Signal tables built apart from the deals; sentiment and context left out for this run."""
+    rows = deals.one_row_per_deal(deals.normalize_deals(b.deal_rows(spark, sf)))
+    counted = deals.activity_counts(b.activity(spark, sf)).select("deal_id")
+    active = deals.activity_signals(counted, b.activity(spark, sf), b.AS_OF, ActivityRules())
+    scored = health.assemble_deals(rows, active, None, None, HealthRules())
+    kept = scored.select(
+        "deal_id", "engagement_score", "activity_gap_flag", "deal_health_score", "deal_intel_ok", "rag_summary_redacted"
+    )
+    return rounded(kept, "engagement_score", "deal_health_score")
+
+
 @query
 def handoffs(spark, sf):
     due = health.handoffs(deal_scores(spark, sf), HealthRules())
