@@ -60,37 +60,38 @@ def open_lengths(phrase: str) -> list[int]:
     return [0, *(i for i, ch in enumerate(phrase) if ch == " ")]
 
 
-def _step(joined: Column, phrase: str, opened: int) -> Column:
-    marked = F.replace(F.concat(F.lit(phrase[:opened]), joined), F.lit(phrase), F.lit(_CUT))
+def marked(joined: Column, phrase: str, opened: int = 0) -> Column:
+    """The row's text after ``opened`` characters of the phrase, each match replaced by a mark."""
+    return F.replace(F.concat(F.lit(phrase[:opened]), joined) if opened else joined, F.lit(phrase), F.lit(_CUT))
+
+
+def _step(joined: Column, cut: Column, phrase: str, opened: int) -> Column:
     whole = F.octet_length(joined) + F.lit(len(phrase[:opened].encode("utf-8")))
-    found = (whole - F.octet_length(marked)) / F.lit(len(phrase.encode("utf-8")) - 1)
+    found = (whole - F.octet_length(cut)) / F.lit(len(phrase.encode("utf-8")) - 1)
     lengths = open_lengths(phrase)
     left_open = F.lit(0)
     for index in range(1, len(lengths)):
-        left_open = F.when(F.endswith(marked, F.lit(phrase[: lengths[index]])), F.lit(index)).otherwise(left_open)
+        left_open = F.when(F.endswith(cut, F.lit(phrase[: lengths[index]])), F.lit(index)).otherwise(left_open)
     return F.struct(found.cast("long").alias("n"), left_open.alias("to"))
 
 
-def phrase_steps(lowered: Column, phrase: str) -> Column:
-    """One row's table for one phrase: ``array<struct<n, to>>`` indexed by the open amount."""
-    joined = F.concat(F.lit(" "), lowered)
+def phrase_steps(joined: Column, cut: Column, phrase: str) -> Column:
+    """One row's table for one phrase: ``array<struct<n, to>>`` indexed by the open amount.
+
+    ``joined`` is the lower-cased text after a blank and ``cut`` its ``marked`` form.
+    The other entries differ from the first only when the row continues the phrase.
+    """
     lengths = open_lengths(phrase)
-    fresh = _step(joined, phrase, 0)
+    fresh = _step(joined, cut, phrase, 0)
     tails = [phrase[n:] for n in lengths[1:]]
     touches = reduce(
         lambda a, b: a | b,
         (F.startswith(joined, F.lit(t)) | F.startswith(F.lit(t), joined) for t in tails),
     )
-    carried = [F.when(touches, _step(joined, phrase, n)).otherwise(fresh) for n in lengths[1:]]
+    carried = [F.when(touches, _step(joined, marked(joined, phrase, n), phrase, n)).otherwise(fresh) for n in lengths[1:]]
     return F.array(fresh, *carried)
 
 
-def row_steps(lowered: Column, words: Sequence[str]) -> Column:
-    """Tables of all phrases of one row, null for a null text."""
-    tables = F.array(*(phrase_steps(lowered, p) for p in words))
-    return F.when(lowered.isNotNull(), tables)
-
-
 def compose(ordered: Column, words: Sequence[str]) -> Column:
     """Fold an ordered array of tables into one."""
     start = F.array(

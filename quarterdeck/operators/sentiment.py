@@ -109,16 +109,25 @@ class _Counter:
         self.positive_slots = range(len(positive_phrases))
         self.negative_slots = range(len(positive_phrases), len(self.phrases))
 
-    def columns(self, lowered: Column) -> dict[str, Column]:
-        """Counts of one row; a null text counts nothing and adds no join."""
+    def count(self, df: DataFrame, text: str) -> DataFrame:
+        """Adds the counts of each row's text; a null text counts nothing and adds no join.
+
+        The lower-cased and marked texts are columns of their own, so each is made once per row.
+        """
         none = F.lit(0).cast("long")
+        lowered = df.withColumn("_text", F.lower(F.col(text)))
         counted = {
-            "_pos": F.coalesce(tone.hits(lowered, self.positive), none),
-            "_neg": F.coalesce(tone.hits(lowered, self.negative), none),
+            "_pos": F.coalesce(tone.hits(F.col("_text"), self.positive), none),
+            "_neg": F.coalesce(tone.hits(F.col("_text"), self.negative), none),
         }
-        if self.phrases:
-            counted["_steps"] = tone.row_steps(lowered, self.phrases)
-        return counted
+        if not self.phrases:
+            return lowered.withColumns(counted)
+        joined = lowered.withColumn("_joined", F.concat(F.lit(" "), F.col("_text")))
+        cuts = [f"_cut{i}" for i in range(len(self.phrases))]
+        cut = joined.withColumns({c: tone.marked(F.col("_joined"), p) for c, p in zip(cuts, self.phrases, strict=True)})
+        tables = [tone.phrase_steps(F.col("_joined"), F.col(c), p) for c, p in zip(cuts, self.phrases, strict=True)]
+        counted["_steps"] = F.when(F.col("_text").isNotNull(), F.array(*tables))
+        return cut.withColumns(counted).drop("_joined", *cuts)
 
     def names(self) -> list[str]:
         return ["_pos", "_neg", *(["_steps"] if self.phrases else [])]
@@ -156,13 +165,13 @@ def _call_blocks(transcripts: DataFrame, counter: _Counter) -> DataFrame:
             F.coalesce("call_date", F.lit("")).alias("day"),
             "call_num",
             F.coalesce("turn_num", F.lit(0)).alias("turn_num"),
+            F.shiftright(F.coalesce("turn_num", F.lit(0)), _TURN_SHIFT).alias("turn_block"),
             "ordinal",
-            F.lower("turn_text").alias("_text"),
+            "turn_text",
         )
-        .withColumns(counter.columns(F.col("_text")))
-        .withColumn("turn_block", F.shiftright("turn_num", _TURN_SHIFT))
     )
-    calls = turns.groupBy("deal_id", "day", "call_num", "turn_block").agg(*counter.merged(["turn_num", "ordinal"]))
+    counted = counter.count(turns, "turn_text")
+    calls = counted.groupBy("deal_id", "day", "call_num", "turn_block").agg(*counter.merged(["turn_num", "ordinal"]))
     halves = call_halves(transcripts).select("deal_id", "call_num", F.explode("halves").alias("half"))
     split = calls.join(halves, ["deal_id", "call_num"]).withColumn(
         "block", F.shiftright("call_num", _CALL_SHIFT).cast("long")
@@ -172,11 +181,7 @@ def _call_blocks(transcripts: DataFrame, counter: _Counter) -> DataFrame:
 
 
 def _email_blocks(emails: DataFrame, transcripts: DataFrame, counter: _Counter) -> DataFrame:
-    counted = (
-        emails.withColumn("_text", F.lower("body"))
-        .withColumns(counter.columns(F.col("_text")))
-        .select("deal_id", "timestamp", "ordinal", *counter.names())
-    )
+    counted = counter.count(emails, "body").select("deal_id", "timestamp", "ordinal", *counter.names())
     split = email_halves(counted, transcripts).withColumn(
         "block", F.shiftright(F.col("ordinal").cast("long"), _EMAIL_SHIFT)
     )

@@ -40,10 +40,13 @@ BOUNDS = (
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder in the cluster's shared checkpoint folder; a local one only where none is named."""
+    """A fresh folder in the shared checkpoint folder of the cluster; a local one only on one machine."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    root = shared or os.path.join(tempfile.gettempdir(), "quarterdeck")
-    return f"{root}/{name}-{uuid.uuid4().hex}"
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder all executors share")
+        shared = os.path.join(tempfile.gettempdir(), "quarterdeck")
+    return f"{shared}/{name}-{uuid.uuid4().hex}"
 
 
 def staged(spark: SparkSession, sf: str) -> DataFrame:
