@@ -67,7 +67,12 @@ def yes_no(flag: Column) -> Column:
     return F.when(flag, F.lit("True")).when(~flag, F.lit("False")).otherwise(F.lit(""))
 
 
-@F.pandas_udf(T.StringType())
-def two_decimals(score: pd.Series) -> pd.Series:
+def two_decimals(score: str) -> Column:
     """Rounds the binary value (0.175 prints as 0.17); Spark's own formatting rounds the decimal text."""
-    return score.map(lambda x: f"{x:.2f}")
+
+    # Defined here so that workers get it by value and need no copy of this package.
+    @F.pandas_udf(T.StringType())
+    def shown(values: pd.Series) -> pd.Series:
+        return values.map(lambda x: f"{x:.2f}")
+
+    return shown(F.col(score))

@@ -66,30 +66,57 @@ def score_deals(
     return health.score_health(told, settings.health)
 
 
+def deal_review(scored: DataFrame, out: str, query: str, generated: str, settings: DealSettings = DealSettings()) -> dict[str, DataFrame]:
+    """Scores stored once under ``out``; hand-offs, prompts, counts and report read them from there."""
+    stored = writers.write_table(scored, f"{out}/deal_scores")
+    lines = health.report_lines(stored, query, generated)
+    writers.write_report(lines, f"{out}/deal_health_report")
+    return {
+        "scores": stored,
+        "handoffs": health.handoffs(stored, settings.health),
+        "prompts": health.forecast_prompts(stored, settings.health),
+        "counts": health.batch_counts(stored),
+        "report": lines,
+    }
+
+
 def segment_review(
-    opportunities: DataFrame, bookings: DataFrame, benchmarks: DataFrame, rules: ReviewRules = ReviewRules()
+    opportunities: DataFrame,
+    bookings: DataFrame,
+    benchmarks: DataFrame,
+    out: str,
+    rules: ReviewRules = ReviewRules(),
 ) -> dict[str, DataFrame]:
-    """Growth, gaps, losses and context frames; stops on inconsistent ids or thin segments."""
+    """Growth, gaps, losses and context frames; stops on inconsistent ids or thin segments.
+
+    Bookings and opportunities are aggregated once and stored under ``out``; the
+    frames read those small tables.
+    """
     contracts.enforce_same_ids(opportunities, bookings, "opportunity_id")
-    quarterly = growth.quarterly_arr(bookings)
+    quarterly = writers.write_table(growth.quarterly_arr(bookings), f"{out}/quarterly_arr")
     contracts.enforce_coverage(quarterly, rules.segments)
-    return review_frames(opportunities, quarterly, benchmarks, rules)
+    summary = writers.write_table(growth.opportunity_summary(opportunities), f"{out}/opportunity_summary")
+    stats = writers.write_table(comp.competitor_stats(comp.competitor_losses(opportunities)), f"{out}/competitor_stats")
+    return review_frames(quarterly, summary, stats, benchmarks, rules)
 
 
 def review_frames(
-    opportunities: DataFrame, quarterly: DataFrame, benchmarks: DataFrame, rules: ReviewRules
+    quarterly: DataFrame, summary: DataFrame, stats: DataFrame, benchmarks: DataFrame, rules: ReviewRules
 ) -> dict[str, DataFrame]:
-    rates = growth.segment_growth(quarterly.filter(quarterly["segment"].isin(*rules.segments)))
+    """The review from its small tables, for the configured segments."""
+    rates = growth.segment_growth(quarterly.filter(F.col("segment").isin(*rules.segments)))
     asked = growth.segment_source(rates, rules.segments)
     gaps = growth.benchmark_gaps(asked, rates, benchmarks, rules)
-    ranked = comp.rank_competitors(comp.competitor_stats(comp.competitor_losses(opportunities)), rules.top_competitors)
+    ranked = comp.rank_competitors(stats, rules.top_competitors)
     reference = growth.reference_quarters(quarterly, rules.segments)
+    context = growth.segment_context(rates, gaps, summary)
     return {
         "growth": rates,
         "gaps": gaps,
         "competitors": ranked,
         "reference": reference,
-        "context": growth.segment_context(rates, gaps, growth.opportunity_summary(opportunities)),
+        "context": context,
+        "synthesis": growth.synthesis_context(context, reference, ranked, rules),
         "run_log": growth.run_log_row(gaps, reference, rules),
     }
 

@@ -525,7 +525,6 @@ STATEMENTS = {
                || 'Preferred sources: SEC filings, Earnings call transcripts, Industry analyst reports' || chr(10)
                || 'Query focus: ' || segment || ' SaaS ARR growth rate benchmark 2026' AS prompt
         FROM growth""",
-    "segment_context": "SELECT * FROM context",
     "segment_review": "SELECT * FROM context",
     "booking_allocation": f"""
         SELECT opportunity_id, segment, quarter, round(booked_arr * arr / weights, 2) AS booked_arr

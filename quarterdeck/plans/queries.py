@@ -112,10 +112,7 @@ def health_report(spark, sf):
 
 @query
 def run_log(spark, sf):
-    frames = jobs.review_frames(
-        b.opportunities(spark, sf), growth.quarterly_arr(b.bookings(spark, sf)), b.benchmarks(spark, sf), b.REVIEW
-    )
-    row = writers.append_run(frames["run_log"], "", dry_run=True)
+    row = writers.append_run(_review(spark, sf)["run_log"], "", dry_run=True)
     return row.select(
         "reference_quarter",
         "search_year",
@@ -527,14 +524,15 @@ def _quarterly(spark, sf):
     return growth.quarterly_arr(b.bookings(spark, sf))
 
 
-def _growth(spark, sf):
-    return growth.segment_growth(_quarterly(spark, sf))
-
-
-def _gaps(spark, sf):
-    rates = _growth(spark, sf)
-    asked = growth.segment_source(rates, b.REVIEW.segments)
-    return growth.benchmark_gaps(asked, rates, b.benchmarks(spark, sf), b.REVIEW)
+def _review(spark, sf):
+    """The review job: its aggregates are stored, so that frames which use them twice read them twice."""
+    return jobs.segment_review(
+        b.opportunities(spark, sf),
+        b.bookings(spark, sf),
+        b.benchmarks(spark, sf),
+        scratch(spark, "review"),
+        b.REVIEW,
+    )
 
 
 @query
@@ -553,7 +551,7 @@ def quarter_maps(spark, sf):
 
 @query
 def segment_growth(spark, sf):
-    return _growth(spark, sf)
+    return growth.segment_growth(_quarterly(spark, sf))
 
 
 @query
@@ -574,12 +572,19 @@ def opportunity_totals(spark, sf):
 @query
 def segment_source(spark, sf):
     """Growth segments as found, and the fallback list when no booking has a segment."""
-    found = growth.segment_source(_growth(spark, sf), b.REVIEW.segments).withColumn("case", F.lit("found"))
+    rates = growth.segment_growth(_quarterly(spark, sf))
+    found = growth.segment_source(rates, b.REVIEW.segments).withColumn("case", F.lit("found"))
     none = growth.segment_growth(growth.quarterly_arr(b.bookings(spark, sf).filter("segment = 'none'")))
     listed = growth.segment_source(none, b.REVIEW.segments).withColumn("case", F.lit("none"))
     return found.unionByName(listed)
 
 
+def _gaps(spark, sf):
+    rates = growth.segment_growth(_quarterly(spark, sf))
+    asked = growth.segment_source(rates, b.REVIEW.segments)
+    return growth.benchmark_gaps(asked, rates, b.benchmarks(spark, sf), b.REVIEW)
+
+
 @query
 def benchmark_gaps(spark, sf):
     return _gaps(spark, sf)
@@ -592,20 +597,13 @@ def flagged_segments(spark, sf):
 
 @query
 def benchmark_prompts(spark, sf):
-    return growth.benchmark_prompts(_growth(spark, sf).select("segment"), "Find the benchmark.", b.REVIEW)
-
-
-@query
-def segment_context(spark, sf):
-    summary = growth.opportunity_summary(b.opportunities(spark, sf))
-    return growth.segment_context(_growth(spark, sf), _gaps(spark, sf), summary)
+    segments = _quarterly(spark, sf).select("segment").distinct()
+    return growth.benchmark_prompts(segments, "Find the benchmark.", b.REVIEW)
 
 
 @query
 def synthesis_context(spark, sf):
-    made = growth.synthesis_context(
-        segment_context(spark, sf), reference_quarters(spark, sf), competitor_ranking(spark, sf), b.REVIEW
-    )
+    made = _review(spark, sf)["synthesis"]
     return made.select(F.array_join("flagged_segments", ",").alias("flagged_segments"), "context_json")
 
 
@@ -720,8 +718,5 @@ def signal_answers(spark, sf):
 
 @query
 def segment_review(spark, sf):
-    """The whole review job, gaps joined with growth and the opportunity counts."""
-    frames = jobs.segment_review(
-        b.opportunities(spark, sf), b.bookings(spark, sf), b.benchmarks(spark, sf), b.REVIEW
-    )
-    return frames["context"]
+    """Growth, benchmark gap and opportunity counts of every segment."""
+    return _review(spark, sf)["context"]
