@@ -40,15 +40,6 @@ def strip(text: Column) -> Column:
     return F.trim(text, F.lit(WHITESPACE))
 
 
-def occurrences(text: Column, word: str) -> Column:
-    """Non-overlapping occurrences of ``word``, left to right.
-
-    Byte lengths suffice, and are stored with the string, so nothing is decoded.
-    """
-    rest = F.octet_length(F.replace(text, F.lit(word), F.lit("")))
-    return ((F.octet_length(text) - rest) / F.lit(len(word.encode("utf-8")))).cast("long")
-
-
 def redact_email(text: Column) -> Column:
     """Texts without an at sign skip the pattern."""
     masked = F.regexp_replace(text, _UNICODE + EMAIL_PATTERN, EMAIL_MARK)

@@ -8,24 +8,21 @@ all text of a group into one string, so each row is counted where it lies:
   becomes a small table: for each amount of the phrase already seen, how many
   matches the row completes and how much of the phrase is open at its end.  These
   tables compose in row order, in any grouping, and stay a few numbers wide.
+
+The functions return SQL expressions over column names: one word list makes
+hundreds of nodes, and a parsed text builds them in one call.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from collections.abc import Iterable, Sequence
 
-from quarterdeck.functions.text import occurrences
-
-_CUT = "\0"
+_CUT = "\\0"
 
 
 def check_words(words: Sequence[str]) -> None:
     for word in words:
-        if not word or word != word.strip() or _CUT in word:
+        if not word or word != word.strip() or "\0" in word:
             raise ValueError(f"tone word must be non-empty, without outer white space: {word!r}")
 
 
@@ -37,22 +34,32 @@ def phrases(words: Sequence[str]) -> list[str]:
     return [w.lower() for w in words if " " in w]
 
 
-def hits(lowered: Column, words: Sequence[str]) -> Column:
-    """Sum of the occurrences of each word in one text."""
-    return reduce(lambda a, b: a + b, (occurrences(lowered, w) for w in words), F.lit(0).cast("long"))
+def quoted(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def balance(positive: Column, negative: Column) -> Column:
-    """(positive - negative) / (positive + negative), 0 without any hit."""
-    total = positive + negative
-    return F.when(total == 0, F.lit(0.0)).otherwise((positive - negative) / F.nullif(total, F.lit(0)))
+def _size(text: str) -> int:
+    return len(text.encode("utf-8"))
 
 
-def tone_score(text: Column, positive: Sequence[str], negative: Sequence[str]) -> Column:
-    """Score of one text held in one row."""
-    check_words([*positive, *negative])
-    lowered = F.lower(F.coalesce(text, F.lit("")))
-    return balance(hits(lowered, [w.lower() for w in positive]), hits(lowered, [w.lower() for w in negative]))
+def _sum(terms: Iterable[str]) -> str:
+    return " + ".join(["0L", *terms])
+
+
+def hits(lowered: str, words: Sequence[str]) -> str:
+    """Non-overlapping occurrences of each word in a lower-cased text, summed.
+
+    Byte lengths suffice, and are stored with the string, so nothing is decoded.
+    """
+    return _sum(
+        f"(octet_length({lowered}) - octet_length(replace({lowered}, {quoted(w)}, ''))) div {_size(w)}" for w in words
+    )
+
+
+def balance(positive: str, negative: str) -> str:
+    """(positive - negative) / (positive + negative), 0 without any hit."""
+    return f"coalesce(({positive} - {negative}) / nullif({positive} + {negative}, 0), 0D)"
 
 
 def open_lengths(phrase: str) -> list[int]:
@@ -60,68 +67,50 @@ def open_lengths(phrase: str) -> list[int]:
     return [0, *(i for i, ch in enumerate(phrase) if ch == " ")]
 
 
-def marked(joined: Column, phrase: str, opened: int = 0) -> Column:
+def marked(joined: str, phrase: str, opened: int = 0) -> str:
     """The row's text after ``opened`` characters of the phrase, each match replaced by a mark."""
-    return F.replace(F.concat(F.lit(phrase[:opened]), joined) if opened else joined, F.lit(phrase), F.lit(_CUT))
+    text = f"concat({quoted(phrase[:opened])}, {joined})" if opened else joined
+    return f"replace({text}, {quoted(phrase)}, '{_CUT}')"
 
 
-def _step(joined: Column, cut: Column, phrase: str, opened: int) -> Column:
-    whole = F.octet_length(joined) + F.lit(len(phrase[:opened].encode("utf-8")))
-    found = (whole - F.octet_length(cut)) / F.lit(len(phrase.encode("utf-8")) - 1)
-    lengths = open_lengths(phrase)
-    left_open = F.lit(0)
-    for index in range(1, len(lengths)):
-        left_open = F.when(F.endswith(cut, F.lit(phrase[: lengths[index]])), F.lit(index)).otherwise(left_open)
-    return F.struct(found.cast("long").alias("n"), left_open.alias("to"))
+def _step(joined: str, cut: str, phrase: str, opened: int) -> str:
+    whole = f"octet_length({joined}) + {_size(phrase[:opened])}"
+    longest_first = list(enumerate(open_lengths(phrase)))[:0:-1]
+    cases = " ".join(f"WHEN endswith({cut}, {quoted(phrase[:n])}) THEN {i}" for i, n in longest_first)
+    found = f"({whole} - octet_length({cut})) div {_size(phrase) - 1}"
+    return f"named_struct('n', {found}, 'to', CASE {cases} ELSE 0 END)"
 
 
-def phrase_steps(joined: Column, cut: Column, phrase: str) -> Column:
+def phrase_steps(joined: str, cut: str, phrase: str) -> str:
     """One row's table for one phrase: ``array<struct<n, to>>`` indexed by the open amount.
 
     ``joined`` is the lower-cased text after a blank and ``cut`` its ``marked`` form.
     The other entries differ from the first only when the row continues the phrase.
     """
-    lengths = open_lengths(phrase)
+    opened = open_lengths(phrase)[1:]
     fresh = _step(joined, cut, phrase, 0)
-    tails = [phrase[n:] for n in lengths[1:]]
-    touches = reduce(
-        lambda a, b: a | b,
-        (F.startswith(joined, F.lit(t)) | F.startswith(F.lit(t), joined) for t in tails),
+    tails = [quoted(phrase[n:]) for n in opened]
+    touches = " OR ".join(f"startswith({joined}, {t}) OR startswith({t}, {joined})" for t in tails)
+    carried = [
+        f"CASE WHEN {touches} THEN {_step(joined, marked(joined, phrase, n), phrase, n)} ELSE {fresh} END"
+        for n in opened
+    ]
+    return f"array({', '.join([fresh, *carried])})"
+
+
+def compose(ordered: str, words: Sequence[str]) -> str:
+    """Folds an ordered array of rows' tables (one per phrase) into one."""
+    starts = (
+        "array(" + ", ".join(f"named_struct('n', 0L, 'to', {i})" for i in range(len(open_lengths(p)))) + ")"
+        for p in words
     )
-    carried = [F.when(touches, _step(joined, marked(joined, phrase, n), phrase, n)).otherwise(fresh) for n in lengths[1:]]
-    return F.array(fresh, *carried)
-
-
-def compose(ordered: Column, words: Sequence[str]) -> Column:
-    """Fold an ordered array of tables into one."""
-    start = F.array(
-        *(
-            F.array(
-                *(
-                    F.struct(F.lit(0).cast("long").alias("n"), F.lit(i).alias("to"))
-                    for i in range(len(open_lengths(p)))
-                )
-            )
-            for p in words
-        )
+    follow = "transform(done, e -> named_struct('n', e.n + step[e.to].n, 'to', step[e.to].to))"
+    return (
+        f"aggregate({ordered}, array({', '.join(starts)}), "
+        f"(acc, steps) -> zip_with(acc, steps, (done, step) -> {follow}))"
     )
 
-    def follow(done: Column, row: Column) -> Column:
-        return F.transform(
-            done,
-            lambda e: F.struct(
-                (e["n"] + F.get(row, e["to"])["n"]).alias("n"),
-                F.get(row, e["to"])["to"].alias("to"),
-            ),
-        )
 
-    return F.aggregate(ordered, start, lambda acc, rows: F.zip_with(acc, rows, follow))
-
-
-def phrase_hits(tables: Column, positions: Sequence[int]) -> Column:
+def phrase_hits(tables: str, positions: Iterable[int]) -> str:
     """Matches counted from the start of the text for the phrases at ``positions``."""
-    return reduce(
-        lambda a, b: a + b,
-        (F.coalesce(F.get(F.get(tables, F.lit(p)), F.lit(0))["n"], F.lit(0)) for p in positions),
-        F.lit(0).cast("long"),
-    )
+    return _sum(f"coalesce({tables}[{p}][0].n, 0L)" for p in positions)

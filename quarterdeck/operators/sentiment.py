@@ -97,6 +97,20 @@ def email_halves(emails: DataFrame, transcripts: DataFrame) -> DataFrame:
     return joined.withColumn("half", F.when(late, F.lit(LATE)).otherwise(F.lit(EARLY))).drop("sent", "cutoff")
 
 
+def text_scores(df: DataFrame, column: str, rules: ToneRules) -> DataFrame:
+    """Adds ``score``: the tone of one text per row, phrases included; 0 for a null text."""
+    tone.check_words([*rules.positive, *rules.negative])
+    # One column per step, so that the text is lower-cased once and each word counted once.
+    lowered = df.withColumn("_text", F.lower(F.coalesce(F.col(column), F.lit(""))))
+    counted = lowered.withColumns(
+        {
+            "_pos": F.expr(tone.hits("_text", [w.lower() for w in rules.positive])),
+            "_neg": F.expr(tone.hits("_text", [w.lower() for w in rules.negative])),
+        }
+    )
+    return counted.withColumn("score", F.expr(tone.balance("_pos", "_neg"))).drop("_text", "_pos", "_neg")
+
+
 class _Counter:
     """The columns that carry one row's counts, and how to merge them in order."""
 
@@ -114,42 +128,42 @@ class _Counter:
 
         The lower-cased and marked texts are columns of their own, so each is made once per row.
         """
-        none = F.lit(0).cast("long")
         lowered = df.withColumn("_text", F.lower(F.col(text)))
         counted = {
-            "_pos": F.coalesce(tone.hits(F.col("_text"), self.positive), none),
-            "_neg": F.coalesce(tone.hits(F.col("_text"), self.negative), none),
+            "_pos": F.expr(f"coalesce({tone.hits('_text', self.positive)}, 0L)"),
+            "_neg": F.expr(f"coalesce({tone.hits('_text', self.negative)}, 0L)"),
         }
         if not self.phrases:
             return lowered.withColumns(counted)
+        cuts = {f"_cut{i}": p for i, p in enumerate(self.phrases)}
         joined = lowered.withColumn("_joined", F.concat(F.lit(" "), F.col("_text")))
-        cuts = [f"_cut{i}" for i in range(len(self.phrases))]
-        cut = joined.withColumns({c: tone.marked(F.col("_joined"), p) for c, p in zip(cuts, self.phrases, strict=True)})
-        tables = [tone.phrase_steps(F.col("_joined"), F.col(c), p) for c, p in zip(cuts, self.phrases, strict=True)]
-        counted["_steps"] = F.when(F.col("_text").isNotNull(), F.array(*tables))
+        cut = joined.withColumns({c: F.expr(tone.marked("_joined", p)) for c, p in cuts.items()})
+        tables = ", ".join(tone.phrase_steps("_joined", c, p) for c, p in cuts.items())
+        counted["_steps"] = F.expr(f"CASE WHEN _text IS NOT NULL THEN array({tables}) END")
         return cut.withColumns(counted).drop("_joined", *cuts)
 
     def names(self) -> list[str]:
         return ["_pos", "_neg", *(["_steps"] if self.phrases else [])]
 
-    def merged(self, order: Sequence[str], only: Column | None = None) -> list[Column]:
-        """Aggregates over the rows of a group, in ``order``, where ``only`` holds."""
-        keep = F.lit(True) if only is None else only
-        sums = [F.sum(F.when(keep, F.col(c))).alias(c) for c in ("_pos", "_neg")]
+    def merged(self, order: Sequence[str], only: str = "true") -> str:
+        """Aggregates, as one struct, over the rows of a group in ``order`` where ``only`` holds."""
+        sums = ", ".join(f"'{c}', sum(CASE WHEN {only} THEN {c} END)" for c in ("_pos", "_neg"))
         if not self.phrases:
-            return sums
-        entry = F.when(keep & F.col("_steps").isNotNull(), F.struct(*order, "_steps"))
-        ordered = F.sort_array(F.collect_list(entry))["_steps"]
-        return [*sums, tone.compose(ordered, self.phrases).alias("_steps")]
+            return f"named_struct({sums})"
+        entry = f"CASE WHEN {only} AND _steps IS NOT NULL THEN struct({', '.join(order)}, _steps) END"
+        ordered = f"sort_array(collect_list({entry}))._steps"
+        return f"named_struct({sums}, '_steps', {tone.compose(ordered, self.phrases)})"
+
+    def merge(self, df: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
+        return df.groupBy(*group).agg(F.expr(self.merged(order)).alias("_m")).select(*group, "_m.*")
 
-    def score(self, counts: Column) -> Column:
+    def score(self, counts: str) -> Column:
         """Tone score of a struct of merged counts, 0 without any row."""
-        zero = F.lit(0).cast("long")
-        positive, negative = F.coalesce(counts["_pos"], zero), F.coalesce(counts["_neg"], zero)
-        if self.phrases:
-            positive = positive + tone.phrase_hits(counts["_steps"], self.positive_slots)
-            negative = negative + tone.phrase_hits(counts["_steps"], self.negative_slots)
-        return tone.balance(positive, negative)
+        sides = []
+        for side, slots in (("_pos", self.positive_slots), ("_neg", self.negative_slots)):
+            total = f"coalesce({counts}.{side}, 0L)"
+            sides.append(f"({total} + {tone.phrase_hits(f'{counts}._steps', slots)})" if self.phrases else total)
+        return F.expr(tone.balance(*sides))
 
 
 # A block's place in its half: calls by date and number first, then e-mails by ordinal.
@@ -171,12 +185,12 @@ def _call_blocks(transcripts: DataFrame, counter: _Counter) -> DataFrame:
         )
     )
     counted = counter.count(turns, "turn_text")
-    calls = counted.groupBy("deal_id", "day", "call_num", "turn_block").agg(*counter.merged(["turn_num", "ordinal"]))
+    calls = counter.merge(counted, ["deal_id", "day", "call_num", "turn_block"], ["turn_num", "ordinal"])
     halves = call_halves(transcripts).select("deal_id", "call_num", F.explode("halves").alias("half"))
     split = calls.join(halves, ["deal_id", "call_num"]).withColumn(
         "block", F.shiftright("call_num", _CALL_SHIFT).cast("long")
     )
-    blocks = split.groupBy("deal_id", "half", "day", "block").agg(*counter.merged(["call_num", "turn_block"]))
+    blocks = counter.merge(split, ["deal_id", "half", "day", "block"], ["call_num", "turn_block"])
     return blocks.withColumn("source", F.lit(0))
 
 
@@ -185,7 +199,7 @@ def _email_blocks(emails: DataFrame, transcripts: DataFrame, counter: _Counter)
     split = email_halves(counted, transcripts).withColumn(
         "block", F.shiftright(F.col("ordinal").cast("long"), _EMAIL_SHIFT)
     )
-    blocks = split.groupBy("deal_id", "half", "block").agg(*counter.merged(["ordinal"]))
+    blocks = counter.merge(split, ["deal_id", "half", "block"], ["ordinal"])
     return blocks.withColumns({"source": F.lit(1), "day": F.lit("")})
 
 
@@ -194,12 +208,10 @@ def half_scores(transcripts: DataFrame, emails: DataFrame, rules: ToneRules) ->
     counter = _Counter(rules)
     blocks = _call_blocks(transcripts, counter).unionByName(_email_blocks(emails, transcripts, counter))
     merged = blocks.groupBy("deal_id").agg(
-        *(F.struct(*counter.merged(_PLACE, F.col("half") == half)).alias(half) for half in (EARLY, LATE))
+        *(F.expr(counter.merged(_PLACE, f"half = '{half}'")).alias(half) for half in (EARLY, LATE))
     )
     return merged.select(
-        "deal_id",
-        counter.score(F.col(EARLY)).alias("early_score"),
-        counter.score(F.col(LATE)).alias("late_score"),
+        "deal_id", counter.score(EARLY).alias("early_score"), counter.score(LATE).alias("late_score")
     )
 
 

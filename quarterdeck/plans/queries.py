@@ -10,9 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterdeck.functions import report
 from quarterdeck.functions.text import redact_email, redact_phone
-from quarterdeck.functions.tone import tone_score
 from quarterdeck.operators import answers, contracts, deals, growth, guardrails, health, marts, ordering, retrieval
 from quarterdeck.operators import competitors as comp
 from quarterdeck.operators import sentiment as tone
@@ -337,8 +335,8 @@ def email_halves(spark, sf):
 
 @query
 def tone_scores(spark, sf):
-    score = tone_score(F.col("text"), b.TONE.positive, b.TONE.negative)
-    return b.table(spark, sf, "documents").select("doc_id", F.round(score, 6).alias("score"))
+    scored = tone.text_scores(b.table(spark, sf, "documents"), "text", b.TONE)
+    return rounded(scored.select("doc_id", "score"), "score")
 
 
 @query
