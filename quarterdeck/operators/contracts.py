@@ -92,7 +92,7 @@ def quality_measures(raw: DataFrame, rules: QualityRules) -> DataFrame:
 def quality_report(raw: DataFrame, rules: QualityRules) -> DataFrame:
     """Five rows (position, name, passed, detail).  An empty table has no null rate and fails that check."""
     rate = F.try_divide(F.col("null_sales"), F.col("rows"))
-    shown_rate = F.coalesce(F.format_string("%.5f", rate), F.lit("nan"))
+    shown_rate = F.when(F.col("rows") == 0, F.lit("nan")).otherwise(F.format_string("%.5f", rate))
 
     def check(position: int, name: str, passed: Column, detail: Column) -> Column:
         return F.struct(
