@@ -12,14 +12,26 @@ OBJECT_PATTERN = r"(?s)\{.*\}"
 FENCE_PATTERN = r"(?s)```(?:json)?\s*(.*?)\s*```"
 
 
+# Spark's parser stops after the first value and ignores what follows.  Inside a
+# list that ends with this mark, a text with anything after its value is refused.
+_END = "\x1e end"
+
+
+def whole_json(text: Column) -> Column:
+    """The text as one JSON value; null when it is anything else."""
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"\\u001e end"]')))
+    alone = F.try_variant_get(listed, "$[1]", "string") == F.lit(_END)
+    return F.when(alone, F.try_variant_get(listed, "$[0]", "variant"))
+
+
 def _braced(text: Column) -> Column:
-    return F.try_parse_json(F.nullif(F.regexp_extract(text, OBJECT_PATTERN, 0), F.lit("")))
+    return whole_json(F.regexp_extract(text, OBJECT_PATTERN, 0))
 
 
 def answer_json(text: Column) -> Column:
     """The text as JSON, else its widest braced part; null when neither parses."""
     cleaned = strip(text)
-    return F.coalesce(F.try_parse_json(cleaned), _braced(cleaned))
+    return F.coalesce(whole_json(cleaned), _braced(cleaned))
 
 
 def fenced_json(text: Column) -> Column:
@@ -28,8 +40,8 @@ def fenced_json(text: Column) -> Column:
     inside = strip(F.regexp_extract(cleaned, FENCE_PATTERN, 1))
     has_fence = F.rlike(cleaned, F.lit(FENCE_PATTERN))
     return F.coalesce(
-        F.try_parse_json(cleaned),
-        F.when(has_fence, F.try_parse_json(inside)),
+        whole_json(cleaned),
+        F.when(has_fence, whole_json(inside)),
         _braced(F.when(has_fence, inside).otherwise(cleaned)),
     )
 
