@@ -13,7 +13,7 @@ def spark():
     session = build_session(
         "tests",
         "local[8]",
-        spark__sql__shuffle__partitions="8",
+        spark__sql__shuffle__partitions="3",
         spark__driver__memory="8g",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",

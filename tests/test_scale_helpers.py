@@ -30,6 +30,7 @@ def test_salted_join_equals_plain_join(spark, rows):
 def test_salted_join_spreads_the_hot_key(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
     try:
         per_key = spark.createDataFrame([("hot", 1)], "key string, v int")
         joined = salted_join(skewed(spark), per_key, ["key"], ["ordinal"], "inner", 64)
@@ -37,6 +38,7 @@ def test_salted_join_spreads_the_hot_key(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
     assert sum(sizes) == 2000 and max(sizes) < 1000
 
 
