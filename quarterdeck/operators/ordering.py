@@ -58,9 +58,9 @@ def positions(
 
 
 def ordinal_blocks(ordinal: str | Column) -> list[Column]:
-    """Blocks for a unique whole-number order: at most 2^20 rows in the finest."""
+    """Blocks for a unique whole-number order: at most 2^16 rows in the finest."""
     value = F.col(ordinal) if isinstance(ordinal, str) else ordinal
-    return [F.shiftright(value, 40), F.shiftright(value, 20)]
+    return [F.shiftright(value, 36), F.shiftright(value, 16)]
 
 
 def head_per_group(

@@ -31,13 +31,15 @@ def salted_join(
     """``large`` joined with ``per_key``, each hot key cut into parts by a hash of ``spread_on``.
 
     Only the rows of hot keys in ``per_key`` are repeated, once per part: in sum
-    fewer than ``max_hot`` extra copies of a row.  The parts come from row values,
-    so a rerun task sends each row to the same place.
+    fewer than ``max_hot`` extra copies of a row.  Rows without a key match nothing
+    and are spread as well.  The parts come from row values, so a rerun task sends
+    each row to the same place.
     """
     keys = list(keys)
     hot = F.broadcast(hot_keys(large, keys, max_hot))
-    spread = F.pmod(F.xxhash64(*spread_on), F.col("_parts")).cast("int")
-    left = large.join(hot, keys, "left").withColumn("_part", F.coalesce(spread, F.lit(0))).drop("_parts")
+    parts = F.when(~_all_present(keys), F.lit(max_hot)).otherwise(F.coalesce("_parts", F.lit(1)))
+    spread = F.pmod(F.xxhash64(*spread_on), parts).cast("int")
+    left = large.join(hot, keys, "left").withColumn("_part", spread).drop("_parts")
     right = (
         per_key.join(hot, keys, "left")
         .withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)))

@@ -13,8 +13,13 @@ CORPUS_BUCKETS = 256
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Replaces the table and returns it read back, so later steps start from storage."""
-    writer = df.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE)
+    """Replaces the table and returns it read back, so later steps start from storage.
+
+    Rows of one partition value are brought together first, so that not every task
+    writes a file for every value; a large value is split over tasks again by its size.
+    """
+    rows = df.hint("rebalance", *(F.col(c) for c in partition_by)) if partition_by else df
+    writer = rows.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

@@ -42,6 +42,21 @@ def test_salted_join_spreads_the_hot_key(spark):
     assert sum(sizes) == 2000 and max(sizes) < 1000
 
 
+def test_rows_without_a_key_are_spread(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        lost = spark.range(4000).select(F.lit(None).cast("string").alias("key"), F.col("id").alias("ordinal"))
+        joined = salted_join(lost, spark.createDataFrame([("k", 1)], "key string, v int"), ["key"], ["ordinal"])
+        sizes = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
+    assert sum(sizes) == 4000 and max(sizes) < 1000
+
+
 def test_positions_equal_row_number(spark, rows):
     df = skewed(spark).withColumn("ordinal", F.col("ordinal") * 700_001 % 10_000_019 * 1000)
     plain = df.withColumn("position", F.row_number().over(Window.partitionBy("key").orderBy("ordinal")) - 1)
