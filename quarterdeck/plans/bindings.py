@@ -20,8 +20,26 @@ RIVALS = ("Aldermoor", "Brightwater", "Cobalt Row", "Dunmere")
 THEMES = ("pricing", "product fit")
 
 
+# Columns read from each table.  With the schema stated, opening a table runs no job.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey long, p_brand string",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+    "l_discount double",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string",
+    "documents": "doc_id long, text string, lang string, source string",
+    "embeddings": "vec_id long, embedding array<float>, label int",
+    "pages": "page_id long, url string, html string",
+    "conversations": "conv_id long, turn long, role string, text string",
+}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
 
 
 def raw_sales(spark: SparkSession, sf: str) -> DataFrame:
