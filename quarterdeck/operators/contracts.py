@@ -229,7 +229,7 @@ def arr_bounds_report(opportunities: DataFrame, bounds: Sequence[ArrBound]) -> D
 
 def segment_growth_means(bookings: DataFrame) -> DataFrame:
     """Mean benchmark and actual growth by segment, and their gap."""
-    means = bookings.groupBy("segment").agg(
+    means = bookings.filter(F.col("segment").isNotNull()).groupBy("segment").agg(
         money_avg(F.col("benchmark_growth_pct")).alias("benchmark_growth_pct"),
         money_avg(F.col("actual_growth_pct")).alias("actual_growth_pct"),
     )

@@ -19,8 +19,13 @@ CLOSED_LOST = "Closed Lost"
 
 
 def quarterly_arr(bookings: DataFrame) -> DataFrame:
-    """Booked value by segment and quarter, rounded to cents; growth builds on the rounded sums."""
-    return bookings.groupBy("segment", "quarter").agg(F.round(money_sum(F.col("booked_arr")), 2).alias("booked_arr"))
+    """Booked value by segment and quarter, rounded to cents; growth builds on the rounded sums.
+
+    Rows without segment or quarter are left out; a group without any amount books 0.
+    """
+    booked = F.coalesce(money_sum(F.col("booked_arr")), F.lit(0.0))
+    keyed = bookings.filter(F.col("segment").isNotNull() & F.col("quarter").isNotNull())
+    return keyed.groupBy("segment", "quarter").agg(F.round(booked, 2).alias("booked_arr"))
 
 
 def quarter_maps(quarterly: DataFrame) -> DataFrame:
@@ -74,7 +79,7 @@ def opportunity_summary(opportunities: DataFrame) -> DataFrame:
             F.count("*").alias("count"),
             F.count_if(F.col("stage") == CLOSED_WON).alias("closed_won"),
             F.count_if(F.col("stage") == CLOSED_LOST).alias("closed_lost"),
-            F.round(money_sum(F.col("arr")), 2).alias("total_pipeline_arr"),
+            F.round(F.coalesce(money_sum(F.col("arr")), F.lit(0.0)), 2).alias("total_pipeline_arr"),
         )
     )
 

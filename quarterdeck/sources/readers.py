@@ -12,7 +12,7 @@ from quarterdeck.operators.contracts import ContractError, require_rows
 SCHEMA_TEXT = {
     "raw_sales": "`Order Date` string, Segment string, Product string, Region string, Subregion string, "
     "Sales double, Profit double, Quantity int",
-    "deals": "deal_id string, stage string, close_date string, arr int, rep_name string, account_name string",
+    "deals": "deal_id string, stage string, close_date string, arr double, rep_name string, account_name string",
     "activity": "deal_id string, activity_type string, activity_date string, contact_role string",
     "transcripts": "deal_id string, call_date string, call_num int, turn_num int, speaker string, turn_text string",
     "emails": "deal_id string, `from` string, `to` string, subject string, body string, timestamp string",
@@ -38,12 +38,15 @@ def with_ordinal(df: DataFrame) -> DataFrame:
     return df.withColumn("ordinal", F.monotonically_increasing_id())
 
 
-def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, table: str, multi_line: bool | None = None) -> DataFrame:
     """A CRM export by header name.  The header is read first, so a missing column is named.
 
-    Columns the table does not know are left out; an absent optional one is null.
+    Columns the table does not know are left out; an absent optional one is left
+    out too.  E-mail bodies may hold line breaks inside quotes, so e-mails are read
+    with ``multi_line``, one task per file; other tables split within files.
     """
-    options = {"header": True, "multiLine": False, "escape": '"', "mode": "PERMISSIVE"}
+    lines = table == "emails" if multi_line is None else multi_line
+    options = {"header": True, "multiLine": lines, "escape": '"'}
     header = spark.read.options(**options).csv(path).columns
     missing = [name for name in REQUIRED[table] if name not in header]
     if missing:
@@ -54,11 +57,20 @@ def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
     return require_rows(rows.select(*(f"`{name}`" for name in header if name in known), "ordinal"))
 
 
-def read_json_array(spark: SparkSession, path: str, table: str = "transcripts", lines: bool = False) -> DataFrame:
-    """Records of a JSON array; ``lines`` reads one record per line, which splits over tasks."""
-    schema = T.StructType.fromDDL(SCHEMA_TEXT[table])
-    reader = spark.read.schema(schema).option("multiLine", not lines).option("mode", "FAILFAST")
-    return with_ordinal(reader.json(path))
+def read_json_array(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Call transcripts from a JSON array; ``lines`` reads one record per line, which splits over tasks.
+
+    A call or turn number that is no whole number becomes null.
+    """
+    if not lines:
+        first = spark.read.text(path).filter(F.trim("value") != "").first()
+        if first is None or not first["value"].lstrip().startswith("["):
+            raise ContractError(f"{path} must be a JSON array")
+    known = T.StructType.fromDDL(SCHEMA_TEXT["transcripts"])
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in known])
+    rows = spark.read.schema(text).option("multiLine", not lines).option("mode", "FAILFAST").json(path)
+    typed = rows.withColumns({c: F.col(c).try_cast("int") for c in ("call_num", "turn_num")})
+    return with_ordinal(typed)
 
 
 def land_csv(spark: SparkSession, path: str, table_path: str, infer: bool = True) -> DataFrame:

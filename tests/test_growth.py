@@ -76,8 +76,8 @@ def test_quarters(spark, quarterly, rows):
     assert maps["SMB"] == {"2025-Q1": 470661.17, "2025-Q3": 498900.85, "2025-Q4": 513020.68}
     keys = growth.quarter_maps(quarterly).select(F.map_keys("quarterly_arr")).first()[0]
     assert keys == ["2025-Q1", "2025-Q3", "2025-Q4"]
-    raw = spark.createDataFrame([("A", "q", 0.1), ("A", "q", 0.2), ("A", "q", 0.004)], QUARTERS)
-    assert rows(growth.quarterly_arr(raw)) == [("A", "q", 0.3)]
+    raw = [("A", "q", 0.1), ("A", "q", 0.2), ("A", "q", 0.004), ("B", "q", None), (None, "q", 1.0), ("A", None, 1.0)]
+    assert rows(growth.quarterly_arr(spark.createDataFrame(raw, QUARTERS))) == [("A", "q", 0.3), ("B", "q", 0.0)]
 
 
 def test_segment_source(spark, quarterly, rows):

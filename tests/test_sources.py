@@ -17,6 +17,13 @@ def test_csv_by_header_name(spark, rows, tmp_path):
     assert [r["deal_id"] for r in df.orderBy("ordinal").collect()] == ["D1", "D2"] and "extra" not in df.columns
 
 
+def test_emails_keep_line_breaks(spark, tmp_path):
+    path = tmp_path / "mail.csv"
+    path.write_text('deal_id,from,to,subject,body,timestamp\nD,a,b,s,"one\ntwo",2026-01-01 08:00:00\nD,a,b,s,,\n')
+    got = readers.read_csv(spark, str(path), "emails").orderBy("ordinal").collect()
+    assert [(r["body"], r["timestamp"]) for r in got] == [("one\ntwo", "2026-01-01 08:00:00"), (None, None)]
+
+
 def test_csv_contract(spark, tmp_path):
     short = tmp_path / "short.csv"
     short.write_text("deal_id,arr\nD,1\n")
@@ -34,8 +41,16 @@ def test_json_array(spark, tmp_path):
     path.write_text(json.dumps([record, record | {"turn_num": 2}], indent=2), encoding="utf-8")
     got = readers.read_json_array(spark, str(path)).orderBy("ordinal").collect()
     assert [r["turn_num"] for r in got] == [1, 2] and got[0]["turn_text"] == "hi é"
+    loose = tmp_path / "loose.json"
+    loose.write_text(json.dumps([record | {"call_num": "3", "turn_num": "x"}, {"deal_id": 7, "more": 1}]))
+    rows = readers.read_json_array(spark, str(loose)).orderBy("ordinal").collect()
+    assert [(r["deal_id"], r["call_num"], r["turn_num"]) for r in rows] == [("D", 3, None), ("7", None, None)]
+    single = tmp_path / "single.json"
+    single.write_text(json.dumps(record))
+    with pytest.raises(ContractError, match="must be a JSON array"):
+        readers.read_json_array(spark, str(single))
     bad = tmp_path / "bad.json"
-    bad.write_text("{broken")
+    bad.write_text("[{broken")
     with pytest.raises(Exception, match="(?i)malformed"):
         readers.read_json_array(spark, str(bad)).collect()
 
