@@ -16,6 +16,7 @@ AS_OF = dt.date(2024, 1, 31)
 MARKET_SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 REVIEW = ReviewRules(segments=MARKET_SEGMENTS)
 TONE = ToneRules(positive=("the", "ing", "re", ". e"), negative=("tion", "on", ". th"), decline_threshold=-0.05)
+LETTERS = "aent"
 RIVALS = ("Aldermoor", "Brightwater", "Cobalt Row", "Dunmere")
 THEMES = ("pricing", "product fit")
 
@@ -262,3 +263,18 @@ def signal_answers(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise(F.lit("nothing found"))
     )
     return table(spark, sf, "documents").select("doc_id", answer.alias("answer"))
+
+
+def letter_encoder():
+    """A small text encoder both engines can compute: shares of four letters, at unit length."""
+    letters = LETTERS
+
+    def encode(texts: list[str]) -> list[list[float]]:
+        vectors = []
+        for text in texts:
+            counts = [float(text.count(letter)) for letter in letters]
+            length = sum(c * c for c in counts) ** 0.5
+            vectors.append([c / length for c in counts] if length else counts)
+        return vectors
+
+    return encode

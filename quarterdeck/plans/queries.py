@@ -104,8 +104,7 @@ def chunk_upsert(spark, sf):
 
 @query
 def health_report(spark, sf):
-    lines = health.report_lines(deal_scores(spark, sf), "Assess deal health", "2024-01-31 00:00 UTC")
-    return lines
+    return health.report_lines(deal_scores(spark, sf), "Assess deal health", "2024-01-31 00:00 UTC")
 
 
 @query
@@ -402,9 +401,10 @@ def corpus_index(spark, sf):
 
 @query
 def text_retrieval(spark, sf):
-    """Context of every deal for the standard questions, over embedded text."""
-    built = jobs.index_corpus(b.transcripts(spark, sf), b.emails(spark, sf))
-    asked = retrieval.with_embeddings(retrieval.query_table(spark, jobs.RetrievalRules().queries), "query")
+    """Context of every deal for the standard questions, over text embedded by a given encoder."""
+    built = jobs.index_corpus(b.transcripts(spark, sf), b.emails(spark, sf), encoder=b.letter_encoder)
+    questions = retrieval.query_table(spark, jobs.RetrievalRules().queries)
+    asked = retrieval.with_embeddings(questions, "query", b.letter_encoder)
     wanted = b.transcripts(spark, sf).select("deal_id").distinct()
     return retrieval.deal_context(wanted, built, asked, jobs.RetrievalRules().top_k)
 
@@ -510,7 +510,7 @@ def batch_counts(spark, sf):
 @query
 def forecast_prompts(spark, sf):
     scored = rounded(
-        deal_scores(spark, sf), "slip_risk_score", "engagement_score", "sentiment_score", "tone_trajectory", digits=4
+        deal_scores(spark, sf), "slip_risk_score", "engagement_score", "sentiment_score", "tone_trajectory", digits=2
     )
     return health.forecast_prompts(scored, HealthRules()).select("deal_id", "prompt")
 
@@ -601,8 +601,19 @@ def benchmark_prompts(spark, sf):
 
 @query
 def synthesis_context(spark, sf):
+    """Facts picked out of the review's JSON."""
     made = _review(spark, sf)["synthesis"]
-    return made.select(F.array_join("flagged_segments", ",").alias("flagged_segments"), "context_json")
+    paths = {
+        "reference_quarter": "$.reference_quarter",
+        "gtm_actions_count": "$.gtm_actions_count",
+        "first_segment": "$.segments[0].segment",
+        "first_count": "$.segments[0].count",
+        "last_segment": "$.segments[4].segment",
+        "top_competitor": "$.competitors[0].name",
+        "third_losses": "$.competitors[2].loss_count",
+    }
+    picked = [F.get_json_object("context_json", path).alias(name) for name, path in paths.items()]
+    return made.select(F.array_join("flagged_segments", ",").alias("flagged_segments"), *picked)
 
 
 @query
