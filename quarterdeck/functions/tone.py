@@ -81,36 +81,64 @@ def _step(joined: str, cut: str, phrase: str, opened: int) -> str:
     return f"named_struct('n', {found}, 'to', CASE {cases} ELSE 0 END)"
 
 
+def continues(joined: str, phrase: str) -> str:
+    """Whether the row, ``joined`` to what came before, can continue an open phrase."""
+    tails = [quoted(phrase[n:]) for n in open_lengths(phrase)[1:]]
+    return "(" + " OR ".join(f"startswith({joined}, {t}) OR startswith({t}, {joined})" for t in tails) + ")"
+
+
+def leaves_open(cut: str, phrase: str) -> str:
+    """Whether the row ends within the phrase."""
+    return "(" + " OR ".join(f"endswith({cut}, {quoted(phrase[:n])})" for n in open_lengths(phrase)[1:]) + ")"
+
+
+def own_hits(joined: str, cut: str, phrase: str) -> str:
+    """Matches of the phrase within the row."""
+    return f"(octet_length({joined}) - octet_length({cut})) div {_size(phrase) - 1}"
+
+
 def phrase_steps(joined: str, cut: str, phrase: str) -> str:
     """One row's table for one phrase: ``array<struct<n, to>>`` indexed by the open amount.
 
     ``joined`` is the lower-cased text after a blank and ``cut`` its ``marked`` form.
     The other entries differ from the first only when the row continues the phrase.
     """
-    opened = open_lengths(phrase)[1:]
     fresh = _step(joined, cut, phrase, 0)
-    tails = [quoted(phrase[n:]) for n in opened]
-    touches = " OR ".join(f"startswith({joined}, {t}) OR startswith({t}, {joined})" for t in tails)
     carried = [
-        f"CASE WHEN {touches} THEN {_step(joined, marked(joined, phrase, n), phrase, n)} ELSE {fresh} END"
-        for n in opened
+        f"CASE WHEN {continues(joined, phrase)} THEN {_step(joined, marked(joined, phrase, n), phrase, n)} "
+        f"ELSE {fresh} END"
+        for n in open_lengths(phrase)[1:]
     ]
     return f"array({', '.join([fresh, *carried])})"
 
 
 def compose(ordered: str, words: Sequence[str]) -> str:
-    """Folds an ordered array of rows' tables (one per phrase) into one."""
+    """Folds an ordered array of rows' tables (one per phrase) into one.
+
+    A null stands for a row that neither continues a phrase nor leaves one open; it
+    closes what is open.  Most rows are such, and after the first they cost nothing.
+    """
     starts = (
         "array(" + ", ".join(f"named_struct('n', 0L, 'to', {i})" for i in range(len(open_lengths(p)))) + ")"
         for p in words
     )
     follow = "transform(done, e -> named_struct('n', e.n + step[e.to].n, 'to', step[e.to].to))"
+    close = "transform(acc.tables, done -> transform(done, e -> named_struct('n', e.n, 'to', 0)))"
     return (
-        f"aggregate({ordered}, array({', '.join(starts)}), "
-        f"(acc, steps) -> zip_with(acc, steps, (done, step) -> {follow}))"
+        f"aggregate({ordered}, named_struct('tables', array({', '.join(starts)}), 'open', true), "
+        "(acc, steps) -> CASE "
+        f"WHEN steps IS NOT NULL THEN named_struct('tables', zip_with(acc.tables, steps, (done, step) -> {follow}), "
+        "'open', true) "
+        f"WHEN acc.open THEN named_struct('tables', {close}, 'open', false) "
+        "ELSE acc END, acc -> acc.tables)"
     )
 
 
+def is_live(tables: str) -> str:
+    """Whether composed tables depend on what came before or leave a phrase open."""
+    return f"exists({tables}, t -> exists(t, e -> e.to <> 0 OR e.n <> t[0].n))"
+
+
 def phrase_hits(tables: str, positions: Iterable[int]) -> str:
     """Matches counted from the start of the text for the phrases at ``positions``."""
     return _sum(f"coalesce({tables}[{p}][0].n, 0L)" for p in positions)

@@ -129,40 +129,61 @@ class _Counter:
         The lower-cased and marked texts are columns of their own, so each is made once per row.
         """
         lowered = df.withColumn("_text", F.lower(F.col(text)))
-        counted = {
-            "_pos": F.expr(f"coalesce({tone.hits('_text', self.positive)}, 0L)"),
-            "_neg": F.expr(f"coalesce({tone.hits('_text', self.negative)}, 0L)"),
-        }
+        pos, neg = tone.hits("_text", self.positive), tone.hits("_text", self.negative)
         if not self.phrases:
-            return lowered.withColumns(counted)
+            return lowered.withColumns(
+                {"_pos": F.expr(f"coalesce({pos}, 0L)"), "_neg": F.expr(f"coalesce({neg}, 0L)")}
+            )
         cuts = {f"_cut{i}": p for i, p in enumerate(self.phrases)}
         joined = lowered.withColumn("_joined", F.concat(F.lit(" "), F.col("_text")))
         cut = joined.withColumns({c: F.expr(tone.marked("_joined", p)) for c, p in cuts.items()})
+        live = " OR ".join(f"{tone.continues('_joined', p)} OR {tone.leaves_open(c, p)}" for c, p in cuts.items())
+        own = [tone.own_hits("_joined", c, p) for c, p in cuts.items()]
         tables = ", ".join(tone.phrase_steps("_joined", c, p) for c, p in cuts.items())
-        counted["_steps"] = F.expr(f"CASE WHEN _text IS NOT NULL THEN array({tables}) END")
-        return cut.withColumns(counted).drop("_joined", *cuts)
+        counted = {
+            "_pos": F.expr(f"coalesce({pos} + {self._settled(own, self.positive_slots)}, 0L)"),
+            "_neg": F.expr(f"coalesce({neg} + {self._settled(own, self.negative_slots)}, 0L)"),
+            "_here": F.col("_text").isNotNull(),
+            "_steps": F.expr(f"CASE WHEN _live THEN array({tables}) END"),
+        }
+        return cut.withColumn("_live", F.expr(live)).withColumns(counted).drop("_joined", "_live", *cuts)
+
+    def _settled(self, own: Sequence[str], slots: Sequence[int]) -> str:
+        """Phrase matches of a row whose table is not kept."""
+        return f"CASE WHEN _live THEN 0L ELSE {' + '.join(['0L', *(own[i] for i in slots)])} END"
 
     def names(self) -> list[str]:
-        return ["_pos", "_neg", *(["_steps"] if self.phrases else [])]
+        return ["_pos", "_neg", *(["_here", "_steps"] if self.phrases else [])]
 
     def merged(self, order: Sequence[str], only: str = "true") -> str:
         """Aggregates, as one struct, over the rows of a group in ``order`` where ``only`` holds."""
-        sums = ", ".join(f"'{c}', sum(CASE WHEN {only} THEN {c} END)" for c in ("_pos", "_neg"))
+        sums = ", ".join(f"'{c}', coalesce(sum(CASE WHEN {only} THEN {c} END), 0L)" for c in ("_pos", "_neg"))
         if not self.phrases:
             return f"named_struct({sums})"
-        entry = f"CASE WHEN {only} AND _steps IS NOT NULL THEN struct({', '.join(order)}, _steps) END"
+        entry = f"CASE WHEN {only} AND _here THEN struct({', '.join(order)}, _steps) END"
         ordered = f"sort_array(collect_list({entry}))._steps"
-        return f"named_struct({sums}, '_steps', {tone.compose(ordered, self.phrases)})"
+        return f"named_struct({sums}, '_here', bool_or(_here), '_tables', {tone.compose(ordered, self.phrases)})"
 
     def merge(self, df: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
-        return df.groupBy(*group).agg(F.expr(self.merged(order)).alias("_m")).select(*group, "_m.*")
+        """Rows of a group merged to one of the same columns."""
+        flat = df.groupBy(*group).agg(F.expr(self.merged(order)).alias("_m")).select(*group, "_m.*")
+        if not self.phrases:
+            return flat
+        own = [f"_tables[{i}][0].n" for i in range(len(self.phrases))]
+        return flat.withColumn("_live", F.expr(tone.is_live("_tables"))).select(
+            *group,
+            F.expr(f"_pos + {self._settled(own, self.positive_slots)}").alias("_pos"),
+            F.expr(f"_neg + {self._settled(own, self.negative_slots)}").alias("_neg"),
+            "_here",
+            F.expr("CASE WHEN _live THEN _tables END").alias("_steps"),
+        )
 
     def score(self, counts: str) -> Column:
         """Tone score of a struct of merged counts, 0 without any row."""
         sides = []
         for side, slots in (("_pos", self.positive_slots), ("_neg", self.negative_slots)):
-            total = f"coalesce({counts}.{side}, 0L)"
-            sides.append(f"({total} + {tone.phrase_hits(f'{counts}._steps', slots)})" if self.phrases else total)
+            phrased = f" + {tone.phrase_hits(f'{counts}._tables', slots)}" if self.phrases else ""
+            sides.append(f"({counts}.{side}{phrased})")
         return F.expr(tone.balance(*sides))
 
 
