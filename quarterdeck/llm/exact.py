@@ -18,8 +18,9 @@ PREFIX_CHARS = 256
 def surviving_keys(texts: DataFrame, prefix_chars: int = PREFIX_CHARS) -> DataFrame:
     """(size, prefix) of the rows of ``text`` that may have an equal: shared by two rows at least."""
     sizes = texts.select(F.octet_length("text").alias("size")).groupBy("size").count().filter("count > 1").select("size")
-    prefixes = texts.select(*_keys(prefix_chars)).join(sizes, "size", "left_semi")
-    return prefixes.groupBy("size", "prefix").count().filter("count > 1").select("size", "prefix")
+    # Copies are counted where they are read, so a large group reaches the join as few rows.
+    prefixes = texts.select(*_keys(prefix_chars)).groupBy("size", "prefix").count()
+    return prefixes.join(sizes, "size", "left_semi").filter("count > 1").select("size", "prefix")
 
 
 def _keys(prefix_chars: int) -> list[Column]:
