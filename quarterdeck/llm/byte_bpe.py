@@ -239,7 +239,7 @@ def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[bytes]:
 class Encoder:
     """Encodes texts by a rank file; keeps at most ``cache_pieces`` merged pieces."""
 
-    def __init__(self, path: str, cache_pieces: int = 800_000):
+    def __init__(self, path: str, cache_pieces: int = 500_000):
         self.ranks = load_ranks(path)
         self.cache_pieces = cache_pieces
         self.cache: dict[str, bytes] = {}

@@ -136,8 +136,8 @@ def build_model(rows, totals: dict[tuple[str, int], int], rules: LanguageRules)
         ]
         (model.words if length == 0 else model.grams)[entry] = len(lists[length == 0])
         lists[length == 0].append(scores)
-    model.word_scores = np.array(lists[True]).reshape(-1, len(languages))
-    model.gram_scores = np.array(lists[False]).reshape(-1, len(languages))
+    model.word_scores = np.array(lists[True]).reshape(len(lists[True]), len(languages))
+    model.gram_scores = np.array(lists[False]).reshape(len(lists[False]), len(languages))
     return model
 
 

@@ -101,7 +101,7 @@ def repeated_chunks(docs: DataFrame, window: int, mean: int, least: int) -> Data
     candidates = chunks.join(again, "hash", "left_semi")
     # Their bytes: each document's candidate chunks are cut out of its text.
     asked = candidates.groupBy("row").agg(F.collect_set(F.struct("start", "end", "lines", "hash", "id")).alias("asked"))
-    body = F.rtrim(F.lit("\n"), F.substring("text", F.col("c.start") + 1, F.col("c.end") - F.col("c.start")))
+    body = F.rtrim(F.substring("text", F.col("c.start") + 1, F.col("c.end") - F.col("c.start")), F.lit("\n"))
     cut = docs.select("row", "text").join(asked, "row").select("row", "text", F.explode("asked").alias("c"))
     cut = stored(cut.select("row", "c.*", body.alias("body")), "bodies")
     # Equal in hash and in bytes; the first in the order of ids, rows and places stays.

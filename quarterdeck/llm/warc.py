@@ -42,13 +42,17 @@ CHUNK_SCHEMA = pa.schema(
 
 
 def cut_points(payload: memoryview, chunk_bytes: int) -> list[int]:
-    """Ends of the chunks: at most ``chunk_bytes`` each, and none holding the start of a record."""
+    """Ends of the chunks: at most ``chunk_bytes`` each.
+
+    The line that begins a record stands in no chunk, nor where a chunk meets the line
+    ends before and after it: there the payload is cut within that line's version.
+    """
     ends, start, size = [], 0, len(payload)
     while start < size:
         end = min(size, start + chunk_bytes)
-        inside = bytes(payload[start:end]).find(RECORD_START)
+        inside = b"".join([LINE, payload[start:end], LINE]).find(RECORD_START)
         if inside >= 0:
-            end = start + inside + len(LINE) + len(VERSION)
+            end = start + inside + len(VERSION) - 2
         ends.append(end)
         start = end
     return ends or [0]

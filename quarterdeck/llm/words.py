@@ -36,7 +36,7 @@ def byte_alphabet() -> dict[int, str]:
 class WordTokenizer:
     """Packed ids of texts; at most ``cache_words`` words are kept."""
 
-    def __init__(self, path: str, cache_words: int = 700_000):
+    def __init__(self, path: str, cache_words: int = 500_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
