@@ -65,9 +65,12 @@ def training_sample(df: DataFrame, rules: LanguageRules, id_column: str, text_co
     labelled = df.select(
         F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"), F.col(lang_column).alias("lang")
     ).filter("lang IS NOT NULL AND text IS NOT NULL")
-    counts = labelled.groupBy("lang").agg(F.least(F.lit(1.0), rules.docs_per_language / F.count("*")).alias("share"))
+    # One count per language; texts are chosen where they are read and do not move.
+    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    shares = [F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, min(1.0, rules.docs_per_language / n))]
     place = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return labelled.join(counts, "lang").filter(place < F.col("share")).select("lang", "text")
+    chosen = place < F.create_map(*shares)[F.col("lang")] if shares else F.lit(False)
+    return labelled.filter(chosen).select("lang", "text")
 
 
 def entry_counts(sample: DataFrame, rules: LanguageRules) -> DataFrame:
