@@ -5,17 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Money is summed in ten-thousandths.  Whole numbers add up the same in any
-# order, so a retried or re-planned job returns the same total to the last bit.
-MONEY_UNITS = 10_000
-
-
-def _units(amount: Column) -> Column:
-    return F.rint(amount.cast("double") * F.lit(MONEY_UNITS)).cast("long")
+# Money is summed as decimals.  They add up the same in any order, so a retried or
+# re-planned job returns the same total to the last bit, and a sum has 28 digits before
+# the point.
+MONEY = "decimal(28,10)"
 
 
 def money_sum(amount: Column) -> Column:
-    return F.sum(_units(amount)) / F.lit(MONEY_UNITS)
+    return F.sum(amount.cast(MONEY)).cast("double")
 
 
 def money_avg(amount: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarterdeck.functions.numbers import money_avg
+from quarterdeck.functions.dates import written_day
 from quarterdeck.functions.text import strip
 from quarterdeck.params import ArrBound, QualityRules
 
@@ -51,9 +51,9 @@ def key_or_fail(key: str | Column) -> Column:
     return F.when(F.coalesce(trimmed, F.lit("")) == "", F.raise_error(F.lit(f"empty {name}"))).otherwise(trimmed)
 
 
-def timestamp_or_fail(text: str) -> Column:
-    """The parsed timestamp; the reading job fails on the first value that has none."""
-    parsed = F.try_to_timestamp(F.col(text).cast("string"))
+def day_or_fail(text: str) -> Column:
+    """The day as written; the reading job fails on the first value that names none."""
+    parsed = written_day(F.col(text))
     return F.when(parsed.isNull(), F.raise_error(F.lit(f"invalid or missing {text}"))).otherwise(parsed)
 
 
@@ -69,8 +69,8 @@ def key_report(df: DataFrame, key: str) -> DataFrame:
 
 
 def timestamp_report(df: DataFrame, column: str) -> DataFrame:
-    """One row: rows, values that do not parse, passed."""
-    bad = F.try_to_timestamp(F.col(column).cast("string")).isNull()
+    """One row: rows, values that name no day, passed."""
+    bad = written_day(F.col(column)).isNull()
     counted = df.agg(F.count("*").alias("rows"), F.count_if(bad).alias("invalid_dates"))
     return counted.withColumn("passed", F.col("invalid_dates") == 0)
 
@@ -230,8 +230,8 @@ def arr_bounds_report(opportunities: DataFrame, bounds: Sequence[ArrBound]) -> D
 def segment_growth_means(bookings: DataFrame) -> DataFrame:
     """Mean benchmark and actual growth by segment, and their gap."""
     means = bookings.filter(F.col("segment").isNotNull()).groupBy("segment").agg(
-        money_avg(F.col("benchmark_growth_pct")).alias("benchmark_growth_pct"),
-        money_avg(F.col("actual_growth_pct")).alias("actual_growth_pct"),
+        F.avg("benchmark_growth_pct").alias("benchmark_growth_pct"),
+        F.avg("actual_growth_pct").alias("actual_growth_pct"),
     )
     return means.withColumn("gap", F.col("actual_growth_pct") - F.col("benchmark_growth_pct"))
 

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from quarterdeck.functions.scores import engagement
 from quarterdeck.functions.text import strip
-from quarterdeck.operators.contracts import key_or_fail, require_columns, timestamp_or_fail
+from quarterdeck.operators.contracts import day_or_fail, key_or_fail, require_columns
 from quarterdeck.params import ActivityRules
 
+# Column names of the exports.
 DEAL_COLUMNS = ("deal_id", "stage", "close_date", "arr", "rep_name", "account_name")
 ACTIVITY_COLUMNS = ("deal_id", "activity_type", "activity_date", "contact_role")
 
@@ -24,7 +25,7 @@ def normalize_deals(raw: DataFrame) -> DataFrame:
         key_or_fail("deal_id").alias("deal_id"),
         text["stage"].alias("stage"),
         text["close_date"].alias("close_date"),
-        F.col("arr").cast("int").alias("arr"),
+        F.col("arr").cast("long").alias("arr"),
         text["rep_name"].alias("rep_name"),
         text["account_name"].alias("account_name"),
         "ordinal",
@@ -60,11 +61,11 @@ def activity_counts(log: DataFrame) -> DataFrame:
     require_columns(log, ACTIVITY_COLUMNS)
     parsed = log.select(
         strip(F.col("deal_id").cast("string")).alias("deal_id"),
-        timestamp_or_fail("activity_date").alias("activity_ts"),
+        day_or_fail("activity_date").alias("activity_day"),
     )
     return parsed.groupBy("deal_id").agg(
         F.count("*").alias("activity_count"),
-        F.max("activity_ts").cast("date").alias("last_activity_date"),
+        F.max("activity_day").alias("last_activity_date"),
     )
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarterdeck.functions import tone
+from quarterdeck.functions.dates import written_day
 from quarterdeck.functions.text import strip
 from quarterdeck.operators.contracts import require_columns
 from quarterdeck.operators.ordering import positions
@@ -29,6 +30,8 @@ EARLY, LATE = "early", "late"
 _TURN_SHIFT = 16
 _CALL_SHIFT = 12
 _EMAIL_SHIFT = 16
+# Blocks are merged this many bits at a time, so no list is longer than 2^10 blocks.
+_FAN_IN_BITS = 10
 
 
 def buyer_turns(transcripts: DataFrame) -> DataFrame:
@@ -80,7 +83,7 @@ def call_halves(transcripts: DataFrame) -> DataFrame:
 
 def call_cutoffs(transcripts: DataFrame) -> DataFrame:
     """Last day with any call, buyer turns or not; unreadable dates are skipped."""
-    day = F.try_to_timestamp(F.col("call_date").cast("string")).cast("date")
+    day = written_day(F.col("call_date"))
     return (
         transcripts.select(strip(F.col("deal_id").cast("string")).alias("deal_id"), day.alias("day"))
         .groupBy("deal_id")
@@ -90,7 +93,7 @@ def call_cutoffs(transcripts: DataFrame) -> DataFrame:
 
 def email_halves(emails: DataFrame, transcripts: DataFrame) -> DataFrame:
     """E-mails marked late after the deal's last call, or when either date is unknown."""
-    sent = F.try_to_timestamp(F.col("timestamp").cast("string")).cast("date")
+    sent = written_day(F.col("timestamp"))
     dated = emails.withColumn("deal_id", strip(F.col("deal_id").cast("string"))).withColumn("sent", sent)
     joined = salted_join(dated, call_cutoffs(transcripts), ["deal_id"], ["ordinal"])
     late = F.col("cutoff").isNull() | F.col("sent").isNull() | (F.col("sent") > F.col("cutoff"))
@@ -212,7 +215,19 @@ def _call_blocks(transcripts: DataFrame, counter: _Counter) -> DataFrame:
         "block", F.shiftright("call_num", _CALL_SHIFT).cast("long")
     )
     blocks = counter.merge(split, ["deal_id", "half", "day", "block"], ["call_num", "turn_block"])
-    return blocks.withColumn("source", F.lit(0))
+    # Call numbers have 31 bits: two steps leave one row per day; days then merge by month.
+    days = _merge_blocks(blocks, counter, ["deal_id", "half", "day"], steps=2)
+    months = days.withColumn("month", F.substring("day", 1, 7))
+    merged = counter.merge(months, ["deal_id", "half", "month"], ["day", "block"])
+    return merged.withColumnRenamed("month", "day").withColumns({"source": F.lit(0), "block": F.lit(0).cast("long")})
+
+
+def _merge_blocks(blocks: DataFrame, counter: _Counter, group: list[str], steps: int) -> DataFrame:
+    """Neighbouring blocks merged step by step, a bounded number at a time."""
+    for _ in range(steps):
+        wider = blocks.withColumn("_wide", F.shiftright("block", _FAN_IN_BITS))
+        blocks = counter.merge(wider, [*group, "_wide"], ["block"]).withColumnRenamed("_wide", "block")
+    return blocks
 
 
 def _email_blocks(emails: DataFrame, transcripts: DataFrame, counter: _Counter) -> DataFrame:
@@ -221,7 +236,8 @@ def _email_blocks(emails: DataFrame, transcripts: DataFrame, counter: _Counter)
         "block", F.shiftright(F.col("ordinal").cast("long"), _EMAIL_SHIFT)
     )
     blocks = counter.merge(split, ["deal_id", "half", "block"], ["ordinal"])
-    return blocks.withColumns({"source": F.lit(1), "day": F.lit("")})
+    # Ordinals of many input splits have some 50 bits; three steps leave a few blocks.
+    return _merge_blocks(blocks, counter, ["deal_id", "half"], steps=3).withColumns({"source": F.lit(1), "day": F.lit("")})
 
 
 def half_scores(transcripts: DataFrame, emails: DataFrame, rules: ToneRules) -> DataFrame:
