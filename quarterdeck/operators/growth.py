@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from quarterdeck.functions import report
 from quarterdeck.functions.numbers import growth_pct, money_sum
 from quarterdeck.operators.contracts import ContractError
-from quarterdeck.operators.skew import salted_join
 from quarterdeck.params import ReviewRules
 
 # Stage names of closed opportunities.
@@ -103,13 +102,23 @@ def segment_source(growth: DataFrame, segments: Sequence[str]) -> DataFrame:
 def benchmark_gaps(segments: DataFrame, growth: DataFrame, benchmarks: DataFrame, rules: ReviewRules) -> DataFrame:
     """Growth less benchmark in points, rounded to 2 before the inclusive two-sided flag.
 
-    A segment without growth keeps its benchmark and has no gap.
+    A segment without growth, or without a benchmark, stays and has no gap; it is not
+    flagged.  ``enforce_benchmarks`` stops a run that lacks one.
     """
-    joined = segments.join(benchmarks, "segment").join(
+    joined = segments.join(benchmarks, "segment", "left").join(
         growth.select("segment", F.col("yoy_growth_pct").alias("internal_yoy_growth_pct")), "segment", "left"
     )
     gap = F.round(F.col("internal_yoy_growth_pct") - F.col("benchmark_growth_pct"), 2)
-    return joined.withColumn("gap_pp", gap).withColumn("flagged", F.abs("gap_pp") >= rules.gap_threshold_pp)
+    flagged = F.coalesce(F.abs("gap_pp") >= rules.gap_threshold_pp, F.lit(False))
+    return joined.withColumn("gap_pp", gap).withColumn("flagged", flagged)
+
+
+def enforce_benchmarks(segments: DataFrame, benchmarks: DataFrame) -> None:
+    """Stops and names the segments that have no benchmark; segments are few."""
+    known = benchmarks.filter(F.col("benchmark_growth_pct").isNotNull())
+    missing = sorted(str(r["segment"]) for r in segments.join(known, "segment", "left_anti").collect())
+    if missing:
+        raise ContractError(f"segments without a benchmark: {', '.join(missing)}")
 
 
 def _place(segment: Column, segments: Sequence[str]) -> Column:
@@ -151,12 +160,16 @@ def segment_context(growth: DataFrame, gaps: DataFrame, summary: DataFrame) -> D
 def synthesis_context(context: DataFrame, reference: DataFrame, competitors: DataFrame, rules: ReviewRules) -> DataFrame:
     """One row: the whole review as JSON for a later writing step.
 
-    It lists the segments and the few top competitors, both short by configuration.
+    It lists the segments, in configured order, and the few top competitors; both lists
+    are short by configuration.
     """
     pick = ("name", "lost_arr", "loss_count", "threat_level", "headline", "g2_sentiment", "pricing_signal")
+    place = _place(F.col("segment"), rules.segments).alias("place")
+    row = F.struct(place, F.col("segment").alias("key"), F.struct(*context.columns).alias("row"))
+    marked = F.when(F.col("flagged"), F.struct(place, F.col("segment").alias("key")))
     segments = context.agg(
-        F.sort_array(F.collect_list(F.struct(*context.columns))).alias("segments"),
-        F.sort_array(F.collect_list(F.when(F.col("flagged"), F.col("segment")))).alias("flagged_segments"),
+        F.sort_array(F.collect_list(row))["row"].alias("segments"),
+        F.sort_array(F.collect_list(marked))["key"].alias("flagged_segments"),
     )
     threats = competitors.agg(
         F.sort_array(F.collect_list(F.struct("competitor_rank", *(F.col(c) for c in pick if c in competitors.columns))))
@@ -217,7 +230,9 @@ def allocate_bookings(opportunities: DataFrame, targets: DataFrame, weight: str)
     """Each segment's quarter targets shared out by weight, rounded to cents.
 
     ``targets`` has (segment, quarter, target).  Weights are summed by a combining
-    aggregation; the few targets of a segment travel as one array.
+    aggregation; the few targets of a segment travel as one array.  The join is a plain
+    one: one row per segment is sent to the opportunities, and should it ever be too
+    large for that, Spark splits hot segments by their size.
     """
     if weight not in opportunities.columns:
         raise ContractError(f"missing columns: {weight}")
@@ -225,8 +240,7 @@ def allocate_bookings(opportunities: DataFrame, targets: DataFrame, weight: str)
     packed = targets.groupBy("segment").agg(F.sort_array(F.collect_list(F.struct("quarter", "target"))).alias("_plan"))
     shares = sums.join(packed, "segment")
     rows = opportunities.select("opportunity_id", "segment", F.col(weight).cast("double").alias("_weight"))
-    spread = salted_join(rows, shares, ["segment"], ["opportunity_id"], how="inner")
-    planned = spread.withColumn("_goal", F.explode("_plan"))
+    planned = rows.join(shares, "segment").withColumn("_goal", F.explode("_plan"))
     share = F.col("_goal.target") * F.col("_weight") / F.col("_weights")
     return planned.select(
         "opportunity_id", "segment", F.col("_goal.quarter").alias("quarter"), F.round(share, 2).alias("booked_arr")
@@ -234,5 +248,5 @@ def allocate_bookings(opportunities: DataFrame, targets: DataFrame, weight: str)
 
 
 def sampled_rows(rows: DataFrame, sample_ids: DataFrame, key: str) -> DataFrame:
-    """Rows whose id was picked, however often an id occurs in ``rows``."""
-    return salted_join(rows, sample_ids.select(key).distinct(), [key], rows.columns, how="left_semi")
+    """Rows whose id was picked, however often an id occurs in ``rows``; one pass over them."""
+    return rows.join(sample_ids.select(key), key, "left_semi")

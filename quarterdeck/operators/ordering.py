@@ -22,7 +22,8 @@ def positions(
     by the blocks and then by ``order`` inside the last block.  Rows are counted
     per block (combined before the shuffle), the counts are summed up block by
     block, and only the rows of one finest block are ever sorted together.  So a
-    group may be as large as the table.
+    group may be as large as the table.  Rows without a key form a group like any
+    other, and rows without a block sort first.
     """
     group = list(group)
     names = [f"_block{i}" for i in range(len(blocks))]
@@ -44,17 +45,22 @@ def positions(
             level = level.groupBy(*group, *parent).agg(F.sum("_n").alias("_n"))
     starts = steps[-1]
     for depth in range(2, len(names) + 1):
-        starts = steps[len(names) - depth].join(starts, [*group, *names[: depth - 1]])
+        starts = _null_safe_join(steps[len(names) - depth], starts, [*group, *names[: depth - 1]])
     start = sum((F.col(f"_before{d}") for d in range(1, len(names) + 1)), F.lit(0))
     starts = starts.select(*group, *names, start.alias("_start"), *([total] if total else []))
 
     inside = Window.partitionBy(*group, *names).orderBy(*order)
-    return (
-        blocked.withColumn("_row", F.row_number().over(inside))
-        .join(starts, [*group, *names])
-        .withColumn(position, F.col("_start") + F.col("_row") - 1)
-        .drop("_row", "_start", *names)
-    )
+    placed = _null_safe_join(blocked.withColumn("_row", F.row_number().over(inside)), starts, [*group, *names])
+    return placed.withColumn(position, F.col("_start") + F.col("_row") - 1).drop("_row", "_start", *names)
+
+
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join in which null keys are equal; the keys come from the left side."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"_right_{key}"))
+    return left.join(renamed, same).drop(*(f"_right_{k}" for k in keys))
 
 
 def ordinal_blocks(ordinal: str | Column) -> list[Column]:

@@ -17,7 +17,6 @@ from pyspark.sql import types as T
 from quarterdeck.functions.text import strip
 from quarterdeck.operators.contracts import ContractError, require_columns
 from quarterdeck.operators.ordering import head_per_group, ordinal_blocks, positions
-from quarterdeck.operators.skew import salted_join
 
 CHUNK_COLUMNS = ("chunk_id", "deal_id", "document")
 
@@ -31,7 +30,10 @@ def corpus_deals(transcripts: DataFrame, emails: DataFrame) -> DataFrame:
 
 
 def corpus_chunks(transcripts: DataFrame, emails: DataFrame) -> DataFrame:
-    """One chunk per turn and e-mail; ids are ``deal:source:i`` with i counted in file order."""
+    """One chunk per turn and e-mail; ids are ``deal:source:i`` with i counted in file order.
+
+    Rows without a deal id are chunks without one, under ids that begin with a colon.
+    """
 
     def source(df: DataFrame, name: str, text: str) -> DataFrame:
         return df.select(
@@ -43,7 +45,8 @@ def corpus_chunks(transcripts: DataFrame, emails: DataFrame) -> DataFrame:
 
     rows = source(transcripts, "transcript", "turn_text").unionByName(source(emails, "email", "body"))
     numbered = positions(rows, ["deal_id", "source"], ordinal_blocks("ordinal"), ["ordinal"])
-    return numbered.select(F.concat_ws(":", "deal_id", "source", "position").alias("chunk_id"), "deal_id", "document")
+    name = F.concat_ws(":", F.coalesce("deal_id", F.lit("")), "source", "position")
+    return numbered.select(name.alias("chunk_id"), "deal_id", "document")
 
 
 def with_embeddings(
@@ -64,7 +67,8 @@ def with_embeddings(
         def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             run = encoder()
             for texts in batches:
-                yield pd.Series([list(map(float, v)) for v in run(texts.fillna("").tolist())])
+                vectors = run(texts.fillna("").tolist())
+                yield pd.Series([np.asarray(v, "float32") for v in vectors])
 
         return df.withColumn("embedding", encode(F.col(text_column)))
     words = RegexTokenizer(inputCol="_text", outputCol="_words", pattern=r"(?U)\W+")
@@ -101,7 +105,7 @@ def squared_distances(embedding: str, questions: str) -> Column:
             lengths = set(lists.value_lengths().drop_null().to_pylist())
             if len(lengths) > 1:
                 raise ValueError(f"vectors differ in length: {sorted(lengths)}")
-            flat = lists.flatten().to_numpy(zero_copy_only=False).astype("float64")
+            flat = lists.flatten().to_numpy(zero_copy_only=False)
             return flat.reshape(-1, lengths.pop() if lengths else 1)
 
         counts = asked_of.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
@@ -111,42 +115,54 @@ def squared_distances(embedding: str, questions: str) -> Column:
         owner = np.repeat(np.arange(len(vectors)), counts)
         known = present[owner] & asked_present
         distances = np.zeros(len(owner))
-        if known.any():
-            ours = as_rows(vectors)[(np.cumsum(present) - 1)[owner[known]]]
-            theirs = as_rows(asked)[(np.cumsum(asked_present) - 1)[known]]
-            apart = ours - theirs
-            distances[known] = (apart * apart).sum(axis=1)
         offsets = np.concatenate([[0], np.cumsum(counts)]).astype("int32")
+        if known.any():
+            ours, theirs = as_rows(vectors), as_rows(asked)
+            our_row, their_row = np.cumsum(present) - 1, np.cumsum(asked_present) - 1
+            # One question position after the other, some rows at a time: copies stay small.
+            for place in range(int(counts.max())):
+                with_place = np.flatnonzero(counts > place)
+                for start in range(0, len(with_place), 1024):
+                    rows = with_place[start : start + 1024]
+                    at = offsets[rows] + place
+                    both = known[at]
+                    apart = ours[our_row[rows[both]]].astype("float64") - theirs[their_row[at[both]]]
+                    distances[at[both]] = (apart * apart).sum(axis=1)
         return pa.ListArray.from_arrays(offsets, pa.array(distances, mask=~known))
 
     return measure(F.col(embedding), F.col(questions))
 
 
 def query_distances(chunks: DataFrame, queries: DataFrame) -> DataFrame:
-    """Distance of every chunk to each query of its deal.
+    """Distance of every chunk to each query of its deal: (deal_id, query_no, chunk_id, distance).
 
     ``queries`` has (query_no, embedding) for questions put to all deals, or a
     deal_id as well.  A deal's queries are few, so they travel as one array beside
-    each chunk; chunks of one deal never meet each other.
+    each chunk; chunks of one deal never meet each other, and their texts stay behind.
     """
+    chunks = chunks.select("deal_id", "chunk_id", "embedding")
     packed = F.sort_array(F.collect_list(F.struct("query_no", "embedding"))).alias("_queries")
     if "deal_id" in queries.columns:
         asked = queries.groupBy("deal_id").agg(packed)
-        paired = salted_join(chunks, asked, ["deal_id"], ["chunk_id"], how="inner")
+        paired = chunks.join(asked, "deal_id")
     else:
         paired = chunks.withColumn("_queries", queries.agg(packed).scalar())
     measured = paired.withColumn("_distances", squared_distances("embedding", "_queries.embedding"))
     each = F.arrays_zip(F.col("_queries.query_no").alias("query_no"), F.col("_distances").alias("distance"))
-    return measured.select("deal_id", "chunk_id", "document", F.inline(each)).select(
-        "deal_id", "query_no", "chunk_id", "document", "distance"
-    )
+    return measured.select("deal_id", "chunk_id", F.inline(each)).select("deal_id", "query_no", "chunk_id", "distance")
 
 
 def nearest_chunks(chunks: DataFrame, queries: DataFrame, top_k: int) -> DataFrame:
-    """The ``top_k`` nearest chunks for each deal and query, with ``hit_rank`` from 1."""
+    """The ``top_k`` nearest chunks for each deal and query, with ``hit_rank`` from 1 and their document.
+
+    Only ids and distances are ranked; the few texts that are wanted are looked up afterwards.
+    """
     distances = query_distances(chunks, queries)
     order = [F.asc_nulls_last("distance"), F.col("chunk_id")]
-    return head_per_group(distances, ["deal_id", "query_no"], order, max(top_k, 1), rank="hit_rank")
+    first = head_per_group(distances, ["deal_id", "query_no"], order, max(top_k, 1), rank="hit_rank")
+    return first.join(chunks.select("deal_id", "chunk_id", "document"), ["deal_id", "chunk_id"]).select(
+        "deal_id", "query_no", "chunk_id", "document", "distance", "hit_rank"
+    )
 
 
 def merge_hits(hits: DataFrame) -> DataFrame:
@@ -181,20 +197,36 @@ def context_blocks(merged: DataFrame) -> DataFrame:
 def deal_context(requested: DataFrame, chunks: DataFrame, queries: DataFrame, top_k: int) -> DataFrame:
     """``requested`` with the context block and retrieval status of every deal.
 
-    Retrieval succeeds for a deal even when it has no chunks; the block is empty then.
+    Retrieval succeeds for a deal that has an id when every question that concerns it can
+    be put, even when the deal has no chunks; the block is empty then.
     """
     blocks = context_blocks(merge_hits(nearest_chunks(chunks, queries, top_k)))
     joined = requested.join(blocks, "deal_id", "left")
-    return joined.withColumn("context_block", F.coalesce("context_block", F.lit(""))).withColumn(
-        "retrieval_ok", F.lit(True)
+    return joined.withColumns(
+        {
+            "context_block": F.coalesce("context_block", F.lit("")),
+            "retrieval_ok": askable(F.col("deal_id")) & _questions_ok(joined, queries),
+        }
     )
 
 
+def askable(deal_id: Column) -> Column:
+    """Whether a question can be put to a deal: it has an id that is not blank."""
+    return F.coalesce(strip(deal_id.cast("string")), F.lit("")) != ""
+
+
+def _questions_ok(joined: DataFrame, queries: DataFrame) -> Column:
+    """Whether there are questions, none of them blank or without a vector; asked of the few questions themselves."""
+    whole = F.col("embedding").isNotNull()
+    if "query" in queries.columns:
+        whole = whole & (F.trim(F.coalesce("query", F.lit(""))) != "")
+    return queries.agg(F.coalesce(F.bool_and(whole), F.lit(False)).alias("ok")).scalar()
+
+
 def retrieval_outcomes(requested: DataFrame, queries: Sequence[str]) -> DataFrame:
     """Whether each question can be asked of each deal: neither side may be blank."""
     asked = F.array(*(F.struct(F.lit(i).alias("query_no"), F.lit(bool(q.strip())).alias("ok")) for i, q in enumerate(queries)))
-    named = F.coalesce(strip(F.col("deal_id").cast("string")), F.lit("")) != ""
-    each = requested.select("deal_id", named.alias("named"), F.explode(asked).alias("q"))
+    each = requested.select("deal_id", askable(F.col("deal_id")).alias("named"), F.explode(asked).alias("q"))
     return each.select("deal_id", "q.query_no", (F.col("named") & F.col("q.ok")).alias("success"))
 
 

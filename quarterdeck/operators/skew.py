@@ -1,4 +1,9 @@
-"""Joins of a large table with a per-key table when some keys hold much of the rows."""
+"""Joins of a large table with a per-key table when some keys hold many of the rows.
+
+Spark's adaptive execution splits hot keys of a plain join by their measured size; that
+is enough wherever nothing above the join needs the rows of a key together.  The helper
+here is for the other joins: it cuts hot keys into parts before the shuffle.
+"""
 
 from __future__ import annotations
 
@@ -7,17 +12,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than 1/MAX_HOT_KEYS of the rows, so there are
-# fewer than MAX_HOT_KEYS of them at any data size and the list may be broadcast.
+# Rows of one part.  The more rows a table has, the more parts a hot key is cut into.
+PART_ROWS = 500_000
+# The most frequent keys that are looked at.  Their list is bounded and may be broadcast.
 MAX_HOT_KEYS = 2048
 
 
-def hot_keys(large: DataFrame, keys: Sequence[str], max_hot: int = MAX_HOT_KEYS) -> DataFrame:
-    """Hot keys with the number of parts each is cut into (at most ``max_hot``)."""
-    counts = large.filter(_all_present(keys)).groupBy(*keys).agg(F.count("*").alias("_rows"))
-    total = counts.agg(F.sum("_rows")).scalar()
-    share = F.floor(F.col("_rows") * F.lit(max_hot) / total).cast("int")
-    return counts.withColumn("_parts", share).filter("_parts > 1").drop("_rows")
+def hot_keys(large: DataFrame, keys: Sequence[str], part_rows: int = PART_ROWS, max_hot: int = MAX_HOT_KEYS) -> DataFrame:
+    """(_hash, _parts) of the frequent keys with more than ``part_rows`` rows: key hash and number of parts.
+
+    Found by one sketch of bounded size over the key columns.  Its counts are estimates:
+    they decide how rows are spread and never which rows meet.
+    """
+    item = F.when(_all_present(keys), F.xxhash64(*keys))
+    sketch = F.call_function("approx_top_k", item, F.lit(max_hot), F.lit(8 * max_hot))
+    found = large.agg(sketch.alias("top")).select(F.inline("top")).filter("item IS NOT NULL")
+    parts = F.ceil(F.col("count") / F.lit(part_rows)).cast("int")
+    return found.select(F.col("item").alias("_hash"), parts.alias("_parts")).filter("_parts > 1")
 
 
 def salted_join(
@@ -26,26 +37,28 @@ def salted_join(
     keys: Sequence[str],
     spread_on: Sequence[str | Column],
     how: str = "left",
+    part_rows: int = PART_ROWS,
     max_hot: int = MAX_HOT_KEYS,
 ) -> DataFrame:
     """``large`` joined with ``per_key``, each hot key cut into parts by a hash of ``spread_on``.
 
-    Only the rows of hot keys in ``per_key`` are repeated, once per part: in sum
-    fewer than ``max_hot`` extra copies of a row.  Rows without a key match nothing
-    and are spread as well.  The parts come from row values, so a rerun task sends
-    each row to the same place.
+    A part has about ``part_rows`` rows.  Only the rows of hot keys in ``per_key`` are
+    repeated, once per part.  Rows without a key match nothing and are spread as well.
+    The parts come from row values, so a rerun task sends each row to the same place.
     """
     keys = list(keys)
-    hot = F.broadcast(hot_keys(large, keys, max_hot))
+    hot = F.broadcast(hot_keys(large, keys, part_rows, max_hot))
     parts = F.when(~_all_present(keys), F.lit(max_hot)).otherwise(F.coalesce("_parts", F.lit(1)))
     spread = F.pmod(F.xxhash64(*spread_on), parts).cast("int")
-    left = large.join(hot, keys, "left").withColumn("_part", spread).drop("_parts")
+    hashed = F.xxhash64(*keys)
+    left = large.withColumn("_hash", hashed).join(hot, "_hash", "left").withColumn("_part", spread)
     right = (
-        per_key.join(hot, keys, "left")
+        per_key.withColumn("_hash", hashed)
+        .join(hot, "_hash", "left")
         .withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)))
-        .drop("_parts")
     )
-    return left.join(right, [*keys, "_part"], how).drop("_part")
+    helpers = ("_hash", "_parts")
+    return left.drop(*helpers).join(right.drop(*helpers), [*keys, "_part"], how).drop("_part")
 
 
 def _all_present(keys: Sequence[str]) -> Column:

@@ -14,9 +14,15 @@ def skewed(spark, n=6000):
     return spark.range(n).select(key.alias("key"), F.col("id").alias("ordinal"))
 
 
-def test_hot_keys_are_few_and_cut_by_share(spark):
-    hot = {r["key"]: r["_parts"] for r in hot_keys(skewed(spark), ["key"], 64).collect()}
-    assert list(hot) == ["hot"] and hot["hot"] == 21
+def test_hot_keys_are_cut_by_rows(spark):
+    expected = spark.range(1).select(F.xxhash64(F.lit("hot"))).first()[0]
+    for part_rows, parts in ((100, 20), (700, 3)):
+        hot = {r["_hash"]: r["_parts"] for r in hot_keys(skewed(spark), ["key"], part_rows, 64).collect()}
+        assert hot == {expected: parts}
+    # Twice the rows: twice the parts, each as large as before.
+    twice = skewed(spark).union(skewed(spark))
+    assert [r["_parts"] for r in hot_keys(twice, ["key"], 100, 64).collect()] == [40]
+    assert hot_keys(skewed(spark), ["key"], 2000, 64).count() == 0
 
 
 def test_salted_join_equals_plain_join(spark, rows):
@@ -24,7 +30,7 @@ def test_salted_join_equals_plain_join(spark, rows):
     per_key = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3), ("none", 4)], "key string, v int")
     for how in ("left", "inner", "left_semi"):
         plain = large.join(per_key, ["key"], how)
-        assert rows(salted_join(large, per_key, ["key"], ["ordinal"], how, 64)) == rows(plain), how
+        assert rows(salted_join(large, per_key, ["key"], ["ordinal"], how, 100)) == rows(plain), how
 
 
 def test_salted_join_spreads_the_hot_key(spark):
@@ -33,7 +39,7 @@ def test_salted_join_spreads_the_hot_key(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     try:
         per_key = spark.createDataFrame([("hot", 1)], "key string, v int")
-        joined = salted_join(skewed(spark), per_key, ["key"], ["ordinal"], "inner", 64)
+        joined = salted_join(skewed(spark), per_key, ["key"], ["ordinal"], "inner", 100)
         sizes = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
