@@ -46,6 +46,11 @@ def fenced_json(text: Column) -> Column:
     )
 
 
+def object_only(payload: Column) -> Column:
+    """The payload when it is a JSON object, else null: a number, a text or a list answers nothing."""
+    return F.when(F.startswith(F.schema_of_variant(payload), F.lit("OBJECT")), payload)
+
+
 def text_field(payload: Column, name: str, default: str) -> Column:
     """A field as text, the default when missing or null."""
     return F.coalesce(F.try_variant_get(payload, f"$.{name}", "string"), F.lit(default))

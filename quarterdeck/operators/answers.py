@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarterdeck.functions.answers import answer_json, fenced_json, text_field
+from quarterdeck.functions.answers import answer_json, fenced_json, object_only, text_field
 
 
 def parse_benchmarks(answers: DataFrame, text: str) -> DataFrame:
@@ -70,7 +70,7 @@ SIGNAL_DEFAULTS = {
 
 def parse_signals(answers: DataFrame, text: str) -> DataFrame:
     """Adds the signal fields with their defaults, recent_launches as text list, and ok."""
-    parsed = answers.withColumn("_payload", answer_json(F.col(text)))
+    parsed = answers.withColumn("_payload", object_only(answer_json(F.col(text))))
     launches = F.transform(
         F.try_variant_get(F.col("_payload"), "$.recent_launches", "array<variant>"),
         lambda v: F.try_variant_get(v, "$", "string"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quarterdeck.functions import report
 from quarterdeck.functions.numbers import money_sum
 from quarterdeck.functions.text import strip
+from quarterdeck.operators.contracts import ContractError
 from quarterdeck.operators.growth import CLOSED_LOST
 from quarterdeck.operators.ordering import head_per_group
 
@@ -101,10 +102,17 @@ def competitor_signals(ranked: DataFrame, signals: DataFrame) -> DataFrame:
     return ranked.join(signals, "name", "left")
 
 
+def require_competitors(ranked: DataFrame) -> DataFrame:
+    """Stops a run whose losses name no competitor."""
+    if ranked.isEmpty():
+        raise ContractError("no competitor named in lost opportunities")
+    return ranked
+
+
 def threat_summary(competitors: DataFrame) -> DataFrame:
     """One row: ranked names, the headline on the first, and the watch list (the same names).
 
-    ``competitors`` holds the top few only.
+    ``competitors`` holds the top few only; without any there is no row.
     """
     first = F.min_by(F.struct("name", "headline"), "competitor_rank")
     names = F.sort_array(F.collect_list(F.struct("competitor_rank", "name")))["name"]
@@ -112,5 +120,6 @@ def threat_summary(competitors: DataFrame) -> DataFrame:
     headline = F.coalesce(
         F.nullif(F.col("_first.headline"), F.lit("")), F.concat(F.lit("Top threat: "), F.col("_first.name"))
     )
-    return summary.select("top_threats", headline.alias("headline"), F.col("top_threats").alias("recommended_watchlist"))
+    found = summary.filter(F.size("top_threats") > 0)
+    return found.select("top_threats", headline.alias("headline"), F.col("top_threats").alias("recommended_watchlist"))
 

@@ -79,7 +79,11 @@ def batch_counts(scored: DataFrame) -> DataFrame:
 
 def forecast_prompts(scored: DataFrame, rules: HealthRules) -> DataFrame:
     """One prompt per handed-off deal, for a later batch step outside Spark."""
-    due = handoffs(scored, rules)
+    return prompt_rows(handoffs(scored, rules), rules)
+
+
+def prompt_rows(due: DataFrame, rules: HealthRules) -> DataFrame:
+    """The prompts of deals that were picked before; no score is looked at again."""
     values = {
         name: F.col(name)
         for name in (

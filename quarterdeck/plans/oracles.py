@@ -13,11 +13,11 @@ def q(text: str) -> str:
 
 
 def money(column: str) -> str:
-    return f"(sum(CAST(round({column} * 10000) AS BIGINT)) / CAST(10000 AS DOUBLE))"
+    return f"CAST(sum(CAST({column} AS DECIMAL(28, 10))) AS DOUBLE)"
 
 
 SEGMENT_LIST = ", ".join(q(s) for s in MARKET_SEGMENTS)
-YEAR_QUARTERS = [f"{y}-Q{n}" for y in range(1995, 2002) for n in range(1, 5)][:27]
+YEAR_QUARTERS = [*(f"{y}-Q{n}" for y in range(1995, 2001) for n in range(1, 5)), "2001-Q1", "2001-Q2", "2001-Q3"]
 
 # Twins of the functions in ``bindings``.
 VIEWS = {
@@ -53,7 +53,7 @@ VIEWS = {
         FROM customer GROUP BY 1""",
     "deal_rows": """
         SELECT 'DEAL-' || CAST(o_custkey AS VARCHAR) AS deal_id, o_orderstatus AS stage,
-               CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS close_date, CAST(trunc(o_totalprice) AS INTEGER) AS arr,
+               CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS close_date, CAST(trunc(o_totalprice) AS BIGINT) AS arr,
                o_orderpriority AS rep_name, 'Account ' || CAST(o_custkey AS VARCHAR) AS account_name,
                o_orderkey AS ordinal
         FROM orders""",
@@ -211,7 +211,7 @@ VIEWS |= {
         SELECT segment, 'crm_sync' AS segments_source, benchmark_growth_pct, yoy_growth_pct AS internal_yoy_growth_pct,
                round(yoy_growth_pct - benchmark_growth_pct, 2) AS gap_pp,
                abs(round(yoy_growth_pct - benchmark_growth_pct, 2)) >= 5 AS flagged
-        FROM growth JOIN benchmarks USING (segment)""",
+        FROM growth LEFT JOIN benchmarks USING (segment)""",
     "summary": f"""
         SELECT segment, count(*) AS "count", count(*) FILTER (stage = 'Closed Won') AS closed_won,
                count(*) FILTER (stage = 'Closed Lost') AS closed_lost, round({money('arr')}, 2) AS total_pipeline_arr
@@ -372,9 +372,9 @@ _BOUNDS = """
                 ELSE max(arr) < 600000 END AS passed
     FROM opps WHERE segment IN ('AUTOMOBILE', 'BUILDING', 'MACHINERY') GROUP BY 1"""
 _MEANS = f"""
-    SELECT segment, {money('benchmark_growth_pct')} / count(*) AS benchmark_growth_pct,
-           {money('actual_growth_pct')} / count(*) AS actual_growth_pct,
-           {money('actual_growth_pct')} / count(*) - {money('benchmark_growth_pct')} / count(*) AS gap
+    SELECT segment, round(avg(benchmark_growth_pct), 9) AS benchmark_growth_pct,
+           round(avg(actual_growth_pct), 9) AS actual_growth_pct,
+           round(avg(actual_growth_pct) - avg(benchmark_growth_pct), 9) AS gap
     FROM bookings GROUP BY 1"""
 _VARIATION = f"""SELECT min(gap) AS min_gap, max(gap) AS max_gap, min(gap) < 0 AND max(gap) > 0 AS passed FROM ({_MEANS})"""
 _QUARTERS = ", ".join(q(y) for y in YEAR_QUARTERS)
@@ -586,7 +586,7 @@ STATEMENTS = {
                'sentiment_score: ' || {_two('sentiment_score')} || ' | tone_trajectory: ' || {_two('tone_trajectory')},
                'sentiment_decline_flag: ' || {_flag('sentiment_decline_flag')},
                'rag_summary:', coalesce(context_block, ''), {q(report.FORECAST_PROMPT[-1])}) AS prompt
-        FROM scored WHERE round(slip_risk_score, 2) > 0.65::DOUBLE""",
+        FROM scored WHERE handoff_triggered""",
     "handoffs": "SELECT deal_id, round(slip_risk_score, 6) AS slip_risk_score FROM scored WHERE handoff_triggered",
     "batch_counts": "SELECT count(*) AS scored, count(*) FILTER (handoff_triggered) AS handed_off FROM scored",
     # growth

@@ -29,7 +29,7 @@ def query(fn: Query) -> Query:
 
 
 QUALITY = QualityRules(allowed_segments=("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"))
-YEARS = tuple(f"{y}-Q{q}" for y in range(1995, 2002) for q in range(1, 5))[:27]
+YEARS = (*(f"{y}-Q{q}" for y in range(1995, 2001) for q in range(1, 5)), "2001-Q1", "2001-Q2", "2001-Q3")
 BOUNDS = (
     ArrBound("AUTOMOBILE", minimum=1000),
     ArrBound("BUILDING", minimum=50_000, maximum=200_000),
@@ -170,12 +170,14 @@ def arr_bounds(spark, sf):
 
 @query
 def growth_means(spark, sf):
-    return contracts.segment_growth_means(b.bookings(spark, sf))
+    return rounded(
+        contracts.segment_growth_means(b.bookings(spark, sf)), "benchmark_growth_pct", "actual_growth_pct", "gap", digits=9
+    )
 
 
 @query
 def growth_variation(spark, sf):
-    return contracts.growth_variation(b.bookings(spark, sf))
+    return rounded(contracts.growth_variation(b.bookings(spark, sf)), "min_gap", "max_gap", digits=9)
 
 
 @query
@@ -416,7 +418,7 @@ def _vectors(spark, sf):
 @query
 def query_distances(spark, sf):
     distances = retrieval.query_distances(*_vectors(spark, sf))
-    return rounded(distances, "distance").drop("document")
+    return rounded(distances, "distance")
 
 
 @query
@@ -509,10 +511,10 @@ def batch_counts(spark, sf):
 
 @query
 def forecast_prompts(spark, sf):
-    scored = rounded(
-        deal_scores(spark, sf), "slip_risk_score", "engagement_score", "sentiment_score", "tone_trajectory", digits=2
-    )
-    return health.forecast_prompts(scored, HealthRules()).select("deal_id", "prompt")
+    """Deals above the unrounded trigger; the scores are rounded for display only."""
+    due = health.handoffs(deal_scores(spark, sf), HealthRules())
+    shown = rounded(due, "slip_risk_score", "engagement_score", "sentiment_score", "tone_trajectory", digits=2)
+    return health.prompt_rows(shown, HealthRules()).select("deal_id", "prompt")
 
 
 # ---- growth

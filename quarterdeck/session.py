@@ -18,12 +18,17 @@ SQL_SETTINGS = {
 }
 
 
+# Adaptive execution merges small partitions and never adds any: a cluster begins with many.
+CLUSTER_SETTINGS = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4096"}
+
+
 def build_session(app: str = "quarterdeck", master: str | None = None, **extra: str) -> SparkSession:
-    """A session with ``SQL_SETTINGS``; ``extra`` keys use ``__`` for the dots."""
+    """A session with ``SQL_SETTINGS``, off one machine with ``CLUSTER_SETTINGS`` too; ``extra`` keys use ``__`` for the dots."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in SQL_SETTINGS.items():
+    settings = SQL_SETTINGS if (master or "").startswith("local") else SQL_SETTINGS | CLUSTER_SETTINGS
+    for key, value in settings.items():
         builder = builder.config(key, value)
     for key, value in extra.items():
         builder = builder.config(key.replace("__", "."), value)

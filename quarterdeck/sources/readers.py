@@ -63,8 +63,10 @@ def read_json_array(spark: SparkSession, path: str, lines: bool = False) -> Data
     A call or turn number that is no whole number becomes null.
     """
     if not lines:
-        first = spark.read.text(path).filter(F.trim("value") != "").first()
-        if first is None or not first["value"].lstrip().startswith("["):
+        # One character of the first line that has any: a minified file is a single line.
+        sign = F.substring(F.ltrim(F.col("value")), 1, 1).alias("sign")
+        first = spark.read.text(path).select(sign).filter("sign != ''").first()
+        if first is None or first["sign"] != "[":
             raise ContractError(f"{path} must be a JSON array")
     known = T.StructType.fromDDL(SCHEMA_TEXT["transcripts"])
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in known])
@@ -73,10 +75,11 @@ def read_json_array(spark: SparkSession, path: str, lines: bool = False) -> Data
     return with_ordinal(typed)
 
 
-def land_csv(spark: SparkSession, path: str, table_path: str, infer: bool = True) -> DataFrame:
+def land_csv(spark: SparkSession, path: str, table_path: str, infer: bool = False) -> DataFrame:
     """Replaces the raw table with the file and returns the table; an empty file is an error.
 
-    With ``infer`` the column types are taken from the data, at the cost of a second read.
+    The schema is stated; with ``infer`` the column types are taken from the data, at the
+    cost of a second read.
     """
     reader = spark.read.option("header", True).option("escape", '"')
     if infer:
