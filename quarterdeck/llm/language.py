@@ -116,9 +116,18 @@ def learn(
     # What one language keeps is counted in the others too.
     chosen = kept.select("length", "entry").distinct()
     counted = entries.join(chosen, ["length", "entry"]).groupBy("length", "entry")
-    rows = counted.agg(F.sort_array(F.collect_list(F.struct("lang", "n"))).alias("counts")).collect()
-    rows.sort(key=lambda r: (r["length"], r["entry"]))
-    return build_model(rows, totals, rules)
+    # Bounded by the rules; Arrow keeps them small on the driver.
+    table = counted.agg(F.sort_array(F.collect_list(F.struct("lang", "n"))).alias("counts")).toArrow()
+    table = table.sort_by([("length", "ascending"), ("entry", "ascending")])
+    return build_model(_entries(table), totals, rules)
+
+
+def _entries(table: pa.Table):
+    """(length, entry, [(lang, n), ...]) one after the other."""
+    for batch in table.to_batches(max_chunksize=4096):
+        lengths, entries, counts = (batch.column(n).to_pylist() for n in ("length", "entry", "counts"))
+        for length, entry, found in zip(lengths, entries, counts):
+            yield length, entry, [(c["lang"], c["n"]) for c in found]
 
 
 def build_model(rows, totals: dict[tuple[str, int], int], rules: LanguageRules) -> LanguageModel:
