@@ -87,7 +87,7 @@ def segment_review(
     out: str,
     rules: ReviewRules = ReviewRules(),
 ) -> dict[str, DataFrame]:
-    """Growth, gaps, losses and context frames; stops on inconsistent ids or thin segments.
+    """Growth, gaps, losses and context frames; stops on inconsistent ids, thin segments or missing benchmarks.
 
     Bookings and opportunities are aggregated once and stored under ``out``; the
     frames read those small tables.
@@ -95,6 +95,8 @@ def segment_review(
     contracts.enforce_same_ids(opportunities, bookings, "opportunity_id")
     quarterly = writers.write_table(growth.quarterly_arr(bookings), f"{out}/quarterly_arr")
     contracts.enforce_coverage(quarterly, rules.segments)
+    reviewed = quarterly.filter(F.col("segment").isin(*rules.segments)).select("segment").distinct()
+    growth.enforce_benchmarks(reviewed, benchmarks)
     summary = writers.write_table(growth.opportunity_summary(opportunities), f"{out}/opportunity_summary")
     stats = writers.write_table(comp.competitor_stats(comp.competitor_losses(opportunities)), f"{out}/competitor_stats")
     return review_frames(quarterly, summary, stats, benchmarks, rules)
