@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarterdeck.llm.shared import stored, text_or_empty
+from quarterdeck.llm.shared import free_name, stored, text_or_empty
 
 PREFIX_CHARS = 256
 
@@ -64,9 +64,9 @@ def exact_duplicates(
 def drop_exact_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The input without the rows that ``exact_duplicates`` drops, all columns kept."""
     decided = exact_duplicates(df, id_column, text_column).filter("kept")
-    kept = decided.select(F.col(id_column).alias("_id"), F.col("text_sha256").alias("_digest"))
-    digest = F.sha2(text_or_empty(text_column).cast("binary"), 256)
-    rows = df.withColumn("_sha", digest).alias("rows")
-    same = F.col(f"rows.`{id_column}`").eqNullSafe(F.col("_id")) & (F.col("rows._sha") == F.col("_digest"))
+    stay_id, stay_digest, digest = (free_name(df.columns, n) for n in ("stay_id", "stay_digest", "digest"))
+    kept = decided.select(F.col(id_column).alias(stay_id), F.col("text_sha256").alias(stay_digest))
+    rows = df.withColumn(digest, F.sha2(text_or_empty(text_column).cast("binary"), 256))
+    same = rows[id_column].eqNullSafe(kept[stay_id]) & (rows[digest] == kept[stay_digest])
     # A pair of id and text may stand in several rows, of which one stays.
-    return rows.join(kept, same, "left_semi").dropDuplicates([id_column, "_sha"]).drop("_sha")
+    return rows.join(kept, same, "left_semi").dropDuplicates([id_column, digest]).drop(digest)

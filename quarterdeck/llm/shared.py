@@ -47,6 +47,14 @@ def text_or_empty(column: str):
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def free_name(columns: Iterable[str], name: str) -> str:
+    """``name``, with underscores in front until no column is called so."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def pair_slices(texts: Sequence[str], limit: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
     """Ranges of ``texts`` of at most ``limit`` characters each, or one longer text."""
     start = size = 0
