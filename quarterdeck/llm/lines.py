@@ -16,6 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarterdeck.llm.shared import RowBuffer, stored
 
@@ -93,6 +94,36 @@ CHUNKS_TYPE = pa.list_(
 CHUNKS = "row string, id bigint, chunks array<struct<start:int, end:int, lines:int, hash:binary>>"
 
 
+BODIES = "row string, id bigint, start int, end int, lines int, hash binary, body string"
+
+
+def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per asked chunk with its text; a document is walked once however many of its chunks are asked for."""
+    ints = [(n, pa.int32()) for n in ("start", "end", "lines")]
+    rows = RowBuffer(pa.schema([("row", pa.string()), ("id", pa.int64()), *ints, ("hash", pa.binary()), ("body", pa.string())]))
+    for batch in batches:
+        for row, key, text, asked in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for c in asked:
+                body = text[c["start"] : c["end"]].rstrip("\n")
+                rows.add(row, key, c["start"], c["end"], c["lines"], c["hash"], body, size=len(body))
+                if rows.full():
+                    yield from rows.take()
+    yield from rows.take()
+
+
+@F.arrow_udf(T.StringType())
+def without_spans(texts: pa.Array, spans: pa.Array) -> pa.Array:
+    """Each text without its (start, end) spans, which are in order and do not overlap; null spans take nothing away."""
+    out = []
+    for text, gaps in zip(texts.to_pylist(), spans.to_pylist(), strict=True):
+        kept, start = [], 0
+        for gap in gaps or ():
+            kept.append(text[start : gap["start"]])
+            start = gap["end"]
+        out.append("".join([*kept, text[start:]]))
+    return pa.array(out, pa.string())
+
+
 def repeated_chunks(docs: DataFrame, window: int, mean: int, least: int) -> DataFrame:
     """(row, start, end, lines) of the chunks to remove from ``docs`` (row, id, text)."""
     spans = docs.select("row", "id", "text").mapInArrow(_chunk_rows(window, mean, least), CHUNKS)
@@ -100,10 +131,8 @@ def repeated_chunks(docs: DataFrame, window: int, mean: int, least: int) -> Data
     again = chunks.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash")
     candidates = chunks.join(again, "hash", "left_semi")
     # Their bytes: each document's candidate chunks are cut out of its text.
-    asked = candidates.groupBy("row").agg(F.collect_set(F.struct("start", "end", "lines", "hash", "id")).alias("asked"))
-    body = F.rtrim(F.substring("text", F.col("c.start") + 1, F.col("c.end") - F.col("c.start")), F.lit("\n"))
-    cut = docs.select("row", "text").join(asked, "row").select("row", "text", F.explode("asked").alias("c"))
-    cut = stored(cut.select("row", "c.*", body.alias("body")), "bodies")
+    asked = candidates.groupBy("row").agg(F.collect_set(F.struct("start", "end", "lines", "hash")).alias("asked"))
+    cut = stored(docs.join(asked, "row").select("row", "id", "text", "asked").mapInArrow(_bodies, BODIES), "bodies")
     # Equal in hash and in bytes; the first in the order of ids, rows and places stays.
     place = F.struct(F.col("id").isNull().alias("unnamed"), "id", "row", "start")
     ends = F.max(place).alias("last")
@@ -141,13 +170,9 @@ def remove_repeated_lines(
     )
     joined = docs.join(per_row, "row", "left")
     spans = F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>"))
-    # What lies between the removed spans.
-    starts = F.concat(F.array(F.lit(0)), F.transform(spans, lambda s: s["end"]))
-    stops = F.concat(F.transform(spans, lambda s: s["start"]), F.array(F.length("text")))
-    kept = F.zip_with(starts, stops, lambda a, b: F.substring(F.col("text"), a + 1, b - a))
     return joined.select(
         F.col("id").alias(id_column),
-        F.when(F.col("spans").isNull(), F.col("text")).otherwise(F.array_join(kept, "")).alias("clean_text"),
+        without_spans("text", "spans").alias("clean_text"),
         F.size(spans).cast("long").alias("removed_chunks"),
         F.coalesce("lines", F.lit(0)).cast("long").alias("removed_lines"),
         spans.alias("removed_spans"),

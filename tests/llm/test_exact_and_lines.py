@@ -47,6 +47,13 @@ def test_exact_rows_stay_whole(spark):
     assert {r.text or "": r.doc_id for r in found} == largest
 
 
+def test_exact_keeps_columns_of_any_name(spark):
+    named = "doc_id long, text string, digest string, stay_id long, stay_digest string, Size int"
+    rows = [(1, "a", "d", 9, "s", 3), (2, "a", "e", 8, "t", 3), (3, None, "f", 7, "u", 3)]
+    left = exact.drop_exact_duplicates(spark.createDataFrame(rows, named))
+    assert sorted(tuple(r) for r in left.collect()) == rows[1:]
+
+
 def test_exact_of_nothing(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert exact.exact_duplicates(empty).count() == 0 and exact.drop_exact_duplicates(empty).count() == 0
@@ -55,6 +62,21 @@ def test_exact_of_nothing(spark):
 # ---- lines
 
 
+def test_a_long_text_of_repeated_chunks(spark):
+    """Umlauts and characters beyond 16 bits keep their places; what is left and the spans make up the text."""
+    block = "".join(f"zeile {i} mit ü und 😀\n" for i in range(400))
+    rows = [(1, block), (2, "davor\n" + block + "danach"), (3, None)]
+    found = {r.doc_id: r for r in lines.remove_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found[1].clean_text == block and found[1].removed_chunks == 0
+    text, taken = rows[1][1], found[2].removed_spans
+    assert found[2].removed_lines >= 390
+    rest, start = "", 0
+    for a, b in taken:
+        rest, start = rest + text[start:a], b
+    assert found[2].clean_text == rest + text[start:]
+    assert found[3].clean_text == "" and found[3].removed_lines == 0
+
+
 def test_rolling_depends_on_the_last_lines_only():
     draw = np.random.default_rng(3)
     a, b = draw.integers(0, 2**63, 50, np.uint64), draw.integers(0, 2**63, 30, np.uint64)
