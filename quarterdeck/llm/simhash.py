@@ -165,12 +165,18 @@ def link_shard(points: np.ndarray, reach: int, roots: Roots, rows: np.ndarray |
         link_shard(points, reach, roots, rows[far < split[1]])
         link_shard(points, reach, roots, rows[far >= split[1] - reach])
         return
-    part = points[rows]
+    part, label = points[rows], np.arange(len(rows))
     for start in range(0, len(rows), LEAF_ROWS):
         block = part[start : start + LEAF_ROWS]
-        near = np.bitwise_count(block[:, None] ^ part[None, start:]) <= reach
-        for a, b in zip(*np.nonzero(np.triu(near, 1))):
-            roots.join(int(rows[start + a]), int(rows[start + b]))
+        near = np.triu(np.bitwise_count(block[:, None] ^ part[None, start:]) <= reach, 1)
+        for a in np.flatnonzero(near.any(axis=1)).tolist():
+            # All places near one other become one set at once; pairs are never listed.
+            met = np.flatnonzero(near[a]) + start
+            sets = np.unique(np.append(label[met], label[start + a]))
+            if len(sets) > 1:
+                label[np.isin(label, sets)] = sets[0]
+    for place in np.flatnonzero(label != np.arange(len(rows))).tolist():
+        roots.join(int(rows[place]), int(rows[label[place]]))
 
 
 # ---- the operator
