@@ -237,11 +237,11 @@ def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[bytes]:
 
 
 class Encoder:
-    """Encodes texts by a rank file; keeps at most ``cache_pieces`` merged pieces."""
+    """Encodes texts by a rank file; keeps at most ``cache_pieces`` merged pieces, none of them over ``piece_chars``."""
 
-    def __init__(self, path: str, cache_pieces: int = 500_000):
+    def __init__(self, path: str, cache_pieces: int = 500_000, piece_chars: int = 64):
         self.ranks = load_ranks(path)
-        self.cache_pieces = cache_pieces
+        self.cache_pieces, self.piece_chars = cache_pieces, piece_chars
         self.cache: dict[str, bytes] = {}
         self.lengths = np.zeros(max(self.ranks.values(), default=-1) + 1, np.uint32)
         for token, rank in self.ranks.items():
@@ -265,7 +265,9 @@ class Encoder:
                             piece = pieces[place]
                             # The same piece may stand twice in a text.
                             known = cache.get(piece)
-                            found[place] = cache[piece] = self._merged(piece) if known is None else known
+                            found[place] = known = self._merged(piece) if known is None else known
+                            if len(piece) <= self.piece_chars:
+                                cache[piece] = known
                 ids = b"".join(found)
                 yield ids, np.cumsum(self.lengths[np.frombuffer(ids, "<u4")], dtype="<u4").tobytes()
 

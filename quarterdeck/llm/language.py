@@ -157,10 +157,11 @@ def build_model(rows, totals: dict[tuple[str, int], int], rules: LanguageRules)
 
 
 class Scorer:
-    """Scores texts; keeps the scores of at most ``cache_words`` unseen words."""
+    """Scores texts; keeps the scores of at most ``cache_words`` unseen words, or of words of ``cache_chars`` characters."""
 
-    def __init__(self, model: LanguageModel, cache_words: int = 200_000):
+    def __init__(self, model: LanguageModel, cache_words: int = 200_000, cache_chars: int = 8 << 20):
         self.model = model
+        self.cache_chars, self.chars = cache_chars, 0
         self.rows = dict(model.words)
         self.scores = np.concatenate([model.word_scores, np.zeros((cache_words, len(model.languages)))])
         self.known = self.used = len(model.words)
@@ -180,12 +181,16 @@ class Scorer:
             return np.zeros(len(self.model.languages))
         return self.model.rules.backoff_weight * self.model.gram_scores[found].mean(axis=0)
 
+    def _forget(self) -> None:
+        self.rows, self.used, self.chars = dict(self.model.words), self.known, 0
+
     def _row(self, word: str) -> int:
         row = self.rows.get(word)
         if row is None:
             if self.used == len(self.scores):
-                self.rows, self.used = dict(self.model.words), self.known
+                self._forget()
             row = self.rows[word] = self.used
+            self.chars += len(word)
             self.scores[row] = self.backoff(word)
             self.used += 1
         return row
@@ -195,9 +200,9 @@ class Scorer:
         words = Counter(WORD.findall(text.lower())) if text else None
         if not words or not self.model.languages:
             return UNDETERMINED, 0.0
-        if self.used + len(words) > len(self.scores):
+        if self.used + len(words) > len(self.scores) or self.chars > self.cache_chars:
             # Room for all words of this text at once, or one by one where even that is too little.
-            self.rows, self.used = dict(self.model.words), self.known
+            self._forget()
         counts = np.minimum(np.fromiter(words.values(), float, len(words)), self.model.rules.max_repeats)
         if len(words) <= len(self.scores) - self.used:
             rows = list(map(self.rows.get, words))

@@ -34,15 +34,16 @@ def byte_alphabet() -> dict[int, str]:
 
 
 class WordTokenizer:
-    """Packed ids of texts; at most ``cache_words`` words are kept."""
+    """Packed ids of texts; at most ``cache_words`` words, or words of ``cache_chars`` characters, are kept."""
 
-    def __init__(self, path: str, cache_words: int = 500_000):
+    def __init__(self, path: str, cache_words: int = 500_000, cache_chars: int = 8 << 20):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.cache_words = cache_words
+        self.cache_words, self.cache_chars = cache_words, cache_chars
+        self.chars = 0
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
         self.alphabet = byte_alphabet()
@@ -76,6 +77,7 @@ class WordTokenizer:
 
     def _learn(self, words: list[str]) -> None:
         """Ids of new words: normalized in one call, then split into pieces."""
+        self.chars += sum(map(len, words))
         normal = self.tokenizer.normalizer.normalize_str(" ".join(words))
         spans = normal.split(" ")
         if len(spans) != len(words):  # a normalizer that makes or removes blanks: no shortcut
@@ -93,9 +95,10 @@ class WordTokenizer:
             words = text.split()
             found = list(map(self.words.get, words))
             if None in found:
-                if len(self.words) + len(self.pieces) > 2 * self.cache_words:
+                if len(self.words) + len(self.pieces) > 2 * self.cache_words or self.chars > self.cache_chars:
                     self.words.clear()
                     self.pieces.clear()
+                    self.chars = 0
                     self._learn(list(dict.fromkeys(words)))
                 else:
                     self._learn(list({w: None for w, ids in zip(words, found) if ids is None}))
