@@ -112,9 +112,11 @@ def require_competitors(ranked: DataFrame) -> DataFrame:
 def threat_summary(competitors: DataFrame) -> DataFrame:
     """One row: ranked names, the headline on the first, and the watch list (the same names).
 
-    ``competitors`` holds the top few only; without any there is no row.
+    ``competitors`` holds the top few only; without any there is no row.  Without
+    signals the headline names the first.
     """
-    first = F.min_by(F.struct("name", "headline"), "competitor_rank")
+    told = F.col("headline") if "headline" in competitors.columns else F.lit(None).cast("string")
+    first = F.min_by(F.struct("name", told.alias("headline")), "competitor_rank")
     names = F.sort_array(F.collect_list(F.struct("competitor_rank", "name")))["name"]
     summary = competitors.agg(first.alias("_first"), names.alias("top_threats"))
     headline = F.coalesce(

@@ -28,8 +28,13 @@ def require_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
     return df
 
 
+def exact_columns(df: DataFrame, expected: Sequence[str]) -> bool:
+    """Whether the columns are these and no others, apart from the ``ordinal`` that readers add."""
+    return set(df.columns) - {"ordinal"} == set(expected) - {"ordinal"}
+
+
 def require_exact_columns(df: DataFrame, expected: Sequence[str]) -> DataFrame:
-    if set(df.columns) != set(expected):
+    if not exact_columns(df, expected):
         raise ContractError(f"columns {sorted(df.columns)} are not {sorted(expected)}")
     return df
 

@@ -32,7 +32,8 @@ def corpus_deals(transcripts: DataFrame, emails: DataFrame) -> DataFrame:
 def corpus_chunks(transcripts: DataFrame, emails: DataFrame) -> DataFrame:
     """One chunk per turn and e-mail; ids are ``deal:source:i`` with i counted in file order.
 
-    Rows without a deal id are chunks without one, under ids that begin with a colon.
+    Rows without a deal id, or with a blank one, are numbered together under ids that
+    begin with a colon.
     """
 
     def source(df: DataFrame, name: str, text: str) -> DataFrame:
@@ -44,8 +45,9 @@ def corpus_chunks(transcripts: DataFrame, emails: DataFrame) -> DataFrame:
         )
 
     rows = source(transcripts, "transcript", "turn_text").unionByName(source(emails, "email", "body"))
-    numbered = positions(rows, ["deal_id", "source"], ordinal_blocks("ordinal"), ["ordinal"])
-    name = F.concat_ws(":", F.coalesce("deal_id", F.lit("")), "source", "position")
+    named = rows.withColumn("deal_name", F.coalesce("deal_id", F.lit("")))
+    numbered = positions(named, ["deal_name", "source"], ordinal_blocks("ordinal"), ["ordinal"])
+    name = F.concat_ws(":", "deal_name", "source", "position")
     return numbered.select(name.alias("chunk_id"), "deal_id", "document")
 
 

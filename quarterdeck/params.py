@@ -58,6 +58,15 @@ PII_KINDS = ("email", "phone")
 # Segment review settings.
 GROWTH_SEGMENTS = ("Enterprise", "Mid-Market", "SMB")
 BOOKING_QUARTERS = ("2025-Q1", "2025-Q2", "2025-Q3", "2025-Q4")
+OPPORTUNITY_COLUMNS = ("opportunity_id", "account_name", "segment", "arr", "stage", "win_loss_reason")
+BOOKING_COLUMNS = (
+    "opportunity_id",
+    "segment",
+    "quarter",
+    "booked_arr",
+    "benchmark_growth_pct",
+    "actual_growth_pct",
+)
 GAP_THRESHOLD_PP = 5.0
 TOP_COMPETITORS = 3
 SEARCH_YEAR = 2026
@@ -140,3 +149,5 @@ class ReviewRules:
     narrative_minutes: int = NARRATIVE_MINUTES
     benchmark_sources: tuple[str, ...] = BENCHMARK_SOURCES
     arr_bounds: tuple[ArrBound, ...] = ARR_BOUNDS
+    opportunity_columns: tuple[str, ...] = OPPORTUNITY_COLUMNS
+    booking_columns: tuple[str, ...] = BOOKING_COLUMNS

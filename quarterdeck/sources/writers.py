@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Rows per file, so that a hot partition value becomes many files and not one.
@@ -42,9 +42,32 @@ def bucket_of(deal_id: str):
     return F.pmod(F.xxhash64(deal_id), F.lit(CORPUS_BUCKETS)).cast("int")
 
 
+def corpus_versions(spark: SparkSession, path: str) -> list[str]:
+    """Folders of the finished versions, oldest first.
+
+    A version counts once its success mark is written, which is the last thing written.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    marks = hadoop.Path(path, "v*/_SUCCESS")
+    found = marks.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(marks)
+    return sorted(m.getPath().getParent().toString() for m in found or ())
+
+
+def read_corpus(spark: SparkSession, path: str) -> DataFrame | None:
+    """The newest version, with ``deal_bucket`` to filter on; None where there is no version yet."""
+    versions = corpus_versions(spark, path)
+    return spark.read.parquet(versions[-1]) if versions else None
+
+
 def write_corpus(chunks: DataFrame, path: str) -> DataFrame:
-    """A new version of the corpus, laid out by deal bucket."""
-    return write_table(with_bucket(chunks), path, ["deal_bucket"]).drop("deal_bucket")
+    """Writes a new version beside the older ones, laid out by deal bucket.
+
+    Readers see it when it is complete; a run that fails leaves the older version in
+    force.  One writer at a time.
+    """
+    versions = corpus_versions(chunks.sparkSession, path)
+    number = int(versions[-1].rsplit("/v", 1)[1]) + 1 if versions else 1
+    return write_table(with_bucket(chunks), f"{path}/v{number:06d}", ["deal_bucket"]).drop("deal_bucket")
 
 
 def write_report(lines: DataFrame, path: str) -> None:

@@ -84,12 +84,13 @@ def audit_tables(spark):
     opp = spark.createDataFrame(
         [(1, "Enterprise", 200000, "r"), (2, "Mid-Market", 50000, "r"), (3, "Mid-Market", 200000, "r"), (4, "SMB", 49999, "r")],
         "opportunity_id int, segment string, arr int, win_loss_reason string",
-    )
+    ).withColumns({"account_name": F.lit("a"), "stage": F.lit("s")})
     quarters = F.explode(F.array(*(F.lit(f"2025-Q{i}") for i in range(1, 5)))).alias("quarter")
     book = opp.select(
         "opportunity_id",
         "segment",
         quarters,
+        F.lit(1.0).alias("booked_arr"),
         F.lit(10.0).alias("benchmark_growth_pct"),
         F.when(F.col("segment") == "SMB", 15.0).otherwise(5.0).alias("actual_growth_pct"),
     )
@@ -99,13 +100,15 @@ def audit_tables(spark):
 def test_audit_passes_on_bounds(spark, rows):
     opp, book = audit_tables(spark)
     audit = jobs.contract_audit(opp, book, ReviewRules())
-    assert all(passed for _, passed in rows(audit)) and audit.count() == 6
+    assert all(passed for _, passed in rows(audit)) and audit.count() == 8
 
 
 @pytest.mark.parametrize(
     ("contract", "change"),
     [
         ("same_ids", lambda o, b: (o, b.filter("opportunity_id <> 2"))),
+        ("opportunity_columns", lambda o, b: (o.withColumn("more", F.lit(1)), b)),
+        ("booking_columns", lambda o, b: (o, b.drop("booked_arr"))),
         ("segment_domain", lambda o, b: (o.withColumn("segment", F.when(F.col("opportunity_id") > 1, F.col("segment"))), b)),
         ("arr_bounds", lambda o, b: (o.withColumn("arr", F.when(F.col("segment") == "SMB", 50000).otherwise(F.col("arr"))), b)),
         ("reason_present", lambda o, b: (o.withColumn("win_loss_reason", F.nullif(F.lit("r"), F.col("win_loss_reason"))), b)),

@@ -178,6 +178,13 @@ def test_review_job(spark, quarterly, rows, tmp_path):
     made = json.loads(frames["synthesis"].first()["context_json"])
     assert made["reference_quarter"] == "2025-Q4" and made["flagged_segments"] == ["Mid-Market"]
     assert [c["name"] for c in made["competitors"]] == ["Acme"] and made["gtm_actions_count"] == 3
+    assert frames["threats"].first()["headline"] == "Top threat: Acme"
+    signals = spark.createDataFrame([("Acme", "high", "Cuts prices"), ("Else", "low", "x")], "name string, threat_level string, headline string")
+    told = jobs.segment_review(one, books, benchmarks, str(tmp_path), signals=signals)
+    assert json.loads(told["synthesis"].first()["context_json"])["competitors"][0]["threat_level"] == "high"
+    assert rows(told["threats"]) == [(["Acme"], "Cuts prices", ["Acme"])]
+    with pytest.raises(ValueError, match="no competitor"):
+        jobs.segment_review(one.withColumn("stage", F.lit("Closed Won")), books, benchmarks, str(tmp_path))
     with pytest.raises(ValueError, match="not consistent"):
         jobs.segment_review(opps, books, benchmarks, str(tmp_path))
     with pytest.raises(ValueError, match=r"SMB \(0\)"):
