@@ -13,7 +13,8 @@ def q(text: str) -> str:
 
 
 def money(column: str) -> str:
-    return f"CAST(sum(CAST({column} AS DECIMAL(28, 10))) AS DOUBLE)"
+    """Exact sum of the amounts as written; a direct cast of a double here misses its last digits."""
+    return f"CAST(sum(CAST(CAST({column} AS VARCHAR) AS DECIMAL(28, 10))) AS DOUBLE)"
 
 
 SEGMENT_LIST = ", ".join(q(s) for s in MARKET_SEGMENTS)
