@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from oracle_compare import TABLES, compare
+from quarterdeck.plans.queries import QUERIES as OWN
 
 SMALL = "/root/testdata/sf0.001"
 ORACLES = entry.oracle_sql()
@@ -36,7 +37,8 @@ def test_query(spark, con, name):
 
 def test_names():
     assert set(ORACLES) <= set(QUERIES)
-    assert not [n for n in QUERIES if "pipeline" in n or re.match(r"op\d", n)]
+    assert set(OWN) <= set(QUERIES)
+    assert not [n for n in OWN if "pipeline" in n or re.match(r"op\d", n)]
 
 
 def test_entry(spark):
