@@ -1,15 +1,19 @@
-"""Removal of repeated passages by content-defined chunks of lines.
+"""Removal of repeated passages of lines, in two forms.
 
-Lines are hashed; a rolling hash over the hashes of the last few lines decides where a
-chunk ends, so a boundary depends on its neighbourhood only and passages shifted by other
-lines are still cut alike.  Chunks of several lines that occur more than once in the
-whole table are candidates; their bytes are compared before all but the first occurrence
-are removed.
+``remove_repeated_passages`` finds all of them.  Lines are hashed; a rolling hash over two
+lines names every pair of neighbours.  A passage of any length stands earlier exactly when
+each of its pairs does, so pairs that occur more than once in the whole table are
+candidates, their bytes are compared, and the passages are the pairs grown together.
+
+``remove_repeated_lines`` looks at content-defined chunks only: the rolling hash decides
+where a chunk ends, so a boundary depends on its neighbourhood and passages shifted by
+other lines are still cut alike.  It compares fewer hashes and leaves the lines before the
+first common cut of a passage and after the last one, and most short passages.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +27,7 @@ from quarterdeck.llm.shared import RowBuffer, stored
 WINDOW_LINES = 2  # lines the rolling hash looks back on
 CHUNK_LINES = 3  # lines of a chunk on average, beyond the least
 LEAST_LINES = 2  # lines of a chunk that may be removed
+PAIR_LINES = 2  # lines of the shortest passage; longer ones are made of such pairs
 BASE = 0x9E3779B97F4A7C15  # of the rolling hash; any odd number serves
 
 
@@ -177,3 +182,151 @@ def remove_repeated_lines(
         F.coalesce("lines", F.lit(0)).cast("long").alias("removed_lines"),
         spans.alias("removed_spans"),
     )
+
+
+# ---- whole passages
+
+
+def pair_spans(spans: list[tuple[int, int]], line: int) -> tuple[int, int]:
+    """(start, end) of the pair of lines that begins with ``line``."""
+    return spans[line][0], spans[line + PAIR_LINES - 1][1]
+
+
+def _pair_rows() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    schema = pa.schema([("row", pa.binary()), ("id", pa.int64()), ("hashes", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = RowBuffer(schema)
+        for batch in batches:
+            for row, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                each = [xxhash.xxh64_intdigest(text[a:b].removesuffix("\n")) for a, b in line_spans(text)]
+                pairs = rolling(np.array(each, np.uint64), PAIR_LINES)[PAIR_LINES - 1 :]
+                rows.add(row, key, pairs.view(np.int64), size=8 * len(pairs) + 48)
+                if rows.full():
+                    yield from rows.take()
+        yield from rows.take()
+
+    return run
+
+
+MAP_BITS = 1 << 24  # of the map of documents with candidates
+PART_BITS = 1 << 15  # of a bitmap of Spark's
+PAIRS = "row binary, id bigint, hashes array<bigint>"
+PAIR_BODIES = "row binary, id bigint, line int, start int, end int, body string"
+
+
+def _pair_bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per asked pair with its text; a line feed at its end is not compared."""
+    ints = [(n, pa.int32()) for n in ("line", "start", "end")]
+    rows = RowBuffer(pa.schema([("row", pa.binary()), ("id", pa.int64()), *ints, ("body", pa.string())]))
+    for batch in batches:
+        for row, key, text, asked in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            spans = line_spans(text)
+            for line in sorted(asked):
+                start, end = pair_spans(spans, line)
+                body = text[start:end].removesuffix("\n")
+                rows.add(row, key, line, start, end, body, size=len(body))
+                if rows.full():
+                    yield from rows.take()
+    yield from rows.take()
+
+
+def candidate_pairs(docs: DataFrame) -> DataFrame:
+    """(row, asked): the lines of ``docs`` (row, id, text) that begin a pair whose hash occurs more than once."""
+    hashes = stored(docs.select("row", "id", "text").mapInArrow(_pair_rows(), PAIRS), "pairs")
+    pairs = hashes.select("row", F.posexplode("hashes").alias("line", "hash"))
+    again = pairs.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash")
+    asked = pairs.join(again, "hash", "left_semi").groupBy("row").agg(F.collect_set("line").alias("asked"))
+    return stored(asked, "asked")
+
+
+def repeated_pairs(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """(row, line, start, end) of the ``asked`` pairs of ``docs`` that stand, byte for byte, at an earlier place too;
+    those of equal documents come once for each.
+
+    Places are in the order of ids, rows and lines.  A pair that only shares a line with
+    its first occurrence, as in three equal lines, is no repetition.
+    """
+    cut = stored(docs.join(asked, "row").select("row", "id", "text", "asked").mapInArrow(_pair_bodies, PAIR_BODIES), "bodies")
+    place = F.struct(F.col("id").isNull().alias("unnamed"), "id", "row", "line")
+    owners = cut.groupBy("body").agg(F.min(place).alias("owner"), F.max(place).alias("last"))
+    equal = cut.join(owners.filter("owner != last").drop("last"), "body")
+    apart = (F.col("owner.row") != F.col("row")) | (F.col("line") - F.col("owner.line") >= PAIR_LINES)
+    return equal.filter(apart).select("row", "line", "start", "end")
+
+
+def _bit(row):
+    return F.pmod(F.xxhash64(row), F.lit(MAP_BITS))
+
+
+def with_flag(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """``docs`` and ``may``: false only where ``row`` is not in ``asked``, so those texts need not be moved.
+
+    One bit map of fixed size goes to all tasks, whatever the size of the tables.
+    """
+    bit = asked.select(_bit("row").alias("bit"))
+    part, place = F.floor(F.col("bit") / PART_BITS), F.col("bit") % PART_BITS
+    maps = bit.groupBy(part.alias("part")).agg(F.bitmap_construct_agg(place).alias("map"))
+    at = _bit("row")
+    byte = F.substring("map", (F.floor(at % PART_BITS / 8) + 1).cast("int"), F.lit(1))
+    known = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (at % 8).cast("int")) == 1
+    joined = docs.join(F.broadcast(maps), F.floor(at / PART_BITS) == F.col("part"), "left")
+    return joined.select(*docs.columns, F.coalesce(known, F.lit(False)).alias("may"))
+
+
+PASSAGES_TYPE = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lines", pa.int32())]))
+
+
+@F.arrow_udf(T.ArrayType(T.StructType([T.StructField(n, T.IntegerType()) for n in ("start", "end", "lines")])))
+def grown_together(pairs: pa.Array) -> pa.Array:
+    """Pairs (line, start, end) in order, those that overlap or touch made one passage."""
+    out = []
+    for found in pairs.to_pylist():
+        passages: list[dict] = []
+        after = -1
+        for p in found or ():
+            first, after_this = max(p["line"], after), p["line"] + PAIR_LINES
+            if p["line"] <= after:
+                passages[-1]["end"] = p["end"]
+                passages[-1]["lines"] += after_this - first
+            else:
+                passages.append({"start": p["start"], "end": p["end"], "lines": PAIR_LINES})
+            after = after_this
+        out.append(passages)
+    return pa.array(out, PASSAGES_TYPE)
+
+
+def remove_repeated_passages(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One row per input row: (id, clean_text, removed_chunks, removed_lines, removed_spans).
+
+    A line goes when a run of two lines or more that holds it stands, byte for byte, at an
+    earlier place of the table and does not overlap itself there; a blank line is a line.
+    Earlier is the document with the smaller id, in it the line further ahead; documents that share an
+    id follow a hash, those without id come last.  Rows with equal id and text are one document and are cleaned
+    alike.  A null or empty text stays an empty one.  A line feed at a run's end is not compared.
+    Spans are (start, end) in characters and the longest stretches of lines removed; their number is
+    ``removed_chunks``.  Other columns are left out.  An empty table gives an empty result.
+    """
+    texts = df.select(
+        F.col(id_column).cast("bigint").alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text")
+    )
+    parts = (F.lpad(F.hex(F.xxhash64(*pair)), 16, "0") for pair in (("id", "text"), ("text", "id")))
+    name = F.unhex(F.concat(*parts))
+    docs = texts.withColumn("row", name)
+    asked = candidate_pairs(docs)
+    marked = with_flag(docs, asked)
+    moved = marked.filter("may").drop("may")
+    found = repeated_pairs(moved, asked).groupBy("row").agg(F.sort_array(F.collect_set(F.struct("line", "start", "end"))).alias("pairs"))
+    passages = found.select("row", grown_together("pairs").alias("passages"))
+    untouched = marked.filter("NOT may").select("row", "id", "text", F.lit(None).cast(passages.schema["passages"].dataType).alias("passages"))
+    joined = moved.join(passages, "row", "left").select(untouched.columns).unionByName(untouched)
+    spans = F.coalesce(F.transform("passages", lambda p: F.struct(p["start"].alias("start"), p["end"].alias("end"))),
+                       F.array().cast("array<struct<start:int,end:int>>"))
+    count = F.aggregate("passages", F.lit(0), lambda n, p: n + p["lines"])
+    return joined.select(
+        F.col("id").alias(id_column),
+        without_spans("text", spans).alias("clean_text"),
+        F.size(spans).cast("long").alias("removed_chunks"),
+        F.coalesce(count, F.lit(0)).cast("long").alias("removed_lines"),
+        spans.alias("removed_spans"),
+    )

@@ -58,7 +58,7 @@ def op1_byte_bpe(spark, sf):
 
 @query
 def op2_line_dedup(spark, sf):
-    cleaned = lines.remove_repeated_lines(table(spark, sf, "documents"))
+    cleaned = lines.remove_repeated_passages(table(spark, sf, "documents"))
     return cleaned.select(
         "doc_id",
         "removed_chunks",
