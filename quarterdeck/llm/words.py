@@ -34,14 +34,22 @@ def byte_alphabet() -> dict[int, str]:
 
 
 class WordTokenizer:
-    """Packed ids of texts; at most ``cache_words`` words, or words of ``cache_chars`` characters, are kept."""
+    """Packed ids of texts; at most ``cache_words`` words, or words of ``cache_chars`` characters, are kept.
 
-    def __init__(self, path: str, cache_words: int = 500_000, cache_chars: int = 8 << 20):
+    With ``special_tokens`` the string of a special token in a text is that token, as the
+    library has it by default; without, it is ordinary text.
+    """
+
+    def __init__(self, path: str, cache_words: int = 500_000, cache_chars: int = 8 << 20, special_tokens: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not special_tokens
+        added = [t for t in self.tokenizer.get_added_tokens_decoder().values() if special_tokens or not t.special]
+        # Such a token may reach over words and is sought in the text as it is or as it is normalized.
+        self.added = [t.content for t in added if not t.normalized]
+        self.added_normal = [self.tokenizer.normalizer.normalize_str(t.content) for t in added if t.normalized]
         self.cache_words, self.cache_chars = cache_words, cache_chars
         self.chars = 0
         self.words: dict[str, bytes] = {}
@@ -68,6 +76,14 @@ class WordTokenizer:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
+    def _holds_added(self, text: str) -> bool:
+        if any(content in text for content in self.added):
+            return True
+        if not self.added_normal:
+            return False
+        normal = self.tokenizer.normalizer.normalize_str(text)
+        return any(content in normal for content in self.added_normal)
+
     def _piece(self, piece: str) -> bytes:
         known = self.pieces.get(piece)
         if known is None:
@@ -89,7 +105,7 @@ class WordTokenizer:
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
         """Ids of each text as packed little-endian unsigned 32-bit integers."""
         for text in texts:
-            if any(mark in text for mark in SPLIT_ONLY):
+            if any(mark in text for mark in SPLIT_ONLY) or self._holds_added(text):
                 yield self._whole(text)
                 continue
             words = text.split()
@@ -108,8 +124,8 @@ class WordTokenizer:
 
 @functools.lru_cache(maxsize=2)
 def tokenizer_of(path: str) -> WordTokenizer:
-    """One per worker and file."""
-    return WordTokenizer(path)
+    """One per worker and file; it gives the ids the library gives by default."""
+    return WordTokenizer(path, special_tokens=True)
 
 
 def token_ids(df: DataFrame, path: str, end_id: int | None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
