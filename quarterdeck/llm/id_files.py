@@ -8,13 +8,16 @@ Files hold one segment each:
     shard, sequence, documents, ids, first doc_id, last doc_id) |
     index: doc_ids, ids per document, end of each frame | frames
 
-Segments ascend by shard, then by sequence; doc_ids ascend through them.  The
+Segments ascend by shard, then by sequence; doc_ids ascend through them.  Documents
+without id stand before all others, in shards of negative numbers; 0 fills their place
+in header and index.  The
 manifest beside the files says how many ids stand before every segment.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,7 +57,7 @@ def sample_dictionary(df: DataFrame, path: str, end_id: int, rows: int, sample:
     """Trained on documents whose id hashes into the sample's share; about ``sample`` of them reach the driver."""
     tail = end_id.to_bytes(4, "little")
     share = min(1.0, sample / max(rows, 1))
-    chosen = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))
+    chosen = F.col("doc_id").isNotNull() & (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
 
     def run(batches):
         tokenizer = tokenizer_of(path)
@@ -72,7 +75,7 @@ def sample_dictionary(df: DataFrame, path: str, end_id: int, rows: int, sample:
 
 def segment_bytes(shard: int, sequence: int, dictionary_hash: bytes, docs: list[tuple[int, int, bytes]]) -> bytes:
     """One segment of documents (doc_id, ids, frame)."""
-    doc_ids = np.array([d[0] for d in docs], "<i8")
+    doc_ids = np.array([d[0] or 0 for d in docs], "<i8")
     sizes = np.array([d[1] for d in docs], "<u4")
     ends = np.cumsum([len(d[2]) for d in docs], dtype="<u8")
     header = np.array([shard, sequence, len(docs), sizes.sum(dtype=np.int64), doc_ids[0], doc_ids[-1]], ">i8")
@@ -110,18 +113,20 @@ def write_documents(
     end_id: int,
     docs_per_shard: int = DOCS_PER_SHARD,
     segment_limit: int = SEGMENT_BYTES,
+    nameless: bool = False,
 ) -> None:
     """Tokenizes (doc_id, text), appends ``end_id`` and writes segments, dictionary and manifest under ``out``.
 
-    Null texts count as empty.  Rows without an id are an error: they have no place in
-    the order.  Rows that share an id are all written, one after the other.  An empty
+    Null texts count as empty.  Rows without an id are an error, or with ``nameless``
+    stand before the smallest id, spread over shards of their own by a hash of their ids
+    of words; the dictionary is not trained on them.  Rows that share an id are all written, one after the other.  An empty
     table writes a manifest of no segments.  Other columns are left out.  Memory
     follows the segment limit and the longest document.
     """
     spark = df.sparkSession
     asked = df.selectExpr("CAST(doc_id AS bigint) AS doc_id", "CAST(text AS string) AS text")
     rows, missing = asked.agg(F.count("*"), F.count_if(F.col("doc_id").isNull())).first()
-    if missing:
+    if missing and not nameless:
         raise ValueError(f"{missing} rows without doc_id")
     dictionary = sample_dictionary(asked, path, end_id, rows)
     written = spark.createDataFrame([(dictionary, hashlib.sha256(dictionary).hexdigest())], "dictionary binary, sha256 string")
@@ -132,9 +137,10 @@ def write_documents(
     if shards > 1:
         cuts = [i / shards for i in range(1, shards)]
         found = asked.agg(F.percentile_approx("doc_id", cuts, 10 * max(shards, 1000))).first()[0]
-        bounds = np.unique(np.array(found, np.int64))
+        bounds = np.unique(np.array(found or [], np.int64))
     frames = asked.mapInArrow(_compress(path, end_id, dictionary, bounds), "shard int, doc_id bigint, n int, frame binary")
-    ordered = frames.repartitionById(len(bounds) + 1, F.col("shard")).sortWithinPartitions("shard", "doc_id", "frame")
+    part = F.expr("IF(shard < 0, -1 - shard, shard)")
+    ordered = frames.repartitionById(len(bounds) + 1, part).sortWithinPartitions("shard", "doc_id", "frame")
     segments = ordered.mapInArrow(_segments(hashlib.sha256(dictionary).digest(), segment_limit), "segment binary")
     # A text file of one row holds the row's bytes and a line end; the segment knows its own length.
     segments.select(F.col("segment").cast("string").alias("value")).write.option("maxRecordsPerFile", 1).text(f"{out}/segments")
@@ -151,9 +157,11 @@ def _compress(path: str, end_id: int, dictionary: bytes, bounds: np.ndarray):
         packer = zstandard.ZstdCompressor(level=3, dict_data=shared, write_checksum=False, write_dict_id=False)
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
-            shards = np.searchsorted(bounds, np.array(doc_ids, np.int64), "right").tolist()
+            shards = np.searchsorted(bounds, np.array([d or 0 for d in doc_ids], np.int64), "right").tolist()
             texts = (t or "" for t in batch.column(1).to_pylist())
             for shard, doc_id, ids in zip(shards, doc_ids, tokenizer.encode(texts), strict=True):
+                if doc_id is None:
+                    shard = -1 - zlib.crc32(ids) % (len(bounds) + 1)
                 frame = packer.compress(ids + tail)
                 rows.add(shard, doc_id, len(ids) // 4 + 1, frame, size=len(frame))
                 if rows.full():
@@ -232,12 +240,13 @@ def read_segments(spark: SparkSession, out: str, doc_id: int | None = None) -> D
             for cell in batch.column(0):
                 segment = Segment(cell.as_py(), digest)
                 starts = np.cumsum(segment.sizes, dtype=np.int64) - segment.sizes
-                places = range(len(starts)) if doc_id is None else np.flatnonzero(segment.doc_ids == doc_id).tolist()
+                named = segment.shard >= 0
+                places = range(len(starts)) if doc_id is None else np.flatnonzero(named & (segment.doc_ids == doc_id)).tolist()
                 for i in places:
                     ids = reader.decompress(segment.frame(i))
                     if len(ids) != 4 * segment.sizes[i]:
                         raise ValueError(f"document {segment.doc_ids[i]} has another length than its index says")
-                    place = (segment.shard, segment.sequence, int(segment.doc_ids[i]), int(starts[i]), int(segment.sizes[i]))
+                    place = (segment.shard, segment.sequence, int(segment.doc_ids[i]) if named else None, int(starts[i]), int(segment.sizes[i]))
                     rows.add(*place, ids, size=len(ids))
                     if rows.full():
                         yield from rows.take()

@@ -72,7 +72,7 @@ def op2_line_dedup(spark, sf):
 @query
 def op3_warc(spark, sf):
     out = scratch(spark, "warc")
-    warc.write_archives(table(spark, sf, "pages"), out)
+    warc.write_archives(table(spark, sf, "pages"), out, nameless=True)
     return warc.read_records(spark, out)
 
 
@@ -104,7 +104,7 @@ def op6_language(spark, sf):
 @query
 def op7_id_files(spark, sf):
     out = scratch(spark, "ids")
-    id_files.write_documents(table(spark, sf, "documents"), out, WORD_FILE, END_ID)
+    id_files.write_documents(table(spark, sf, "documents"), out, WORD_FILE, END_ID, nameless=True)
     rows = id_files.read_segments(spark, out)
     checked = rows.withColumn("ids_crc32", F.crc32("token_ids")).drop("token_ids")
     return id_files.with_starts(checked, spark, out).select("doc_id", "start", "n_tokens", "ids_crc32")

@@ -110,12 +110,13 @@ def payload_owners(heads: DataFrame) -> DataFrame:
 
 
 def write_archives(df: DataFrame, out: str, chunk_bytes: int = CHUNK_BYTES, min_bytes: int = 0,
-                   compression: str = "gzip", **columns: str) -> None:
+                   compression: str = "gzip", nameless: bool = False, **columns: str) -> None:
     """Writes a record per row of ``df`` under ``out``; equal payloads of at least ``min_bytes`` are written once.
 
     Of equal payloads the record with the smallest page id is the response and others
     are revisits; of rows that share that id too, one is.  A row without an id is an
-    error.  An empty table writes no record.  The files' names and the order of records
+    error, or with ``nameless`` a record of its own name: a revisit where a page with an id has its
+    payload, else a response, also where rows without id share a payload.  An empty table writes no record.  The files' names and the order of records
     in them carry no meaning.
     """
     first = chunk_table(df, chunk_bytes=chunk_bytes, payloads=False, **columns)
@@ -125,13 +126,14 @@ def write_archives(df: DataFrame, out: str, chunk_bytes: int = CHUNK_BYTES, min_
     decisions = heads.join(owners, ["strong_digest", "payload_bytes"]).select(*page, "owner").distinct()
     # Payloads move once; rows of one page then lie side by side, so that of equal rows the first can be told.
     chunks = chunk_table(df, chunk_bytes=chunk_bytes, **columns).repartition(*page)
-    decided = chunks.join(decisions, page, "left")
-    later = F.col("owner").isNotNull() & (F.col("owner") != F.col("page_id"))
+    same = chunks["page_id"].eqNullSafe(decisions["page_id"]) & (chunks["strong_digest"] == decisions["strong_digest"])
+    decided = chunks.join(decisions, same, "left").drop(decisions["page_id"], decisions["strong_digest"])
+    later = F.col("owner").isNotNull() & ~F.col("owner").eqNullSafe(F.col("page_id"))
     wanted = decided.withColumn("refers_to", F.when(later, F.col("owner"))).filter(~later | (F.col("chunk_no") == 0))
     ordered = wanted.sortWithinPartitions(*page, "row_key", "chunk_no")
     asked = ordered.select("page_id", "url", "row_key", "payload_bytes", "payload_digest", "strong_digest",
                            "chunk_no", "chunks", "chunk", "owner", "refers_to")
-    records = asked.mapInArrow(_write_records, "record binary")
+    records = asked.mapInArrow(_record_writer(nameless), "record binary")
     (
         records.select(F.col("record").cast("string").alias("value"))
         .write.option("lineSep", "\r\n\r\n")
@@ -141,32 +143,36 @@ def write_archives(df: DataFrame, out: str, chunk_bytes: int = CHUNK_BYTES, min_
     )
 
 
-def _write_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows = RowBuffer(pa.schema([("record", pa.binary())]))
-    group, response_key, copies, copy_key = None, None, 0, None
-    for batch in batches:
-        for row in batch.to_pylist():
-            if row["page_id"] is None:
-                raise ValueError("a record without page_id")
-            if (row["page_id"], row["strong_digest"]) != group:
-                group, response_key = (row["page_id"], row["strong_digest"]), row["row_key"]
-                copies, copy_key = 0, row["row_key"]
-            if row["row_key"] != copy_key:
-                copies, copy_key = copies + 1, row["row_key"]
-            again = row["owner"] is not None and row["row_key"] != response_key
-            refers_to = row["page_id"] if again and row["refers_to"] is None else row["refers_to"]
-            if refers_to is not None and row["chunk_no"]:
-                continue
-            record = record_bytes(row, refers_to, copies)
-            rows.add(record, size=len(record))
-            if rows.full():
-                yield from rows.take()
-    yield from rows.take()
+def _record_writer(nameless: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = RowBuffer(pa.schema([("record", pa.binary())]))
+        group, response_key, copies, copy_key = None, None, 0, None
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["page_id"] is None and not nameless:
+                    raise ValueError("a record without page_id")
+                if (row["page_id"], row["strong_digest"]) != group:
+                    group, response_key = (row["page_id"], row["strong_digest"]), row["row_key"]
+                    copies, copy_key = 0, row["row_key"]
+                if row["row_key"] != copy_key:
+                    copies, copy_key = copies + 1, row["row_key"]
+                again = row["owner"] is not None and row["row_key"] != response_key
+                refers_to = row["page_id"] if again and row["refers_to"] is None else row["refers_to"]
+                if refers_to is not None and row["chunk_no"]:
+                    continue
+                record = record_bytes(row, refers_to, copies)
+                rows.add(record, size=len(record))
+                if rows.full():
+                    yield from rows.take()
+        yield from rows.take()
+
+    return run
 
 
 def record_bytes(row: dict, refers_to: int | None, copy: int = 0) -> bytes:
     """One WARC record without the empty lines that end it."""
-    name = f"urn:x-page:{row['page_id']}" + f":copy-{copy}" * bool(copy)
+    page = f"none:{row['strong_digest']}" if row["page_id"] is None else row["page_id"]
+    name = f"urn:x-page:{page}" + f":copy-{copy}" * bool(copy)
     kind = "revisit" if refers_to is not None else "continuation" if row["chunk_no"] else "response"
     head = http_head(row["payload_bytes"]) if not row["chunk_no"] else b""
     block = head + (row["chunk"] if refers_to is None else b"")
@@ -261,7 +267,8 @@ def parse_record(record: bytes) -> tuple | None:
     stated = fields.get("warc-segment-total-length")
     # A record of one segment is its own last one.
     total = int(stated) if stated else None if "warc-segment-number" in fields else length
-    return int(origin.split(":")[2]), origin, kind, refers_to, declared, size, segment, total, block
+    page = origin.split(":")[2]
+    return None if page == "none" else int(page), origin, kind, refers_to, declared, size, segment, total, block
 
 
 def read_records(spark: SparkSession, out: str) -> DataFrame:
