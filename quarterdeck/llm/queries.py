@@ -16,11 +16,14 @@ from quarterdeck.llm import (
     bit_slices,
     byte_bpe,
     exact,
+    fill_middle,
     id_files,
     language,
     lines,
+    minhash,
     packing,
     quality,
+    resampling,
     simhash,
     warc,
 )
@@ -138,6 +141,163 @@ def op10_simhash(spark, sf):
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
 
+@query
+def op11_minhash(spark, sf):
+    return minhash.near_duplicates(table(spark, sf, "documents"))
+
+
+ORACLES["op11_minhash"] = """
+WITH RECURSIVE words AS (
+    SELECT row_number() OVER () AS row_no, doc_id, regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), placed_words AS (
+    SELECT row_no, unnest(w) AS word, unnest(range(len(w))) AS place FROM words WHERE len(w) >= 4
+), shingles AS (
+    SELECT row_no, word || ' ' || lead(word, 1) OVER doc || ' ' || lead(word, 2) OVER doc || ' ' || lead(word, 3) OVER doc AS item
+    FROM placed_words
+    WINDOW doc AS (PARTITION BY row_no ORDER BY place)
+    UNION ALL
+    SELECT row_no, array_to_string(w, ' ') FROM words WHERE len(w) BETWEEN 1 AND 3
+), listed AS (
+    SELECT row_no, list_sort(list(DISTINCT hash(item))) AS s FROM shingles WHERE item IS NOT NULL GROUP BY row_no
+), sets AS (
+    SELECT doc_id, coalesce(s, []) AS s FROM words LEFT JOIN listed USING (row_no)
+), classes AS (
+    SELECT row_number() OVER () AS class, s, len(s) AS n, least_id
+    FROM (SELECT s, min(doc_id) AS least_id FROM sets WHERE len(s) > 0 AND doc_id IS NOT NULL GROUP BY s)
+), items AS (
+    -- Sets that share four fifths share one of the first items, in any common order.
+    SELECT class, n, unnest(s[1:n - (80 * n + 99) // 100 + 1]) AS item FROM classes
+), met AS (
+    SELECT DISTINCT a.class AS a, b.class AS b
+    FROM items a JOIN items b ON a.item = b.item AND a.class < b.class
+         AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+), confirmed AS (
+    SELECT met.a, met.b, len(list_intersect(x.s, y.s)) AS shared, x.n + y.n AS total
+    FROM met JOIN classes x ON met.a = x.class JOIN classes y ON met.b = y.class
+), shared AS (
+    SELECT a, b FROM confirmed WHERE 100 * shared >= 80 * (total - shared)
+    UNION ALL
+    SELECT b, a FROM confirmed WHERE 100 * shared >= 80 * (total - shared)
+), reached(class, other) AS (
+    SELECT class, class FROM classes
+    UNION
+    SELECT r.class, s.b FROM reached r JOIN shared s ON r.other = s.a
+), named AS (
+    SELECT r.class, min(c.least_id) AS component_id FROM reached r JOIN classes c ON r.other = c.class GROUP BY r.class
+), placed AS (
+    SELECT sets.doc_id, len(sets.s) AS n_shingles,
+           CASE WHEN sets.doc_id IS NOT NULL THEN coalesce(named.component_id, sets.doc_id) END AS component_id
+    FROM sets LEFT JOIN classes USING (s) LEFT JOIN named USING (class)
+)
+SELECT doc_id, n_shingles, component_id, coalesce(doc_id = component_id, TRUE) AS kept FROM placed
+"""
+
+
+@query
+def op12_fill_middle(spark, sf):
+    cut = fill_middle.with_restored(fill_middle.fill_in_middle(table(spark, sf, "documents")))
+    return cut.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(F.col("restored").cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+ORACLES["op12_fill_middle"] = """
+WITH parted AS (
+    SELECT doc_id, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
+           sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+    FROM documents
+), drawn AS (
+    SELECT *, len(units) AS n,
+           list_transform(range(4), lambda i: ('0x' || substr(h, (8 * i + 1)::BIGINT, 8))::BIGINT) AS draws
+    FROM parted
+), ranked AS (
+    SELECT *, least(draws[1] % (n + 1), draws[2] % (n + 1)) AS a, greatest(draws[1] % (n + 1), draws[2] % (n + 1)) AS b,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                     OR draws[3] % 100 >= 90 THEN 'plain'
+                WHEN draws[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM drawn
+), cut AS (
+    SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle,
+           array_to_string(units[b + 1:], '') AS suffix
+    FROM ranked
+)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM cut
+"""
+
+
+@query
+def op13_resampling(spark, sf):
+    return resampling.importance_resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+ORACLES["op13_resampling"] = """
+WITH divided AS (
+    -- crc32 of every byte, bit by bit.
+    SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, i:
+               CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END, b::BIGINT)) AS steps
+), words AS (
+    SELECT 'd' AS side, doc_id AS id, row_number() OVER () AS row_no, regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS found
+    FROM documents
+    UNION ALL
+    SELECT 't', item_id, row_number() OVER (), regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')
+    FROM benchmark
+), counted AS (
+    SELECT side, row_no, word, count(*) AS n
+    FROM (SELECT side, row_no, unnest(found) AS word FROM words) GROUP BY ALL
+), hashed AS (
+    SELECT word, xor(list_reduce(list_transform(range(strlen(word)), lambda i:
+                   ('0x' || substr(hex(encode(word)), (2 * i + 1)::BIGINT, 2))::BIGINT),
+               lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 10000 AS bucket
+    FROM (SELECT DISTINCT word FROM counted), divided
+), buckets AS (
+    SELECT bucket, sum(n) FILTER (side = 'd') AS s, sum(n) FILTER (side = 't') AS t
+    FROM counted JOIN hashed USING (word) GROUP BY bucket
+), totals AS (
+    SELECT coalesce(sum(s), 0)::DOUBLE AS all_s, coalesce(sum(t), 0)::DOUBLE AS all_t FROM buckets
+), gains AS (
+    SELECT bucket, floor(1000 * ln((coalesce(t, 0)::DOUBLE + 1) * (all_s + 10000)
+                                   / ((coalesce(s, 0)::DOUBLE + 1) * (all_t + 10000))))::BIGINT AS gain
+    FROM buckets, totals
+), weights AS (
+    SELECT row_no, sum(n * gain)::BIGINT AS weight
+    FROM counted JOIN hashed USING (word) JOIN gains USING (bucket) WHERE side = 'd' GROUP BY row_no
+), scored AS (
+    SELECT id AS doc_id, row_no, len(found) AS n_features, coalesce(weight, 0) AS weight,
+           coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(id::VARCHAR, '')), 1, 8))::BIGINT
+                                                       + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+    FROM words LEFT JOIN weights USING (row_no) WHERE side = 'd'
+), ranked AS (
+    SELECT *, n_features >= 20 AS able,
+           row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST) AS place,
+           count(*) FILTER (n_features >= 20) OVER () AS of_all
+    FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= of_all * 10 // 100 THEN place END AS rank
+FROM ranked
+"""
+
+
 ORACLES["op3_warc"] = """
 WITH sized AS (
     SELECT page_id, coalesce(html, '') AS html FROM pages
