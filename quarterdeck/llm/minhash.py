@@ -7,22 +7,22 @@ in at most ``MAX_DIFFER`` positions have a chunk with one error at most.  The al
 errors of a chunk are enumerated by leaving out each of its positions in turn: the other
 positions are the key under which documents meet, so no pair within the distance is lost.
 
-Documents meet by key, and never in all pairs of a key at once.  First each tries the
-nearest of its keys' smallest members; what was confirmed on the full sets of shingles
-forms components.  After that only members of different components meet, first the
-nearest few, then all that are left.  So a large group of near copies costs few
-comparisons for each of its members, and no link between components goes untested.
+Documents meet by key, and pairs are never listed.  First each tries the nearest of its
+keys' smallest members; what is confirmed on the full sets of shingles forms components.
+Then members of one key in different components are compared by signature, and only who
+takes part in a near pair is passed on, to cells of two blocks.  A cell holds the full
+sets of its members against each other and gives back the few links that join components.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarterdeck.llm.lines import with_flag
@@ -42,8 +42,10 @@ CHUNKS = POSITIONS // CHUNK
 MAX_DIFFER = 2 * CHUNKS - 1
 
 SET_SEED = 7
-FEW = 8  # partners a document tries before all others are
-BLOCK_ROWS = 1024  # members of one key on either side of a comparison
+BLOCK_ROWS = 1024  # members of one key on either side of a comparison of signatures
+HELD_ROWS = 1 << 20  # rows a task gathers before it drops repeats
+BLOCK_NODES = 512  # sets of one block, two of which are compared in a task
+BLOCK_SHINGLES = 1 << 18  # shingles of a block, on average, but for a larger set
 SLICE_ROWS = 1 << 14  # pairs compared at once
 
 # One multiplier and one summand for each position, from a fixed rule.
@@ -193,118 +195,196 @@ def nearest_centre(members: DataFrame, nodes: DataFrame, percent: int) -> DataFr
     return best.select(F.col("best.centre").alias("a"), F.col("node").alias("b"))
 
 
-def _meetings(percent: int, few: int | None):
-    """Pairs of every group of rows in order of (key, one, two): rows that ask with rows of other components."""
-    group_columns = ("key", "one", "two")
+GROUP = ("key", "one", "two")
+CELL = ("one", "two")
 
-    def groups_of(table: pa.Table) -> np.ndarray:
-        """Numbers, from 0, of the groups the rows are in."""
-        new = np.zeros(len(table), bool)
-        for name in group_columns:
-            values = table.column(name).to_numpy()
-            new[1:] |= values[1:] != values[:-1]
-        return np.cumsum(new)
 
-    def in_pieces(table: pa.Table) -> Iterator[pa.Table]:
-        """Whole groups together, about ``BLOCK_ROWS`` rows at a time or one larger group."""
-        starts = np.flatnonzero(np.diff(groups_of(table), prepend=-1))
+def group_numbers(table: pa.Table, names: Sequence[str]) -> np.ndarray:
+    """Numbers, from 0, of the runs of rows that agree in the named columns."""
+    new = np.zeros(len(table), bool)
+    for name in names:
+        values = table.column(name).to_numpy()
+        new[1:] |= values[1:] != values[:-1]
+    return np.cumsum(new)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], names: Sequence[str], rows: int) -> Iterator[pa.Table]:
+    """The rows of sorted batches in tables of whole groups, about ``rows`` rows at a time or one larger group."""
+    waiting: list[pa.RecordBatch] = []
+    held = 0
+
+    def pieces(last: bool) -> Iterator[pa.Table]:
+        nonlocal waiting, held
+        table = pa.Table.from_batches(waiting)
+        starts = np.flatnonzero(np.diff(group_numbers(table, names), prepend=-1)).tolist()
         begin = 0
-        for end in [*starts[1:].tolist(), len(table)]:
-            if end - begin >= BLOCK_ROWS or (end == len(table) and end > begin):
+        for end in [*starts[1:], *([len(table)] if last else [])]:
+            if end - begin >= rows or end == len(table):
                 yield table.slice(begin, end - begin)
                 begin = end
+        # The last group may go on in the next batch.
+        waiting, held = table.slice(begin).to_batches(), len(table) - begin
 
-    def offered(table: pa.Table) -> pa.RecordBatch:
-        """The pairs of whole groups.  Rows ``step`` apart in one group are compared for all groups at once."""
-        node, part, n = (table.column(c).to_numpy() for c in ("node", "part", "n"))
-        asks, outside = (table.column(c).to_numpy(zero_copy_only=False) for c in ("asks", "outside"))
-        marks = signatures_of(table.column("signature"))
-        group = groups_of(table)
-        found = [(np.zeros(0, np.int64),) * 4]
-        first, step = np.arange(len(node)), 0
-        while len(first):
-            step += 1
-            first = first[first + step < len(node)]
-            first = first[group[first] == group[first + step]]
-            other = first + step
-            able = (asks[first] != asks[other]) & (part[first] != part[other]) & may_link(n[first], n[other], percent)
-            ask = np.where(asks[first], first, other)[able]
-            met = np.where(asks[first], other, first)[able]
-            if few is None:
-                # Two outsiders ask each other; one of them is enough.
-                once = ~outside[met] | (node[ask] < node[met])
-                ask, met = ask[once], met[once]
-            for start in range(0, len(ask), SLICE_ROWS):
-                a, m = ask[start : start + SLICE_ROWS], met[start : start + SLICE_ROWS]
-                differ = (marks[a] != marks[m]).sum(axis=1)
-                near = differ <= MAX_DIFFER
-                found.append((group[a][near], node[a][near], node[m][near], differ[near]))
-        groups, ask, met, differ = (np.concatenate(c) for c in zip(*found, strict=True))
-        if few is not None:
-            order = np.lexsort((met, differ, ask, groups))
-            groups, ask, met, differ = (c[order] for c in (groups, ask, met, differ))
-            begins = np.concatenate([[True], (ask[1:] != ask[:-1]) | (groups[1:] != groups[:-1])])[: len(ask)]
-            places = np.arange(len(ask)) - np.maximum.accumulate(np.where(begins, np.arange(len(ask)), 0))
-            ask, met, differ = (c[places < few] for c in (ask, met, differ))
-        arrays = [pa.array(ask), pa.array(met), pa.array(differ.astype(np.int32))]
-        return pa.RecordBatch.from_arrays(arrays, ["asks", "met", "differ"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[pa.RecordBatch] = []
-        rows = 0
-        for batch in batches:
-            if not len(batch):
-                continue
+    for batch in batches:
+        if len(batch):
             waiting.append(batch)
-            rows += len(batch)
-            if rows < 2 * BLOCK_ROWS:
-                continue
-            # The last group may go on in the next batch.
-            table = pa.Table.from_batches(waiting)
-            last = np.ones(rows, bool)
-            for name in group_columns:
-                values = table.column(name).to_numpy()
-                last &= values == values[-1]
-            whole = rows - int(last.sum())
-            yield from map(offered, in_pieces(table.slice(0, whole)))
-            waiting, rows = table.slice(whole).to_batches(), rows - whole
-        if waiting:
-            yield from map(offered, in_pieces(pa.Table.from_batches(waiting)))
-
-    return run
-
-
-def across(members: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int, few: int | None) -> DataFrame:
-    """(a, b, differ): pairs within the distance that share a key and lie in different components.
-
-    Of a key, the members outside its largest component meet all its members; members of
-    one component do not meet.  Both sides are cut into blocks of bounded size.  With
-    ``few`` only so many nearest partners of each outsider are given.
+            held += len(batch)
+            if held >= 2 * rows:
+                yield from pieces(last=False)
+    if waiting:
+        yield from pieces(last=True)
+
+
+def met_in_key(table: pa.Table, percent: int) -> np.ndarray:
+    """Distinct (block, block, node): the nodes that have, in these groups, a partner in another component.
+
+    A pair counts in the first key that both share, so it is met once however many they share.
+    Rows ``step`` apart in one group are compared for all groups at once.
+    """
+    key, node, part, n, block = (table.column(c).to_numpy() for c in ("key", "node", "part", "n", "block"))
+    asks, outside = (table.column(c).to_numpy(zero_copy_only=False) for c in ("asks", "outside"))
+    marks, group = signatures_of(table.column("signature")), group_numbers(table, GROUP)
+    found = [np.zeros((0, 3), np.int64)]
+    first, step, size = np.arange(len(node)), 0, 0
+    while len(first):
+        step += 1
+        first = first[first + step < len(node)]
+        first = first[group[first] == group[first + step]]
+        other = first + step
+        able = (asks[first] != asks[other]) & (part[first] != part[other]) & may_link(n[first], n[other], percent)
+        ask, met = np.where(asks[first], first, other)[able], np.where(asks[first], other, first)[able]
+        # Two outsiders ask each other; one of them is enough.
+        once = ~outside[met] | (node[ask] < node[met])
+        ask, met = ask[once], met[once]
+        for start in range(0, len(ask), SLICE_ROWS):
+            a, m = ask[start : start + SLICE_ROWS], met[start : start + SLICE_ROWS]
+            differ = marks[a] != marks[m]
+            near = np.flatnonzero(differ.sum(axis=1) <= MAX_DIFFER)
+            a, m, errors = a[near], m[near], differ[near].reshape(-1, CHUNKS, CHUNK)
+            chunk = np.argmax(errors.sum(axis=2) <= 1, axis=1)
+            first_key = chunk * CHUNK + np.argmax(errors[np.arange(len(near)), chunk], axis=1)
+            here = first_key == key[a] >> (BITS * (CHUNK - 1))
+            a, m = a[here], m[here]
+            low, high = np.minimum(block[a], block[m]), np.maximum(block[a], block[m])
+            rows = np.concatenate([np.stack([low, high, node[a]], axis=1), np.stack([low, high, node[m]], axis=1)])
+            found.append(rows)
+            size += len(rows)
+            if size > HELD_ROWS:
+                found = [np.unique(np.concatenate(found), axis=0)]
+                size = 0
+    return np.unique(np.concatenate(found), axis=0)
+
+
+def met_cells(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(one, two, node): for every two blocks the nodes of both that may link across components.
+
+    ``nodes`` has (node, n, signature, block, part).  Of a key, the members outside its
+    largest component meet all its members; members of one component do not meet.  Both
+    sides are cut into parts of bounded size.  Pairs are not listed, only who takes part in one.
     """
-    of = members.select("key", "node").join(labels, "node", "left")
-    of = of.select("key", "node", F.coalesce("root", "node").alias("part"))
+    of = members.select("key", "node").join(nodes.select("node", "part"), "node")
     parts = of.groupBy("key", "part").agg(F.count("*").alias("size"))
     mixed = parts.groupBy("key").agg(
         F.count("*").alias("parts"), F.sum("size").alias("all"), F.max(F.struct("size", "part")).alias("most")
     ).filter("parts > 1")
-    rows = of.join(mixed, "key").join(nodes.select("node", "n", "signature"), "node")
+    rows = of.drop("part").join(mixed, "key").join(nodes.select("node", "n", "signature", "block", "part"), "node")
     outside = F.col("part") != F.col("most.part")
-    blocks, outside_blocks = (
+    pieces, outside_pieces = (
         F.ceil(size / F.lit(BLOCK_ROWS)).cast("int") for size in (F.col("all"), F.col("all") - F.col("most.size"))
     )
-    mine = lambda count: F.pmod(F.xxhash64("node"), count).cast("int")
+    own = lambda count: F.pmod(F.xxhash64("node"), count).cast("int")
     every = lambda count: F.explode(F.sequence(F.lit(0), count - 1))
-    carried = ("key", "node", "part", "n", "signature")
-    left = rows.filter(outside).select(*carried, F.lit(True).alias("asks"), mine(outside_blocks).alias("one"), every(blocks).alias("two"))
-    right = rows.select(*carried, F.lit(False).alias("asks"), mine(blocks).alias("two"), every(outside_blocks).alias("one"), outside.alias("outside"))
-    both = left.withColumn("outside", F.lit(True)).unionByName(right)
+    columns = ["key", "node", "part", "n", "block", "signature", outside.alias("outside")]
+    asking = rows.filter(outside).select(*columns, F.lit(True).alias("asks"), own(outside_pieces).alias("one"), every(pieces).alias("two"))
+    asked = rows.select(*columns, F.lit(False).alias("asks"), every(outside_pieces).alias("one"), own(pieces).alias("two"))
+    grouped = asking.unionByName(asked).repartition(*GROUP).sortWithinPartitions(*GROUP)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros((0, 3), np.int64)]
+        for table in whole_groups(batches, GROUP, BLOCK_ROWS):
+            # The keys of one task repeat each other; a bounded number of rows waits for its repeats.
+            held.append(met_in_key(table, percent))
+            if sum(map(len, held)) > HELD_ROWS:
+                held = [np.unique(np.concatenate(held), axis=0)]
+                if 2 * len(held[0]) > HELD_ROWS:
+                    yield by_cell(held.pop())
+                    held.append(np.zeros((0, 3), np.int64))
+        yield by_cell(np.unique(np.concatenate(held), axis=0))
+
+    cells = grouped.mapInArrow(run, "one long, two long, nodes array<long>")
+    # A node is listed once for each of its keys at most, so the list of a cell is bounded as its blocks are.
+    listed = cells.groupBy(*CELL).agg(F.array_distinct(F.flatten(F.collect_list("nodes"))).alias("nodes"))
+    return listed.select(*CELL, F.explode("nodes").alias("node"))
+
+
+def by_cell(rows: np.ndarray) -> pa.RecordBatch:
+    """Sorted (one, two, node) as one row for each cell with the list of its nodes."""
+    starts = np.flatnonzero(np.concatenate([[True], (rows[1:, :2] != rows[:-1, :2]).any(axis=1)])[: len(rows)])
+    offsets = pa.array(np.append(starts, len(rows)), pa.int32())
+    nodes = pa.ListArray.from_arrays(offsets, pa.array(rows[:, 2]))
+    return pa.RecordBatch.from_arrays([pa.array(rows[starts, 0]), pa.array(rows[starts, 1]), nodes], ["one", "two", "nodes"])
+
+
+def link_cell(table: pa.Table, percent: int) -> list[tuple[int, int]]:
+    """(node, root) links that join the components of one cell, confirmed on the full sets.
+
+    Each node is held at once against all nodes of the other block that are near and not yet in its component.
+    """
+    node, part, n, block, one, two = (table.column(c).to_numpy() for c in ("node", "part", "n", "block", "one", "two"))
+    marks = signatures_of(table.column("signature"))
+    shingles = np.frombuffer(b"".join(table.column("shingles").to_pylist()), np.uint64)
+    distinct, codes = np.unique(shingles, return_inverse=True)
+    ends = np.cumsum(n)
+    label, has, links = part.copy(), np.zeros(len(distinct), bool), []
+    # In a cell of two blocks the nodes of one ask those of the other.
+    asking = np.flatnonzero(block == one)
+    other = np.flatnonzero(block == two)
+    for i in asking.tolist():
+        met = other[other > i] if one[0] == two[0] else other
+        met = met[(label[met] != label[i]) & may_link(n[met], n[i], percent)]
+        met = met[(marks[met] != marks[i]).sum(axis=1) <= MAX_DIFFER]
+        if not len(met):
+            continue
+        mine = codes[ends[i] - n[i] : ends[i]]
+        has[mine] = True
+        theirs = has[np.concatenate([codes[ends[j] - n[j] : ends[j]] for j in met.tolist()])]
+        has[mine] = False
+        shared = np.add.reduceat(theirs.astype(np.int64), np.cumsum(n[met]) - n[met])
+        for j in met[100 * shared >= percent * (n[i] + n[met] - shared)].tolist():
+            if label[j] != label[i]:
+                links.append((int(max(node[i], node[j])), int(min(node[i], node[j]))))
+                label[label == label[j]] = label[i]
+    return links
+
+
+def links_across(members: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, root): links that join components which any pair within the distance links.
+
+    A set is sent once to each cell its node takes part in, not once for each partner.
+    """
+    wanted = met_cells(members, nodes, percent)
+    carried = nodes.select("node", "part", "n", "block", "signature").join(sets, "node")
+    cells = wanted.join(carried, "node").repartition(*CELL).sortWithinPartitions(*CELL, "node")
 
-    grouped = both.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two", "node")
-    pairs = grouped.mapInArrow(_meetings(percent, few), "asks long, met long, differ int").distinct()
-    if few is not None:
-        order = Window.partitionBy("asks").orderBy("differ", "met")
-        pairs = pairs.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= few)
-    return pairs.select(F.least("asks", "met").alias("a"), F.greatest("asks", "met").alias("b")).distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, CELL, 1):
+            if links := link_cell(table, percent):
+                arrays = [pa.array(c, pa.int64()) for c in zip(*links, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, ["node", "root"])
+
+    return cells.mapInArrow(run, "node long, root long")
+
+
+def with_blocks(nodes: DataFrame, members: DataFrame) -> DataFrame:
+    """``nodes`` and ``block``: nodes whose keys have the same smallest member lie in few blocks, of bounded
+    numbers of nodes and shingles."""
+    homes = members.groupBy("node").agg(F.min("centre").alias("home"))
+    at_home = nodes.join(homes, "node")
+    sizes = at_home.groupBy("home").agg(
+        F.greatest(F.sum("n") / F.lit(BLOCK_SHINGLES), F.count("*") / F.lit(BLOCK_NODES)).alias("wanted")
+    )
+    place = F.pmod(F.xxhash64("node"), F.ceil("wanted"))
+    return at_home.join(sizes, "home").withColumn("block", F.xxhash64("home", place)).select(*nodes.columns, "block")
 
 
 def near_duplicates(
@@ -338,18 +418,16 @@ def near_duplicates(
     shared = keys.groupBy("key").agg(F.count("*").alias("met"), F.min("node").alias("centre")).filter("met > 1")
     members = stored(keys.join(shared.select("key", "centre"), "key"), "members")
     meeting = members.select("node").distinct()
-    nodes = stored(unique.join(meeting, "node", "left_semi"), "nodes")
+    nodes = stored(with_blocks(unique.join(meeting, "node", "left_semi"), members), "nodes")
     sets = stored(full_sets(docs, nodes.select("id", "row", "node"), shingle), "full_sets")
 
-    tried = stored(confirmed(nearest_centre(members, nodes, percent), sets, percent), "tried")
-    as_links = lambda pairs: pairs.filter("linked").select(F.col("b").alias("node"), F.col("a").alias("root"))
-    links = components(as_links(tried))
-    for few in (FEW, None):
-        pairs = across(members, nodes, links, percent, few).join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        more = stored(confirmed(pairs, sets, percent), "tried")
-        tried = tried.unionByName(more)
-        if not more.filter("linked").isEmpty():
-            links = components(links.unionByName(as_links(more)))
+    star = confirmed(nearest_centre(members, nodes, percent), sets, percent).filter("linked")
+    links = components(star.select(F.col("b").alias("node"), F.col("a").alias("root")))
+    parted = nodes.join(links, "node", "left").withColumn("part", F.coalesce("root", "node")).drop("root")
+    parted = stored(parted, "parted")
+    more = stored(links_across(members, parted, sets, percent), "links")
+    if not more.isEmpty():
+        links = components(links.unionByName(more))
 
     placed = unique.select("node", "digest", "id").join(links, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = placed.groupBy("root").agg(F.min("id").alias("component_id"))

@@ -74,6 +74,7 @@ def test_result_equals_all_pairs(spark, rows):
 def test_one_key_for_all(spark, rows, monkeypatch, block):
     """A large group of near copies and many texts that share half of it: few blocks or many give the same."""
     monkeypatch.setattr(minhash, "BLOCK_ROWS", block)
+    monkeypatch.setattr(minhash, "BLOCK_NODES", block)
     draw = random.Random(3)
     core = [f"c{i}" for i in range(80)]
     table = []
