@@ -21,6 +21,7 @@ from quarterdeck.llm.shared import stored
 
 SCALE = 1024
 BLOCK_ROWS = 8192  # about as many rows of a slot make one block
+LONGEST = 1 << 62  # squared length of a scaled vector whose scores surely fit 64 bits
 QUERY_ROWS = 256  # queries travel in groups of this many
 
 
@@ -29,10 +30,14 @@ def quantised(vector: Column, scale: int = SCALE) -> Column:
     return F.transform(vector, lambda x: F.floor(x.cast("double") * F.lit(float(scale))).cast("bigint"))
 
 
-def usable(vector: Column) -> Column:
-    """Neither null nor empty nor holding null or non-finite components."""
+def usable(vector: Column, scale: int = SCALE) -> Column:
+    """Neither null nor empty nor holding null or non-finite components, and short enough for its scores.
+
+    Scaled vectors of a squared length up to 2^62 have inner products of at most 2^62.
+    """
     finite = F.forall(vector, lambda x: F.coalesce(F.abs(x.cast("double")) < F.lit(float("inf")), F.lit(False)))
-    return F.coalesce(finite & (F.size(vector) > 0), F.lit(False))
+    squares = F.aggregate(vector, F.lit(0.0), lambda total, x: total + F.pow(x.cast("double") * F.lit(float(scale)), F.lit(2.0)))
+    return F.coalesce(finite & (F.size(vector) > 0) & (squares <= F.lit(float(LONGEST))), F.lit(False))
 
 
 # ---- bitmaps of one block
@@ -65,7 +70,7 @@ class Block:
         """
         top = (1 << self.width) - 1
         negative = query < 0
-        constant = int((query * self.low).sum()) + int(query[negative].sum()) * top
+        constant = sum(q * low for q, low in zip(query.tolist(), self.low.tolist())) + int(query[negative].sum()) * top
         size = np.abs(query)
         places: dict[int, list[np.ndarray]] = {}
         for shift in range(int(size.max(initial=0)).bit_length()):
@@ -149,22 +154,24 @@ def top_k(
 
     Scores are inner products of the quantised vectors; ties go to the smaller id.
     Vectors that are null, empty, or hold null or non-finite components take no part,
-    nor do rows without id.  Of rows that share an id the smallest vector counts.  A
+    nor do vectors too long for scores of 64 bits (``LONGEST``) and rows without id.  Rows
+    that share an id, or are equal, are each a candidate and, if asked, each a query; the answers of one
+    id are ranked together, and no row of a query's own id is among them.  A
     query of another length than a block's vectors is matched with vectors of its own
     length only.  Other columns are left out.  An empty table gives an empty result.
     ``is_query`` reads the id as ``id``.
     """
-    asked = df.filter(usable(F.col(vector_column)) & F.col(id_column).isNotNull())
+    asked = df.filter(usable(F.col(vector_column), scale) & F.col(id_column).isNotNull())
     vectors = asked.select(F.col(id_column).cast("bigint").alias("id"), quantised(F.col(vector_column), scale).alias("v"))
-    vectors = stored(vectors.groupBy("id").agg(F.min("v").alias("v")), "vectors")
+    vectors = stored(vectors, "vectors")
     slots = max(1, -(-vectors.count() // block_rows))
-    slotted = vectors.withColumn("slot", F.pmod(F.xxhash64("id"), F.lit(slots)).cast("int"))
+    slotted = vectors.withColumn("slot", F.pmod(F.xxhash64("id", "v"), F.lit(slots)).cast("int"))
     rows = slotted.repartition(slots, "slot").sortWithinPartitions("slot", F.size("v"), "id")
     index = rows.select("slot", "id", "v").mapInArrow(_index_blocks(2 * block_rows), INDEX)
 
     queries = vectors.filter(is_query)
     groups = queries.count() // QUERY_ROWS + 1
-    grouped = queries.groupBy(F.pmod(F.xxhash64("id"), F.lit(groups)).alias("group"))
+    grouped = queries.groupBy(F.pmod(F.xxhash64("id", "v"), F.lit(groups)).alias("group"))
     gathered = grouped.agg(F.collect_list(F.struct("id", "v")).alias("queries"))
     # The stated queries go to every slot of the index; rows never meet rows one by one.
     spread = gathered.select("queries", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot"))

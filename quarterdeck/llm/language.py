@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -34,14 +35,13 @@ class LanguageRules:
     grams: int = 16_000  # of each length
     longest_gram: int = 4
     smoothing: float = 0.5
-    # A word of a text counts at most this often, so that one repeated word cannot outvote the rest.
-    max_repeats: int = 20
     # Unseen words say less than known ones.
     backoff_weight: float = 0.5
 
 
-# Letters of any script in a row; what is neither letter, digit nor underscore in Python's sense parts words.
-WORD = re.compile(r"[^\W\d_]+")
+# Letters of any script in a row.  Python's \w also holds numerals that are no decimal digits, such as a half.
+_NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha())
+WORD = re.compile(rf"[^\W_{_NUMERALS}]+")
 WORD_SQL = r"\p{L}+"
 
 
@@ -203,7 +203,7 @@ class Scorer:
         if self.used + len(words) > len(self.scores) or self.chars > self.cache_chars:
             # Room for all words of this text at once, or one by one where even that is too little.
             self._forget()
-        counts = np.minimum(np.fromiter(words.values(), float, len(words)), self.model.rules.max_repeats)
+        counts = np.fromiter(words.values(), float, len(words))
         if len(words) <= len(self.scores) - self.used:
             rows = list(map(self.rows.get, words))
             if None in rows:

@@ -328,7 +328,9 @@ WITH whole AS (
     SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
     FROM embeddings
     WHERE embedding IS NOT NULL AND len(embedding) > 0
-      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      -- Longer ones could have scores beyond 64 bits.
+      AND list_sum(list_transform(embedding, lambda x: pow(1024 * x::DOUBLE, 2))) <= 4611686018427387904::DOUBLE
 ), scored AS (
     SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
            list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score

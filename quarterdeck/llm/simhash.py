@@ -17,10 +17,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarterdeck.llm.shared import stored, text_or_empty
+from quarterdeck.llm.shared import free_name, stored, text_or_empty
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -61,16 +61,22 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(df: DataFrame, id_column: str, text_column: str, shingle: int) -> DataFrame:
-    """(id, fp) of every row; fp holds the 64 bits as a signed integer."""
-    schema = pa.schema([("id", pa.int64()), ("fp", pa.int64())])
+    """(id, key, fp) of every row; fp holds the 64 bits as a signed integer, key is a hash of the text."""
+    schema = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("fp", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], schema=schema)
+            found = np.array([fingerprint(t, shingle) for t in batch.column("text").to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found.view(np.int64))], schema=schema)
 
-    asked = df.select(F.col(id_column).cast("bigint").alias("id"), text_or_empty(text_column).alias("text"))
-    return asked.mapInArrow(run, "id bigint, fp bigint")
+    text = text_or_empty(text_column)
+    asked = df.select(F.col(id_column).cast("bigint").alias("id"), text_key(text).alias("key"), text.alias("text"))
+    return asked.mapInArrow(run, "id bigint, key bigint, fp bigint")
+
+
+def text_key(text: Column) -> Column:
+    """Tells apart the texts of rows that share an id."""
+    return F.xxhash64(text)
 
 
 # ---- vantage-point trees
@@ -183,7 +189,7 @@ def link_shard(points: np.ndarray, reach: int, roots: Roots, rows: np.ndarray |
 
 
 def shard_links(unique: DataFrame, reach: int, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """(node, root) stars of every shard over distinct fingerprints (fp, node); ``node`` is the smallest id of an fp.
+    """(node, root) stars of every shard over distinct fingerprints (fp, node); ``node`` tells fingerprints apart.
 
     The tree is built on a bounded sample, never more than an eighth of the rows; every
     row is sent through it.
@@ -258,15 +264,10 @@ def near_duplicates(
     Fingerprints link at ``max_bits`` or fewer differing bits; ``component_id`` is the
     smallest id that links reach.  Null, empty and blank texts have fingerprint zero and
     link like any other.  Rows that share an id have each their own fingerprint; a null
-    id takes no part and has no component.  Other columns are left out.  An empty table
-    gives an empty result.
+    id takes no part and has no component.  A very long text is read whole, one at a time.
+    Other columns are left out.  An empty table gives an empty result.
     """
-    prints = stored(fingerprints(df, id_column, text_column, shingle), "fingerprints")
-    unique = prints.filter("id IS NOT NULL").groupBy("fp").agg(F.min("id").alias("node"))
-    unique = stored(unique, "distinct_fingerprints")
-    found = components(shard_links(unique, max_bits, shard_rows))
-    named = unique.join(found, "node", "left").select("fp", F.coalesce("root", "node").alias("component_id"))
-    out = prints.join(named, "fp", "left")
+    out = _with_components(df, id_column, text_column, shingle, max_bits, shard_rows)
     return out.select(
         F.col("id").alias(id_column),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -274,13 +275,30 @@ def near_duplicates(
     )
 
 
+def _with_components(
+    df: DataFrame, id_column: str, text_column: str, shingle: int = SHINGLE, max_bits: int = MAX_BITS, shard_rows: int = SHARD_ROWS
+) -> DataFrame:
+    """(id, key, fp, component, component_id); components are found among fingerprints, whatever ids they share."""
+    prints = stored(fingerprints(df, id_column, text_column, shingle), "fingerprints")
+    unique = prints.filter("id IS NOT NULL").groupBy("fp").agg(F.min("id").alias("least"))
+    unique = stored(unique.withColumn("node", F.col("fp")), "distinct_fingerprints")
+    found = components(shard_links(unique, max_bits, shard_rows))
+    placed = unique.join(found, "node", "left").withColumn("component", F.coalesce("root", "node"))
+    least = placed.groupBy("component").agg(F.min("least").alias("component_id"))
+    return prints.join(placed.join(least, "component").select("fp", "component", "component_id"), "fp", "left")
+
+
 def keep_one_of_each(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
     """The input with one row of each component, that of the smallest id; rows without an id stay.
 
-    Of rows that share this id one stays.
+    Rows that share an id are told apart by their texts: each component keeps a row of its own. Of
+    rows of one component that share its smallest id one stays, the same at every run but for equal rows.
     """
-    found = near_duplicates(df, id_column, text_column, **options)
-    kept = found.filter(F.col(id_column) == F.col("component_id")).select(id_column).distinct()
-    with_id = df.filter(F.col(id_column).isNotNull())
-    stay = with_id.join(kept, id_column, "left_semi").dropDuplicates([id_column]).select(*df.columns)
+    found = _with_components(df, id_column, text_column, **options).filter("id IS NOT NULL")
+    first = found.groupBy("component").agg(F.min(F.struct("id", "key")).alias("first"))
+    stay_id, stay_key, key = (free_name(df.columns, n) for n in ("stay_id", "stay_key", "text_key"))
+    kept = first.select(F.col("first.id").alias(stay_id), F.col("first.key").alias(stay_key))
+    rows = df.withColumn(key, text_key(text_or_empty(text_column)))
+    same = (rows[id_column].cast("bigint") == kept[stay_id]) & (rows[key] == kept[stay_key])
+    stay = rows.join(kept, same, "left_semi").dropDuplicates([id_column, key]).select(*df.columns)
     return stay.unionByName(df.filter(F.col(id_column).isNull()))

@@ -13,19 +13,20 @@ VECTORS = "vec_id long, embedding array<float>, score string"
 
 
 def plain_top_k(rows, k, is_query, scale=1024):
-    """By every product of a query with every row."""
-    whole = {}
+    """By every product of a query with every row, of which some may share an id."""
+    whole = []
     for vec_id, vector, _ in rows:
         if vec_id is None or not vector or any(x is None or not math.isfinite(x) for x in vector):
             continue
         value = [math.floor(scale * float(np.float32(x))) for x in vector]
-        whole[vec_id] = min(whole.get(vec_id, value), value)
-    out = []
-    for q, mine in whole.items():
+        if sum((scale * float(np.float32(x))) ** 2 for x in vector) <= 2.0**62:
+            whole.append((vec_id, value))
+    scored = {}
+    for q, mine in whole:
         if is_query(q):
-            scored = [(-sum(a * b for a, b in zip(mine, v)), i) for i, v in whole.items() if i != q and len(v) == len(mine)]
-            out += [(q, rank, i, -s) for rank, (s, i) in enumerate(sorted(scored)[:k], 1)]
-    return sorted(out)
+            products = [(-sum(a * b for a, b in zip(mine, v)), i) for i, v in whole if i != q and len(v) == len(mine)]
+            scored.setdefault(q, []).extend(products)
+    return sorted((q, rank, i, -s) for q, found in scored.items() for rank, (s, i) in enumerate(sorted(found)[:k], 1))
 
 
 def vectors(draw, count, size, spread):
@@ -45,6 +46,16 @@ def test_top_k(spark, count, size, spread, block):
     assert sorted(tuple(r) for r in found) == plain_top_k(rows, 7, lambda i: i % 10 == 0)
 
 
+def test_rows_that_share_an_id_and_long_vectors(spark):
+    rows = [(0, [1.0], ""), (1, [2.0], ""), (1, [3.0], ""), (2, [2.5], ""), (3, [1e30], ""), (0, [-1.0], ""), (4, [1e6], "")]
+    rows += [(5, [-2.0e6], ""), (2, [2.5], "")]
+    found = bit_slices.top_k(spark.createDataFrame(rows, VECTORS), F.col("id") == 0, k=4).collect()
+    assert sorted(tuple(r) for r in found) == plain_top_k(rows, 4, lambda i: i == 0)
+    whole = bit_slices.top_k(spark.createDataFrame(rows, VECTORS), F.col("id") >= 0, k=20).collect()
+    assert sorted(tuple(r) for r in whole) == plain_top_k(rows, 20, lambda i: True)
+    assert 3 not in {r.vec_id for r in whole}
+
+
 def test_few_rows_and_none(spark):
     rows = [(0, [1.0], "x"), (1, [2.0], "x")]
     found = bit_slices.top_k(spark.createDataFrame(rows, VECTORS), F.col("id") == 0, k=5).collect()
@@ -104,6 +115,12 @@ def test_only_the_text_counts(spark, spoken):
     assert [(r.lang_pred, r.score) for r in first] == [(r.lang_pred, r.score) for r in second]
 
 
+def test_numerals_are_no_letters(spark, spoken):
+    df = spark.createDataFrame([(1, "½ ② Ⅷ ٣ _ 42"), (2, None), (3, " "), (4, "½x²")], "doc_id long, text string")
+    found = {r.doc_id: r for r in language.identify(df, language.learn(spark.createDataFrame(spoken, DOCS))).collect()}
+    assert [found[i].lang_pred for i in (1, 2, 3)] == ["und"] * 3 and found[4].lang_pred != "und"
+
+
 def test_unseen_words_fall_back(spark, spoken):
     model = language.learn(spark.createDataFrame(spoken, DOCS), language.LanguageRules(words=2))
     found = [language.Scorer(model).predict(r[1])[0] == r[2] for r in spoken]

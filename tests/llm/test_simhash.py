@@ -120,6 +120,18 @@ def test_long_chains(spark):
     assert found == {i: 0 for i in range(1, 201)} | {i: 300 for i in range(301, 420)}
 
 
+def test_rows_that_share_an_id(spark):
+    near = "alpha beta gamma delta " * 30
+    rows = [(1, "sole text with nothing in common", "", 0), (1, "completely other words here", "", 0), (1, near, "", 0)]
+    rows += [(0, "completely other words here", "", 0), (7, near, "", 1), (7, "sole text with nothing in common", "", 2), (7, near, "", 1)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    found = {(r.doc_id, r.fingerprint): r.component_id for r in simhash.near_duplicates(df).collect()}
+    mark = lambda text: f"{plain_fingerprint(text):016x}"
+    assert found[1, mark(rows[0][1])] == 1 == found[7, mark(rows[0][1])] and found[1, mark(rows[1][1])] == 0
+    kept = sorted((r.doc_id, r.text) for r in simhash.keep_one_of_each(df).collect())
+    assert kept == sorted([(1, rows[0][1]), (0, rows[1][1]), (1, near)])
+
+
 def test_edge_tables(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert simhash.near_duplicates(empty).count() == 0 and simhash.keep_one_of_each(empty).count() == 0
