@@ -11,6 +11,7 @@ from quarterdeck.functions.scores import engagement
 from quarterdeck.functions.text import strip
 from quarterdeck.operators.contracts import day_or_fail, key_or_fail, require_columns
 from quarterdeck.params import ActivityRules
+from quarterdeck.sources.writers import Keep, not_kept
 
 # Column names of the exports.
 DEAL_COLUMNS = ("deal_id", "stage", "close_date", "arr", "rep_name", "account_name")
@@ -75,10 +76,16 @@ def max_activity(requested: DataFrame, counts: DataFrame) -> DataFrame:
     return among.agg(F.coalesce(F.max("activity_count"), F.lit(0).cast("long")).alias("max_count"))
 
 
-def activity_signals(requested: DataFrame, log: DataFrame, as_of: dt.date | Column, rules: ActivityRules) -> DataFrame:
-    """``requested`` with engagement and gap; a deal without activity scores 0 with a gap."""
+def activity_signals(
+    requested: DataFrame, log: DataFrame, as_of: dt.date | Column, rules: ActivityRules, keep: Keep = not_kept
+) -> DataFrame:
+    """``requested`` with engagement and gap; a deal without activity scores 0 with a gap.
+
+    The counts by deal are used twice, for the deal and for the largest among all; with ``keep``
+    the log is read once.
+    """
     today = as_of if isinstance(as_of, Column) else F.lit(as_of)
-    counts = activity_counts(log)
+    counts = keep(activity_counts(log), "activity_counts")
     known = F.col("activity_count").isNotNull()
     score = engagement(F.col("days_since_last"), F.col("activity_count"), F.col("_max_count"), rules)
     joined = (

@@ -192,8 +192,13 @@ def run_log_row(
     rules: ReviewRules,
     narrative: str | Column = "",
     actions_json: str | Column = "[]",
+    run_id: str | Column | None = None,
 ) -> DataFrame:
-    """One row per run, with the gap rows nested; a segment list is short by configuration."""
+    """One row per run, with the gap rows nested; a segment list is short by configuration.
+
+    Without ``run_id`` the run is named by a hash of all it reports, so that the same run
+    has the same name when it is computed again.
+    """
     narrative, actions_json = (v if isinstance(v, Column) else F.lit(v) for v in (narrative, actions_json))
     optional = {
         name: F.coalesce(F.col(name), F.lit("")) if name in gaps.columns else F.lit("")
@@ -214,9 +219,7 @@ def run_log_row(
         F.collect_list(F.when(F.col("flagged"), F.struct(place.alias("place"), F.col("segment").alias("key"))))
     )
     rows = gaps.agg(ordered["row"].alias("gap_rows"), F.array_join(marked["key"], ",").alias("flagged_segments"))
-    return rows.select(
-        F.expr("uuid()").alias("run_id"),
-        F.current_timestamp().alias("written_at"),
+    told = rows.select(
         reference.select("reference_quarter").scalar().alias("reference_quarter"),
         F.lit(rules.search_year).alias("search_year"),
         narrative.alias("narrative"),
@@ -224,6 +227,9 @@ def run_log_row(
         "flagged_segments",
         "gap_rows",
     )
+    content = F.sha2(F.to_json(F.struct(*told.columns)).cast("binary"), 256)
+    name = content if run_id is None else run_id if isinstance(run_id, Column) else F.lit(run_id)
+    return told.select(name.alias("run_id"), F.current_timestamp().alias("written_at"), *told.columns)
 
 
 def allocate_bookings(opportunities: DataFrame, targets: DataFrame, weight: str) -> DataFrame:

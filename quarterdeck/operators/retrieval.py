@@ -135,14 +135,14 @@ def squared_distances(embedding: str, questions: str) -> Column:
     return measure(F.col(embedding), F.col(questions))
 
 
-def query_distances(chunks: DataFrame, queries: DataFrame) -> DataFrame:
-    """Distance of every chunk to each query of its deal: (deal_id, query_no, chunk_id, distance).
+def query_distances(chunks: DataFrame, queries: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Distance of every chunk to each query of its deal: (deal_id, query_no, chunk_id, distance), then ``carry``.
 
     ``queries`` has (query_no, embedding) for questions put to all deals, or a
     deal_id as well.  A deal's queries are few, so they travel as one array beside
     each chunk; chunks of one deal never meet each other, and their texts stay behind.
     """
-    chunks = chunks.select("deal_id", "chunk_id", "embedding")
+    chunks = chunks.select("deal_id", "chunk_id", "embedding", *carry)
     packed = F.sort_array(F.collect_list(F.struct("query_no", "embedding"))).alias("_queries")
     if "deal_id" in queries.columns:
         asked = queries.groupBy("deal_id").agg(packed)
@@ -151,20 +151,23 @@ def query_distances(chunks: DataFrame, queries: DataFrame) -> DataFrame:
         paired = chunks.withColumn("_queries", queries.agg(packed).scalar())
     measured = paired.withColumn("_distances", squared_distances("embedding", "_queries.embedding"))
     each = F.arrays_zip(F.col("_queries.query_no").alias("query_no"), F.col("_distances").alias("distance"))
-    return measured.select("deal_id", "chunk_id", F.inline(each)).select("deal_id", "query_no", "chunk_id", "distance")
+    told = measured.select("deal_id", "chunk_id", *carry, F.inline(each))
+    return told.select("deal_id", "query_no", "chunk_id", "distance", *carry)
 
 
-def nearest_chunks(chunks: DataFrame, queries: DataFrame, top_k: int) -> DataFrame:
+def nearest_chunks(chunks: DataFrame, queries: DataFrame, top_k: int, one_pass: bool = False) -> DataFrame:
     """The ``top_k`` nearest chunks for each deal and query, with ``hit_rank`` from 1 and their document.
 
-    Only ids and distances are ranked; the few texts that are wanted are looked up afterwards.
+    Ids and distances alone are ranked, and the few texts that are wanted are looked up
+    afterwards.  ``one_pass`` carries the texts along, which is cheaper where ``chunks`` holds
+    little but the asked deals: a map task still forwards no more than the hits.
     """
-    distances = query_distances(chunks, queries)
+    distances = query_distances(chunks, queries, ["document"] if one_pass else [])
     order = [F.asc_nulls_last("distance"), F.col("chunk_id")]
     first = head_per_group(distances, ["deal_id", "query_no"], order, max(top_k, 1), rank="hit_rank")
-    return first.join(chunks.select("deal_id", "chunk_id", "document"), ["deal_id", "chunk_id"]).select(
-        "deal_id", "query_no", "chunk_id", "document", "distance", "hit_rank"
-    )
+    if not one_pass:
+        first = first.join(chunks.select("deal_id", "chunk_id", "document"), ["deal_id", "chunk_id"])
+    return first.select("deal_id", "query_no", "chunk_id", "document", "distance", "hit_rank")
 
 
 def merge_hits(hits: DataFrame) -> DataFrame:
@@ -200,9 +203,11 @@ def deal_context(requested: DataFrame, chunks: DataFrame, queries: DataFrame, to
     """``requested`` with the context block and retrieval status of every deal.
 
     Retrieval succeeds for a deal that has an id when every question that concerns it can
-    be put, even when the deal has no chunks; the block is empty then.
+    be put, even when the deal has no chunks; the block is empty then.  Chunks of other deals
+    are left out before any distance is taken, and the texts come from the same pass.
     """
-    blocks = context_blocks(merge_hits(nearest_chunks(chunks, queries, top_k)))
+    asked = chunks.join(requested.select("deal_id").distinct(), "deal_id", "left_semi")
+    blocks = context_blocks(merge_hits(nearest_chunks(asked, queries, top_k, one_pass=True)))
     joined = requested.join(blocks, "deal_id", "left")
     return joined.withColumns(
         {

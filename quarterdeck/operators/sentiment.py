@@ -20,6 +20,7 @@ from quarterdeck.operators.contracts import require_columns
 from quarterdeck.operators.ordering import positions
 from quarterdeck.operators.skew import salted_join
 from quarterdeck.params import ToneRules
+from quarterdeck.sources.writers import Keep, not_kept
 
 TRANSCRIPT_COLUMNS = ("deal_id", "call_date", "call_num", "turn_num", "speaker", "turn_text")
 EMAIL_COLUMNS = ("deal_id", "body", "timestamp")
@@ -194,9 +195,23 @@ class _Counter:
 _PLACE = ("source", "day", "block")
 
 
-def _call_blocks(transcripts: DataFrame, counter: _Counter) -> DataFrame:
+def _counted_turns(transcripts: DataFrame, counter: _Counter) -> DataFrame:
+    """Every turn with its counts in place of its text.  Only placed buyer turns are counted; the others
+    stay because cut-offs and spans look at them."""
+    used = F.contains(F.lower("speaker"), F.lit("buyer")) & F.col("call_num").isNotNull()
+    turns = transcripts.select(*(c for c in TRANSCRIPT_COLUMNS if c != "turn_text"), "ordinal",
+                               F.when(used, F.col("turn_text")).alias("_counted"))
+    return counter.count(turns, "_counted").drop("_counted", "_text")
+
+
+def _counted_mails(emails: DataFrame, counter: _Counter) -> DataFrame:
+    """Every e-mail with its counts in place of its body."""
+    return counter.count(emails.select(*EMAIL_COLUMNS, "ordinal"), "body").drop("body", "_text")
+
+
+def _call_blocks(counted: DataFrame, counter: _Counter) -> DataFrame:
     turns = (
-        buyer_turns(transcripts)
+        buyer_turns(counted)
         .filter(F.col("call_num").isNotNull())
         .select(
             strip(F.col("deal_id").cast("string")).alias("deal_id"),
@@ -205,12 +220,11 @@ def _call_blocks(transcripts: DataFrame, counter: _Counter) -> DataFrame:
             F.coalesce("turn_num", F.lit(0)).alias("turn_num"),
             F.shiftright(F.coalesce("turn_num", F.lit(0)), _TURN_SHIFT).alias("turn_block"),
             "ordinal",
-            "turn_text",
+            *counter.names(),
         )
     )
-    counted = counter.count(turns, "turn_text")
-    calls = counter.merge(counted, ["deal_id", "day", "call_num", "turn_block"], ["turn_num", "ordinal"])
-    halves = call_halves(transcripts).select("deal_id", "call_num", F.explode("halves").alias("half"))
+    calls = counter.merge(turns, ["deal_id", "day", "call_num", "turn_block"], ["turn_num", "ordinal"])
+    halves = call_halves(counted).select("deal_id", "call_num", F.explode("halves").alias("half"))
     split = calls.join(halves, ["deal_id", "call_num"]).withColumn(
         "block", F.shiftright("call_num", _CALL_SHIFT).cast("long")
     )
@@ -230,9 +244,8 @@ def _merge_blocks(blocks: DataFrame, counter: _Counter, group: list[str], steps:
     return blocks
 
 
-def _email_blocks(emails: DataFrame, transcripts: DataFrame, counter: _Counter) -> DataFrame:
-    counted = counter.count(emails, "body").select("deal_id", "timestamp", "ordinal", *counter.names())
-    split = email_halves(counted, transcripts).withColumn(
+def _email_blocks(counted: DataFrame, turns: DataFrame, counter: _Counter) -> DataFrame:
+    split = email_halves(counted, turns).withColumn(
         "block", F.shiftright(F.col("ordinal").cast("long"), _EMAIL_SHIFT)
     )
     blocks = counter.merge(split, ["deal_id", "half", "block"], ["ordinal"])
@@ -240,10 +253,9 @@ def _email_blocks(emails: DataFrame, transcripts: DataFrame, counter: _Counter)
     return _merge_blocks(blocks, counter, ["deal_id", "half"], steps=3).withColumns({"source": F.lit(1), "day": F.lit("")})
 
 
-def half_scores(transcripts: DataFrame, emails: DataFrame, rules: ToneRules) -> DataFrame:
-    """Early and late tone score of every deal with any text."""
-    counter = _Counter(rules)
-    blocks = _call_blocks(transcripts, counter).unionByName(_email_blocks(emails, transcripts, counter))
+def _half_scores(turns: DataFrame, mails: DataFrame, counter: _Counter) -> DataFrame:
+    """Early and late tone score of every deal with any text, from counted turns and e-mails."""
+    blocks = _call_blocks(turns, counter).unionByName(_email_blocks(mails, turns, counter))
     merged = blocks.groupBy("deal_id").agg(
         *(F.expr(counter.merged(_PLACE, f"half = '{half}'")).alias(half) for half in (EARLY, LATE))
     )
@@ -281,12 +293,21 @@ def signal_span(transcripts: DataFrame, emails: DataFrame) -> DataFrame:
     )
 
 
-def deal_sentiment(requested: DataFrame, transcripts: DataFrame, emails: DataFrame, rules: ToneRules) -> DataFrame:
-    """``requested`` with late score, trajectory, decline flag and signal span."""
+def deal_sentiment(
+    requested: DataFrame, transcripts: DataFrame, emails: DataFrame, rules: ToneRules, keep: Keep = not_kept
+) -> DataFrame:
+    """``requested`` with late score, trajectory, decline flag and signal span.
+
+    Halves, cut-offs, merges and spans all work on per-row counts without texts.  With ``keep``
+    these two tables are stored, so transcripts and e-mails are read once each.
+    """
     require_columns(transcripts, [*TRANSCRIPT_COLUMNS, "ordinal"])
     require_columns(emails, [*EMAIL_COLUMNS, "ordinal"])
-    joined = requested.join(half_scores(transcripts, emails, rules), "deal_id", "left").join(
-        signal_span(transcripts, emails), "deal_id", "left"
+    counter = _Counter(rules)
+    turns = keep(_counted_turns(transcripts, counter), "turn_counts")
+    mails = keep(_counted_mails(emails, counter), "email_counts")
+    joined = requested.join(_half_scores(turns, mails, counter), "deal_id", "left").join(
+        signal_span(turns, mails), "deal_id", "left"
     )
     zero = F.lit(0).cast("long")
     late = F.coalesce("late_score", F.lit(0.0))

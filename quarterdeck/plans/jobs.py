@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from quarterdeck.operators import competitors as comp
 from quarterdeck.operators import contracts, deals, growth, health, marts, retrieval, sentiment
 from quarterdeck.params import ActivityRules, HealthRules, QualityRules, RetrievalRules, ReviewRules, ToneRules
-from quarterdeck.sources import writers
+from quarterdeck.sources import corpus, writers
 
 
 def key_figures(facts: DataFrame, performance: DataFrame) -> dict[str, DataFrame]:
@@ -55,14 +55,17 @@ def score_deals(
     queries: DataFrame,
     as_of: dt.date | Column,
     settings: DealSettings = DealSettings(),
+    out: str | None = None,
 ) -> DataFrame:
     """Every deal with its signals, scores and redacted context.
 
-    Signals are added to the deal rows one after the other, all on deal_id.
+    Signals are added to the deal rows one after the other, all on deal_id.  With ``out`` what is
+    used more than once is stored there, so that each input is read once.
     """
-    requested = deals.one_row_per_deal(deals.normalize_deals(raw_deals))
-    active = deals.activity_signals(requested, log, as_of, settings.activity)
-    toned = sentiment.deal_sentiment(active, transcripts, emails, settings.tone)
+    keep = writers.keeper(f"{out}/signals") if out else writers.not_kept
+    requested = keep(deals.one_row_per_deal(deals.normalize_deals(raw_deals)), "requested")
+    active = deals.activity_signals(requested, log, as_of, settings.activity, keep)
+    toned = sentiment.deal_sentiment(active, transcripts, emails, settings.tone, keep)
     told = retrieval.deal_context(toned, chunks, queries, settings.retrieval.top_k)
     return health.score_health(told, settings.health)
 
@@ -137,23 +140,42 @@ def review_frames(
 
 
 def index_corpus(
-    transcripts: DataFrame, emails: DataFrame, path: str | None = None, encoder=None, dimensions: int = 256
+    transcripts: DataFrame,
+    emails: DataFrame,
+    path: str | None = None,
+    encoder=None,
+    dimensions: int = 256,
+    encoder_name: str | None = None,
 ) -> DataFrame:
     """Chunks of both sources with their vectors.
 
     With ``path`` they are put into the corpus there by chunk id, and the whole corpus is
-    returned: chunks that the sources do not have stay, and only new ones are embedded.
+    returned: chunks that the sources do not have stay, only changed ones are written, and only
+    texts are embedded that were never embedded under this encoder's name.  An encoder of
+    one's own needs a name there.
     """
     chunks = retrieval.corpus_chunks(transcripts, emails)
-    embedded = retrieval.with_embeddings(chunks, "document", encoder, dimensions)
     if not path:
-        return embedded
-    known = writers.read_corpus(transcripts.sparkSession, path)
-    if known is not None:
-        # Chunk ids of one run are unique, so any ordinal will do.
-        numbered = embedded.withColumn("ordinal", F.lit(0))
-        embedded = retrieval.upsert_chunks(known.drop("deal_bucket"), numbered)
-    return writers.write_corpus(embedded, path)
+        return retrieval.with_embeddings(chunks, "document", encoder, dimensions)
+    if encoder is not None and not encoder_name:
+        raise contracts.ContractError("an encoder needs a name by which its vectors are kept")
+
+    def embed(texts: DataFrame) -> DataFrame:
+        return retrieval.with_embeddings(texts, "document", encoder, dimensions)
+
+    corpus.update_corpus(chunks, path, embed, encoder_name or f"word-counts-{dimensions}")
+    found = corpus.read_corpus(transcripts.sparkSession, path)
+    if found is None:
+        return retrieval.with_embeddings(chunks, "document", encoder, dimensions)
+    return found.select("chunk_id", "deal_id", "document", "embedding")
+
+
+def stored_context(requested: DataFrame, path: str, queries: DataFrame, top_k: int) -> DataFrame:
+    """``requested`` with context blocks from the stored corpus, of which only their deals' buckets are opened."""
+    found = corpus.read_corpus(requested.sparkSession, path, requested)
+    if found is None:
+        raise contracts.ContractError(f"no corpus at {path}")
+    return retrieval.deal_context(requested, found, queries, top_k)
 
 
 def contract_audit(opportunities: DataFrame, bookings: DataFrame, rules: ReviewRules = ReviewRules()) -> DataFrame:

@@ -550,6 +550,12 @@ STATEMENTS = {
                string_agg(trim(document, {q(WHITESPACE)}), chr(10) || chr(10) ORDER BY context_rank)
                  FILTER (document <> '') AS context_block
         FROM letter_merged WHERE deal_id IN (SELECT deal_id FROM transcripts) GROUP BY 1""",
+    "stored_retrieval": f"""
+        SELECT deal_id, true AS retrieval_ok,
+               string_agg(trim(document, {q(WHITESPACE)}), chr(10) || chr(10) ORDER BY context_rank)
+                 FILTER (document <> '') AS context_block
+        FROM letter_merged
+        WHERE deal_id IN (SELECT DISTINCT deal_id FROM transcripts ORDER BY deal_id LIMIT 5) GROUP BY 1""",
     "query_distances": "SELECT deal_id, query_no, chunk_id, round(distance, 6) AS distance FROM distances",
     "nearest_chunks": "SELECT * REPLACE (round(distance, 6) AS distance) FROM nearest",
     "merged_hits": "SELECT * REPLACE (round(distance, 6) AS distance) FROM merged",

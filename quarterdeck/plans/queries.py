@@ -17,7 +17,7 @@ from quarterdeck.operators import sentiment as tone
 from quarterdeck.params import BOOKING_QUARTERS, ArrBound, ActivityRules, HealthRules, QualityRules
 from quarterdeck.plans import bindings as b
 from quarterdeck.plans import jobs
-from quarterdeck.sources import readers, writers
+from quarterdeck.sources import corpus, readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -42,7 +42,7 @@ def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder in the shared checkpoint folder of the cluster; a local one only on one machine."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder all executors share")
         shared = os.path.join(tempfile.gettempdir(), "quarterdeck")
     return f"{shared}/{name}-{uuid.uuid4().hex}"
@@ -119,12 +119,13 @@ def health_report(spark, sf):
 
 @query
 def run_log(spark, sf):
-    """Two runs appended; a dry run between them adds nothing."""
+    """Two runs appended, the first of them twice; a dry run between them adds nothing."""
     path, row = scratch(spark, "runs"), _review(spark, sf)["run_log"]
-    for narrative, dry_run in (("first", False), ("none", True), ("second", False)):
-        writers.append_run(row.withColumn("narrative", F.lit(narrative)), path, dry_run)
+    for narrative, dry_run in (("first", False), ("none", True), ("second", False), ("first", False)):
+        named = row.withColumn("narrative", F.lit(narrative)).withColumn("run_id", F.concat(F.lit(narrative), "run_id"))
+        writers.append_run(named, path, dry_run)
     points = F.transform("gap_rows.gap_pp", lambda x: F.round(x * 100).cast("long").cast("string"))
-    return spark.read.parquet(path).select(
+    return writers.read_runs(spark, path, row.schema).select(
         "reference_quarter",
         "search_year",
         "narrative",
@@ -321,7 +322,7 @@ def max_activity(spark, sf):
 
 @query
 def activity_signals(spark, sf):
-    signals = deals.activity_signals(_requested(spark, sf), b.activity(spark, sf), b.AS_OF, ActivityRules())
+    signals = deals.activity_signals(_requested(spark, sf), b.activity(spark, sf), b.AS_OF, ActivityRules(), writers.keeper(scratch(spark, "activity")))
     return rounded(signals, "engagement_score")
 
 
@@ -363,7 +364,7 @@ def signal_span(spark, sf):
 
 @query
 def deal_sentiment(spark, sf):
-    scored = tone.deal_sentiment(_requested(spark, sf), b.transcripts(spark, sf), b.emails(spark, sf), b.TONE)
+    scored = tone.deal_sentiment(_requested(spark, sf), b.transcripts(spark, sf), b.emails(spark, sf), b.TONE, writers.keeper(scratch(spark, "tone")))
     return rounded(scored, "sentiment_score", "tone_trajectory")
 
 
@@ -409,11 +410,17 @@ def corpus_chunks(spark, sf):
 
 @query
 def corpus_index(spark, sf):
-    """The whole indexing job, written by deal bucket; vectors reported by their length."""
-    """Indexed twice: old texts of the calls with all e-mails, then the calls as they are."""
+    """The indexing job in three updates and one compaction; vectors are reported by their length.
+
+    Old texts of the calls with all e-mails, then the calls as they are in two halves, the
+    buckets compacted in between.
+    """
     path, turns, mails = scratch(spark, "corpus"), b.transcripts(spark, sf), b.emails(spark, sf)
+    none, half = mails.limit(0), F.pmod(F.xxhash64("deal_id"), F.lit(2)) == 0
     jobs.index_corpus(turns.withColumn("turn_text", F.lit("old")), mails, path)
-    built = jobs.index_corpus(turns, mails.limit(0), path)
+    jobs.index_corpus(turns.filter(half), none, path)
+    corpus.compact(spark, path)
+    built = jobs.index_corpus(turns.filter(~half), none, path)
     square = F.aggregate("embedding", F.lit(0.0), lambda t, x: t + x.cast("double") * x.cast("double"))
     return built.select(
         "chunk_id",
@@ -434,6 +441,17 @@ def text_retrieval(spark, sf):
     return retrieval.deal_context(wanted, built, asked, jobs.RetrievalRules().top_k)
 
 
+@query
+def stored_retrieval(spark, sf):
+    """As ``text_retrieval``, for the five smallest deal ids, from a stored corpus of which only their buckets are read."""
+    path, turns = scratch(spark, "corpus"), b.transcripts(spark, sf)
+    jobs.index_corpus(turns, b.emails(spark, sf), path, b.letter_encoder, encoder_name="letters")
+    questions = retrieval.query_table(spark, jobs.RetrievalRules().queries)
+    asked = retrieval.with_embeddings(questions, "query", b.letter_encoder)
+    wanted = turns.select("deal_id").distinct().orderBy("deal_id").limit(5)
+    return jobs.stored_context(wanted, path, asked, jobs.RetrievalRules().top_k)
+
+
 def _vectors(spark, sf):
     return b.vector_chunks(spark, sf), b.vector_queries(spark, sf)
 
@@ -481,6 +499,7 @@ def deal_scores(spark, sf):
         asked,
         b.AS_OF,
         jobs.DealSettings(tone=b.TONE),
+        scratch(spark, "deals"),
     )
 
 

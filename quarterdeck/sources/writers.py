@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Rows per file, so that a hot partition value becomes many files and not one.
 ROWS_PER_FILE = 5_000_000
@@ -26,48 +27,39 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> D
     return df.sparkSession.read.parquet(path)
 
 
-def append_run(row: DataFrame, path: str, dry_run: bool = False) -> DataFrame:
-    """Adds one run to the log; a dry run only returns the row."""
-    if not dry_run:
-        row.write.mode("append").parquet(path)
-    return row
+Keep = Callable[[DataFrame, str], DataFrame]
 
 
-def with_bucket(chunks: DataFrame) -> DataFrame:
-    """Adds the partition value of a deal, so a read for one deal skips the other files."""
-    return chunks.withColumn("deal_bucket", bucket_of("deal_id"))
+def keeper(out: str) -> Keep:
+    """A function that stores a frame under ``out`` by a name and reads it back: what a job uses
+    twice is computed once."""
+    return lambda df, name: write_table(df, f"{out}/{name}")
 
 
-def bucket_of(deal_id: str):
-    return F.pmod(F.xxhash64(deal_id), F.lit(CORPUS_BUCKETS)).cast("int")
+def not_kept(df: DataFrame, name: str) -> DataFrame:
+    """In place of a ``keeper`` where there is no folder to write to: computed anew at every use."""
+    return df
 
 
-def corpus_versions(spark: SparkSession, path: str) -> list[str]:
-    """Folders of the finished versions, oldest first.
+def append_run(row: DataFrame, path: str, dry_run: bool = False) -> DataFrame:
+    """Puts runs into the log, each as the partition of its ``run_id``; a dry run only returns the rows.
 
-    A version counts once its success mark is written, which is the last thing written.
+    Appending a run again replaces it, and an attempt that fails leaves nothing, so a retry is safe.
     """
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    marks = hadoop.Path(path, "v*/_SUCCESS")
-    found = marks.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(marks)
-    return sorted(m.getPath().getParent().toString() for m in found or ())
-
+    if not dry_run:
+        writer = row.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("run_id").parquet(path)
+    return row
 
-def read_corpus(spark: SparkSession, path: str) -> DataFrame | None:
-    """The newest version, with ``deal_bucket`` to filter on; None where there is no version yet."""
-    versions = corpus_versions(spark, path)
-    return spark.read.parquet(versions[-1]) if versions else None
 
+def read_runs(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The log; ``schema`` is that of its rows, so that ids which look like numbers stay text."""
+    return spark.read.schema(schema).parquet(path)
 
-def write_corpus(chunks: DataFrame, path: str) -> DataFrame:
-    """Writes a new version beside the older ones, laid out by deal bucket.
 
-    Readers see it when it is complete; a run that fails leaves the older version in
-    force.  One writer at a time.
-    """
-    versions = corpus_versions(chunks.sparkSession, path)
-    number = int(versions[-1].rsplit("/v", 1)[1]) + 1 if versions else 1
-    return write_table(with_bucket(chunks), f"{path}/v{number:06d}", ["deal_bucket"]).drop("deal_bucket")
+def bucket_of(deal_id: str) -> Column:
+    """The partition value of a deal in the stored corpus, so a read for some deals skips the other files."""
+    return F.pmod(F.xxhash64(deal_id), F.lit(CORPUS_BUCKETS)).cast("int")
 
 
 def write_report(lines: DataFrame, path: str) -> None:

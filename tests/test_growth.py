@@ -50,7 +50,10 @@ def test_growth_and_gaps_golden(spark, quarterly, rows):
     assert growth.flagged_segments(gaps, RULES.segments).first()[0] == "Mid-Market"
     row = growth.run_log_row(gaps, growth.reference_quarters(quarterly, RULES.segments), RULES, "told", "[1]").first()
     assert (row["reference_quarter"], row["flagged_segments"], row["narrative"]) == ("2025-Q4", "Mid-Market", "told")
-    assert [g["segment"] for g in row["gap_rows"]] == list(RULES.segments) and len(row["run_id"]) == 36
+    assert [g["segment"] for g in row["gap_rows"]] == list(RULES.segments) and len(row["run_id"]) == 64
+    again = growth.run_log_row(gaps, growth.reference_quarters(quarterly, RULES.segments), RULES, "told", "[1]").first()
+    other = growth.run_log_row(gaps, growth.reference_quarters(quarterly, RULES.segments), RULES, "else", "[1]").first()
+    assert again["run_id"] == row["run_id"] != other["run_id"]
     assert row["gap_rows"][0].asDict() == {
         "segment": "Enterprise",
         "internal_yoy_growth_pct": 15.0,

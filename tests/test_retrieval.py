@@ -134,36 +134,3 @@ def test_context_of_requested_deals(spark, rows):
     asked = retrieval.with_embeddings(retrieval.query_table(spark, ["budget"]), "query")
     wanted = spark.createDataFrame([("D",), ("none",)], "deal_id string")
     assert rows(retrieval.deal_context(wanted, built, asked, 1)) == [("D", "budget", True), ("none", "", True)]
-
-
-def test_stored_corpus_reads_one_bucket(spark, tmp_path):
-    turns = spark.createDataFrame([(f"D{i}", "text", i) for i in range(50)], TURN)
-    jobs.index_corpus(turns, spark.createDataFrame([], MAIL), str(tmp_path / "corpus"))
-    from quarterdeck.sources.writers import bucket_of, read_corpus
-
-    stored = read_corpus(spark, str(tmp_path / "corpus"))
-    one = spark.createDataFrame([("D7",)], "deal_id string").select(bucket_of("deal_id")).first()[0]
-    plan = stored.filter((F.col("deal_bucket") == one) & (F.col("deal_id") == "D7"))
-    assert plan.count() == 1 and "PartitionFilters: [isnotnull(deal_bucket" in plan._jdf.queryExecution().toString()
-
-
-def test_corpus_takes_updates_and_keeps_the_rest(spark, rows, tmp_path):
-    from quarterdeck.sources import writers
-
-    path, no_mail = str(tmp_path / "corpus"), spark.createDataFrame([], MAIL)
-    assert writers.read_corpus(spark, path) is None
-    jobs.index_corpus(spark.createDataFrame([("D", "old", 0), ("D", "stays", 1), ("E", "other", 0)], TURN), no_mail, path)
-    update = spark.createDataFrame([("D", "new", 0), ("F", "added", 0), (" ", "blank", 1), (None, "null", 2)], TURN)
-    built = jobs.index_corpus(update, no_mail, path)
-    wanted = [
-        (":transcript:0", "blank"), (":transcript:1", "null"), ("D:transcript:0", "new"),
-        ("D:transcript:1", "stays"), ("E:transcript:0", "other"), ("F:transcript:0", "added"),
-    ]
-    assert rows(built, "chunk_id", "document") == wanted
-    assert rows(writers.read_corpus(spark, path), "chunk_id", "document") == wanted
-    # A version that was not finished is not read, and its folder is used again.
-    (tmp_path / "corpus" / "v000003").mkdir()
-    assert rows(writers.read_corpus(spark, path), "chunk_id", "document") == wanted
-    jobs.index_corpus(update.filter("deal_id = 'F'").withColumn("turn_text", F.lit("third")), no_mail, path)
-    assert [v.rsplit("/", 1)[1] for v in writers.corpus_versions(spark, path)] == ["v000001", "v000002", "v000003"]
-    assert writers.read_corpus(spark, path).filter("document = 'third'").count() == 1

@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from quarterdeck.operators.contracts import ContractError
 from quarterdeck.sources import readers, writers
@@ -69,10 +70,15 @@ def test_landing_replaces(spark, tmp_path):
     assert readers.read_table(spark, out).count() == 1
 
 
-def test_run_log_appends(spark, tmp_path):
-    row = spark.createDataFrame([("r",)], "run_id string")
+def test_run_log_takes_each_run_once(spark, rows, tmp_path):
+    row = spark.createDataFrame([("007", "told")], "run_id string, narrative string")
     path = str(tmp_path / "runs")
     assert writers.append_run(row, path, dry_run=True).count() == 1 and not (tmp_path / "runs").exists()
     writers.append_run(row, path)
     writers.append_run(row, path)
-    assert spark.read.parquet(path).count() == 2
+    stop = F.raise_error(F.lit("lost")).cast("string")
+    with pytest.raises(Exception, match="lost"):
+        writers.append_run(row.withColumns({"run_id": F.lit("8"), "narrative": stop}), path)
+    assert rows(writers.read_runs(spark, path, row.schema), "run_id", "narrative") == [("007", "told")]
+    writers.append_run(row.withColumn("run_id", F.lit("8")), path)
+    assert rows(writers.read_runs(spark, path, row.schema), "run_id") == [("007",), ("8",)]
