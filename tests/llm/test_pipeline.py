@@ -19,7 +19,7 @@ def test_names_and_order():
     registered = entry.queries()
     assert "pipeline" in registered
     numbers = [int(n[2:].split("_")[0]) for n in registered if n.startswith("op") and n[2].isdigit()]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
 
 
 def test_every_stage_against_brute_force(spark):
