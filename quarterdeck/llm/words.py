@@ -9,6 +9,7 @@ the ids of a text are then those of its words in order.
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import string
 from collections.abc import Iterable, Iterator
@@ -34,13 +35,17 @@ def byte_alphabet() -> dict[int, str]:
 
 
 class WordTokenizer:
-    """Packed ids of texts; at most ``cache_words`` words, or words of ``cache_chars`` characters, are kept.
+    """Packed ids of texts, with what is known of words and of their pieces in two generations.
+
+    When the newer generation holds half of ``cache_words`` words, or words of half of
+    ``cache_chars`` characters, it becomes the older one and the older one goes; what is met
+    again in time is taken over, so frequent words stay and rare ones leave.
 
     With ``special_tokens`` the string of a special token in a text is that token, as the
     library has it by default; without, it is ordinary text.
     """
 
-    def __init__(self, path: str, cache_words: int = 500_000, cache_chars: int = 8 << 20, special_tokens: bool = False):
+    def __init__(self, path: str, cache_words: int = 1_000_000, cache_chars: int = 12 << 20, special_tokens: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -54,10 +59,15 @@ class WordTokenizer:
         self.chars = 0
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
+        self.old_pieces: dict[str, bytes] = {}
         self.alphabet = byte_alphabet()
         # Letters, marks and digits as the file's own splitter shows them, or no shortcut.
         probe = [p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str("é" + MARKS)]
         self.plain = probe == [self._shown("é"), MARKS]
+        # What the normalizer makes of ASCII letters with marks behind them: lower case, nothing, or no shortcut.
+        shapes = {string.ascii_letters.lower() + MARKS: str.lower, string.ascii_letters + MARKS: str}
+        self.fold = shapes.get(self.tokenizer.normalizer.normalize_str(string.ascii_letters + MARKS))
 
     def _shown(self, text: str) -> str:
         return text.encode().decode("latin-1").translate(self.alphabet)
@@ -84,23 +94,60 @@ class WordTokenizer:
         normal = self.tokenizer.normalizer.normalize_str(text)
         return any(content in normal for content in self.added_normal)
 
-    def _piece(self, piece: str) -> bytes:
-        known = self.pieces.get(piece)
-        if known is None:
-            tokens = self.tokenizer.model.tokenize(piece)
-            known = self.pieces[piece] = b"".join([t.id.to_bytes(4, "little") for t in tokens])
-        return known
-
-    def _learn(self, words: list[str]) -> None:
-        """Ids of new words: normalized in one call, then split into pieces."""
-        self.chars += sum(map(len, words))
-        normal = self.tokenizer.normalizer.normalize_str(" ".join(words))
-        spans = normal.split(" ")
+    def _turn_if_full(self) -> None:
+        if len(self.words) > self.cache_words // 2 or self.chars > self.cache_chars // 2:
+            self.old_words, self.old_pieces = self.words, self.pieces
+            self.words, self.pieces, self.chars = {}, {}, 0
+
+    def _know_pieces(self, wanted: Iterable[str]) -> None:
+        """Ids of pieces: one call of the model for each that is new, packed together."""
+        pieces, old = self.pieces, self.old_pieces
+        new = [p for p in dict.fromkeys(wanted) if p not in pieces]
+        if old:
+            pieces.update((p, old[p]) for p in new if p in old)
+            new = [p for p in new if p not in old]
+        found = list(map(self.tokenizer.model.tokenize, new))
+        packed = np.array([t.id for tokens in found for t in tokens], "<u4").tobytes()
+        start = 0
+        for piece, tokens in zip(new, found):
+            end = start + 4 * len(tokens)
+            pieces[piece] = packed[start:end]
+            start = end
+
+    def _learn_plain(self, words: list[str], stems: list[str]) -> None:
+        """Words of ASCII letters (``stems``) with marks behind them or none."""
+        shown = list(map(self.fold, stems))
+        tails = [word[len(stem) :] for word, stem in zip(words, stems)]
+        self._know_pieces([*shown, *filter(None, tails)])
+        get = self.pieces.__getitem__
+        ids = [get(s) + get(tail) if tail else get(s) for s, tail in zip(shown, tails)]
+        self.words.update(zip(words, ids))
+
+    def _learn_other(self, words: list[str]) -> None:
+        """Any words: normalized in one call, then split into pieces."""
+        spans = self.tokenizer.normalizer.normalize_str(" ".join(words)).split(" ")
         if len(spans) != len(words):  # a normalizer that makes or removes blanks: no shortcut
             self.words.update((w, self._whole(w)) for w in words)
             return
-        for word, span in zip(words, spans):
-            self.words[word] = b"".join([self._piece(p) for p in self._pieces_of(span)])
+        split = list(map(self._pieces_of, spans))
+        self._know_pieces(itertools.chain.from_iterable(split))
+        get = self.pieces.__getitem__
+        self.words.update((w, b"".join(map(get, found))) for w, found in zip(words, split))
+
+    def _learn(self, words: list[str]) -> None:
+        """Ids of words the newer generation does not hold."""
+        self.chars += sum(map(len, words))
+        if self.old_words:
+            known = list(map(self.old_words.get, words))
+            self.words.update((w, ids) for w, ids in zip(words, known) if ids is not None)
+            words = [w for w, ids in zip(words, known) if ids is None]
+        if self.plain and self.fold:
+            stems = [w.rstrip(MARKS) for w in words]
+            plain = [s.isascii() and s.isalpha() for s in stems]
+            self._learn_plain(list(itertools.compress(words, plain)), list(itertools.compress(stems, plain)))
+            words = [w for w, is_plain in zip(words, plain) if not is_plain]
+        if words:
+            self._learn_other(words)
 
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
         """Ids of each text as packed little-endian unsigned 32-bit integers."""
@@ -108,16 +155,11 @@ class WordTokenizer:
             if any(mark in text for mark in SPLIT_ONLY) or self._holds_added(text):
                 yield self._whole(text)
                 continue
+            self._turn_if_full()
             words = text.split()
             found = list(map(self.words.get, words))
             if None in found:
-                if len(self.words) + len(self.pieces) > 2 * self.cache_words or self.chars > self.cache_chars:
-                    self.words.clear()
-                    self.pieces.clear()
-                    self.chars = 0
-                    self._learn(list(dict.fromkeys(words)))
-                else:
-                    self._learn(list({w: None for w, ids in zip(words, found) if ids is None}))
+                self._learn(list({w: None for w, ids in zip(words, found) if ids is None}))
                 found = map(self.words.__getitem__, words)
             yield b"".join(found)
 

@@ -5,7 +5,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 from quarterdeck.llm import packing
-from quarterdeck.llm.words import token_ids
+from quarterdeck.llm.words import WordTokenizer, token_ids
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 TEXTS = ["end of page <|endoftext|> next page", "a<|startoftext|>b", "<|EndOfText|> x", "<|endoftext |>", "<| endoftext|>",
@@ -21,3 +21,16 @@ def test_special_tokens_as_the_library_has_them(spark):
     packed = packing.pack_documents(df, PATH, 2).collect()
     assert {r.doc_id: r.doc_tokens for r in packed} == {i: len(ids) for i, ids in wanted.items()}
     assert len(wanted[0]) == 7
+
+
+def test_generations_keep_what_is_met_again():
+    tokenizer = WordTokenizer(PATH, cache_words=40)
+    wanted = {}
+    for k in range(200):
+        text = f"often Often, rare{k} naïve{k}! often"
+        (found,) = tokenizer.encode([text])
+        wanted[text] = found
+        assert len(tokenizer.words) <= 25 and "often" in tokenizer.words
+    assert not any(f"rare{k}" in tokenizer.words or f"rare{k}" in tokenizer.old_words for k in range(100))
+    whole = WordTokenizer(PATH)
+    assert list(whole.encode(wanted)) == list(wanted.values())
