@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Lines of the deal health report.
 REPORT_TITLE = "# Deal health report"
@@ -67,12 +65,29 @@ def yes_no(flag: Column) -> Column:
     return F.when(flag, F.lit("True")).when(~flag, F.lit("False")).otherwise(F.lit(""))
 
 
-def two_decimals(score: str) -> Column:
-    """Rounds the binary value (0.175 prints as 0.17); Spark's own formatting rounds the decimal text."""
+SPLITTER = 134217729.0  # 2^27 + 1: parts a double into two halves whose products with small numbers are exact
+
 
-    # Defined here so that workers get it by value and need no copy of this package.
-    @F.pandas_udf(T.StringType())
-    def shown(values: pd.Series) -> pd.Series:
-        return values.map(lambda x: f"{x:.2f}")
+def two_decimals(score: str) -> Column:
+    """The binary value with two decimals, ties to even (0.175 prints as 0.17, 0.125 as 0.12); null prints as nan.
 
-    return shown(F.col(score))
+    Spark rounds the shortest decimal text of a double.  That text and the value lie on
+    different sides of a tie only where the text is the tie, three decimals of which the last is
+    a 5; there the value itself is held against it, times 1000 in two exact halves.  From 1e12
+    on, where doubles are too far apart for that, Spark's own format is taken.
+    """
+    x = F.col(score)
+    size = F.abs(x)
+    near = F.when(size < 1e12, size)
+    text = near.cast("decimal(38,20)")
+    thousandths = F.floor(text * 1000).cast("long")
+    tie = (text * 1000 == thousandths) & (thousandths % 10 == 5)
+    high = near * SPLITTER - (near * SPLITTER - near)
+    beyond = (high * 1000.0 - thousandths.cast("double")) + (near - high) * 1000.0
+    tens = F.floor(thousandths / 10).cast("long")
+    up = F.when(beyond == 0, tens % 2 == 1).otherwise(beyond > 0)
+    cents = F.when(tie, tens + up.cast("long")).otherwise((F.round(text, 2) * 100).cast("long"))
+    sign = F.when(x.cast("string").startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    shown = F.concat(sign, F.floor(cents / 100).cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
+    wide = F.concat(sign, F.when(size == float("inf"), F.lit("inf")).otherwise(F.format_string("%.2f", size)))
+    return F.when(x.isNull() | F.isnan(x), F.lit("nan")).when(size < 1e12, shown).otherwise(wide)

@@ -80,22 +80,28 @@ def timestamp_report(df: DataFrame, column: str) -> DataFrame:
     return counted.withColumn("passed", F.col("invalid_dates") == 0)
 
 
-def quality_measures(raw: DataFrame, rules: QualityRules) -> DataFrame:
-    """All numbers the five checks need, from one pass over two columns."""
+def quality_flags(raw: DataFrame, rules: QualityRules) -> dict[str, Column]:
+    """What counts against a row, by the name of its measure."""
     require_columns(raw, [rules.sales_column, rules.segment_column])
     sales = F.col(f"`{rules.sales_column}`")
     segment = F.col(f"`{rules.segment_column}`")
     allowed = F.coalesce(segment.isin(*rules.allowed_segments), F.lit(False))
-    return raw.agg(
-        F.count("*").alias("rows"),
-        F.count_if(sales.isNull()).alias("null_sales"),
-        F.count_if(sales <= 0).alias("nonpositive"),
-        F.count_if(~allowed).alias("invalid_segment"),
-    )
+    return {"null_sales": sales.isNull(), "nonpositive": sales <= 0, "invalid_segment": ~allowed}
+
+
+def quality_measures(raw: DataFrame, rules: QualityRules) -> DataFrame:
+    """All numbers the five checks need, from one pass over two columns."""
+    flags = quality_flags(raw, rules)
+    return raw.agg(F.count("*").alias("rows"), *(F.count_if(flag).alias(name) for name, flag in flags.items()))
 
 
 def quality_report(raw: DataFrame, rules: QualityRules) -> DataFrame:
     """Five rows (position, name, passed, detail).  An empty table has no null rate and fails that check."""
+    return report_of(quality_measures(raw, rules), rules)
+
+
+def report_of(measures: DataFrame, rules: QualityRules) -> DataFrame:
+    """The report from one row of measures."""
     rate = F.try_divide(F.col("null_sales"), F.col("rows"))
     shown_rate = F.when(F.col("rows") == 0, F.lit("nan")).otherwise(F.format_string("%.5f", rate))
 
@@ -135,7 +141,7 @@ def quality_report(raw: DataFrame, rules: QualityRules) -> DataFrame:
             F.concat(F.lit("invalid_or_null="), F.col("invalid_segment")),
         ),
     )
-    return quality_measures(raw, rules).select(F.inline(checks))
+    return measures.select(F.inline(checks))
 
 
 def gate(report: DataFrame) -> DataFrame:

@@ -15,27 +15,37 @@ from quarterdeck.params import ActivityRules, HealthRules, QualityRules, Retriev
 from quarterdeck.sources import corpus, writers
 
 
-def key_figures(facts: DataFrame, performance: DataFrame) -> dict[str, DataFrame]:
-    """The six KPI frames."""
+def key_figures(rolled: DataFrame, performance: DataFrame) -> dict[str, DataFrame]:
+    """The six KPI frames, from ``marts.roll_ups`` and the stored segment table."""
     return {
-        "revenue_totals": marts.grand_totals(facts),
+        "revenue_totals": marts.totals_of(rolled),
         "segment_performance": performance.orderBy("segment"),
-        "top_products": marts.top_products(facts),
-        "top_regions": marts.top_regions(facts),
-        "monthly_trend": marts.monthly_trend(facts),
-        "segment_by_region": marts.segment_regions(facts),
+        "top_products": marts.largest_of(rolled, "top_products", ["sales", "profit"], 5),
+        "top_regions": marts.largest_of(rolled, "top_regions", ["sales", "profit"], 5),
+        "monthly_trend": marts.figure_rows(rolled, "monthly_trend").select("month", "sales", "profit", "orders").orderBy("month"),
+        "segment_by_region": marts.largest_of(rolled, "segment_by_region", ["sales", "orders"], 10),
     }
 
 
 def sales_marts(
     raw: DataFrame, out: str, rules: QualityRules = QualityRules(), date_format: str | None = None
 ) -> dict[str, DataFrame]:
-    """Gate, stage, both marts as tables under ``out``, and the KPI frames over them."""
-    contracts.enforce_gate(contracts.quality_report(raw, rules))
-    staged = marts.stage_sales(raw, date_format)
-    facts = writers.write_table(marts.revenue_facts(staged), f"{out}/fct_revenue")
-    performance = writers.write_table(marts.segment_performance(staged), f"{out}/fct_segment_performance")
-    return key_figures(facts, performance)
+    """Gate, both marts and the roll-ups as tables under ``out``, and the KPI frames over them.
+
+    The export is read once: its groups carry what the gate checks.  They lie beside ``out``
+    until the gate has passed; a refused export leaves nothing, and tables of an earlier run as they are.
+    """
+    spark, work = raw.sparkSession, f"{out.rstrip('/')}.groups"
+    flags = contracts.quality_flags(raw, rules)
+    groups = writers.write_table(marts.sales_groups(raw, date_format, flags), work)
+    try:
+        contracts.enforce_gate(contracts.report_of(marts.group_measures(groups, list(flags)), rules))
+        writers.write_table(marts.facts_of(groups), f"{out}/fct_revenue")
+        rolled = writers.write_table(marts.roll_ups(groups), f"{out}/key_figures")
+    finally:
+        writers.remove(spark, work)
+    performance = writers.write_table(marts.performance_of(rolled), f"{out}/fct_segment_performance")
+    return key_figures(rolled, performance)
 
 
 @dataclass(frozen=True)

@@ -19,7 +19,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterdeck.sources.writers import bucket_of, write_table
+from quarterdeck.sources.writers import bucket_of, remove, write_table
 
 CHUNKS = "chunk_id string, deal_id string, document string, text_key string, encoder string, embedding array<float>, deleted boolean"
 LAYOUT = "version int, deal_bucket int"
@@ -42,11 +42,6 @@ def _glob(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(f.getPath().toString() for f in found or ())
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-
-
 def manifests(spark: SparkSession, path: str) -> list[int]:
     """Numbers of the finished manifests, oldest first."""
     marks = _glob(spark, f"{path}/manifests/m*/_SUCCESS")
@@ -171,7 +166,7 @@ def update_corpus(
     changed = write_table(changed_chunks(spark, path, chunks, encoder), f"{work}/changed")
     written = changed.count()
     if not written:
-        _delete(spark, work)
+        remove(spark, work)
         return 0, 0
 
     texts = changed.groupBy("text_key").agg(F.first("document").alias("document"))
@@ -179,7 +174,7 @@ def update_corpus(
     missing = write_table(texts.join(have.select("text_key"), "text_key", "left_anti"), f"{work}/missing")
     embedded = missing.count()
     target = f"{path}/vectors/version={number}"
-    _delete(spark, target)  # of a run that failed
+    remove(spark, target)  # of a run that failed
     if embedded:
         made = embed(missing).select("text_key", "embedding", F.lit(encoder).alias("encoder"))
         # With a bloom filter a few wanted keys open few row groups.
@@ -194,7 +189,7 @@ def update_corpus(
         "chunk_id", F.lit(True).alias("deleted"), F.col("old_bucket").alias("deal_bucket")
     )
     _write_version(full.unionByName(left, allowMissingColumns=True), path, number, layout(spark, path), keep=True)
-    _delete(spark, work)
+    remove(spark, work)
     return written, embedded
 
 
@@ -226,7 +221,7 @@ def expire(spark: SparkSession, path: str, keep: int = 1) -> int:
     named = {f for n in finished[-keep:] for f in _folders("", layout(spark, path, n).items())}
     gone = [f for f in _glob(spark, f"{path}/data/version=*/deal_bucket=*") if f[f.rindex("/data/version=") :] not in named]
     for folder in gone:
-        _delete(spark, folder)
+        remove(spark, folder)
     for number in finished[:-keep]:
-        _delete(spark, f"{path}/manifests/m{number:06d}")
+        remove(spark, f"{path}/manifests/m{number:06d}")
     return len(gone)

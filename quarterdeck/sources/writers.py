@@ -27,6 +27,12 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> D
     return df.sparkSession.read.parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes a folder, if there is one."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 Keep = Callable[[DataFrame, str], DataFrame]
 
 

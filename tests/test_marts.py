@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from quarterdeck.operators import marts
+from quarterdeck.operators import contracts, marts
 from quarterdeck.params import QualityRules
 from quarterdeck.plans import jobs
 from quarterdeck.sources import readers
@@ -83,4 +83,46 @@ def test_sales_job(spark, raw, rows, tmp_path):
     )
     with pytest.raises(ValueError, match="row_count_minimum"):
         jobs.sales_marts(landed, str(tmp_path / "none"))
-    assert not (tmp_path / "none").exists()
+    assert [f.name for f in tmp_path.iterdir() if f.name.startswith(("none", "marts"))] == ["marts"]
+    # A refused export leaves the tables of the run before.
+    with pytest.raises(ValueError, match="segment_allowed_nonnull"):
+        jobs.sales_marts(landed, str(tmp_path / "marts"), QualityRules(min_rows=4, max_null_rate=0.5, allowed_segments=("SMB",)))
+    assert rows(spark.read.parquet(str(tmp_path / "marts/fct_revenue"))) == rows(marts.revenue_facts(marts.stage_sales(landed)))
+
+
+def test_gate_from_groups(spark, raw):
+    odd = raw.unionByName(raw.selectExpr("* except (Sales, Segment)", "-1D as Sales", "cast(null as string) as Segment"))
+    for data in (raw, odd, raw.limit(0)):
+        rules = QualityRules(min_rows=4, allowed_segments=("SMB",))
+        flags = contracts.quality_flags(data, rules)
+        measured = marts.group_measures(marts.sales_groups(data, flags=flags), list(flags))
+        assert measured.first() == contracts.quality_measures(data, rules).first()
+        assert contracts.report_of(measured, rules).collect() == contracts.quality_report(data, rules).collect()
+
+
+def test_roll_ups_equal_the_single_figures(spark, raw, rows):
+    more = raw.unionByName(raw.selectExpr("* except (Product, Segment)", "cast(null as string) as Product", "'Mid' as Segment"))
+    for data in (more, raw.limit(0)):
+        staged = marts.stage_sales(data)
+        groups = marts.sales_groups(data)
+        rolled = marts.roll_ups(groups)
+        frames = jobs.key_figures(rolled, marts.performance_of(rolled))
+        facts = marts.revenue_facts(staged)
+        assert rows(marts.facts_of(groups).select(facts.columns)) == rows(facts)
+        wanted = {
+            "revenue_totals": marts.grand_totals(facts),
+            "segment_performance": marts.segment_performance(staged),
+            "top_products": marts.top_products(facts),
+            "top_regions": marts.top_regions(facts),
+            "monthly_trend": marts.monthly_trend(facts),
+            "segment_by_region": marts.segment_regions(facts),
+        }
+        for name, frame in wanted.items():
+            assert rows(frames[name].select(frame.columns)) == rows(frame), name
+
+
+def test_one_scan_for_all_figures(spark, raw, tmp_path):
+    raw.write.parquet(str(tmp_path / "raw"))
+    groups = marts.sales_groups(spark.read.parquet(str(tmp_path / "raw")))
+    plan = marts.roll_ups(groups)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1

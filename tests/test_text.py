@@ -1,6 +1,10 @@
+import math
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
+from quarterdeck.functions import report
 from quarterdeck.functions.text import strip
 from quarterdeck.operators import guardrails
 
@@ -52,3 +56,17 @@ def test_topics(spark, text, topic):
 def test_strip_takes_all_white_space(spark):
     text = "　\t x y \x1f\n "
     assert one(spark, text).select(strip(F.col("text"))).first()[0] == text.strip() == "x y"
+
+
+def test_two_decimals_are_those_of_the_binary_value(spark):
+    draw = random.Random(5)
+    values = [0.175, 0.125, 0.375, 2.675, 1.005, 0.0, -0.0, -0.001, 0.995, 1e-30, 123456.785, 1e15, float("inf"), float("-inf"), float("nan")]
+    values += [k / 1000 for k in range(0, 20_000, 5)]
+    values += [math.nextafter(k / 1000, k % 3 - 1) for k in range(5, 20_000, 10)]
+    values += [draw.uniform(-2, 2) for _ in range(40_000)]
+    values += [draw.randrange(10**14) / 1000 for _ in range(20_000)]
+    values += [-draw.randrange(2**40) / 2 ** draw.randrange(40) for _ in range(20_000)]
+    df = spark.createDataFrame([(v,) for v in [*values, None]], "v double").select("v", report.two_decimals("v").alias("t"))
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+    wrong = [(v, t) for v, t in df.collect() if t != ("nan" if v is None else f"{v:.2f}")]
+    assert not wrong, wrong[:5]
