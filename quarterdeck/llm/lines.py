@@ -1,14 +1,16 @@
-"""Removal of repeated passages of lines, in two forms.
-
-``remove_repeated_passages`` finds all of them.  Lines are hashed; a rolling hash over two
-lines names every pair of neighbours.  A passage of any length stands earlier exactly when
-each of its pairs does, so pairs that occur more than once in the whole table are
-candidates, their bytes are compared, and the passages are the pairs grown together.
-
-``remove_repeated_lines`` looks at content-defined chunks only: the rolling hash decides
-where a chunk ends, so a boundary depends on its neighbourhood and passages shifted by
-other lines are still cut alike.  It compares fewer hashes and leaves the lines before the
-first common cut of a passage and after the last one, and most short passages.
+"""Removal of repeated passages of lines.
+
+Lines are hashed, and a rolling hash over two lines chooses boundaries: a boundary depends
+on the lines beside it alone, so a passage shifted by other lines is cut alike wherever it
+stands.  A chunk reaches from one boundary line to the next and holds both, so every pair
+of neighbouring lines lies in exactly one chunk.
+
+Chunks that occur more than once in the whole table go as a whole, after their bytes are
+compared, except where they stand first.  That leaves the lines of a passage before its
+first boundary and after its last one.  For these, and for passages without a whole chunk,
+the pairs of all chunks that do not go are looked up one by one.  Nothing is missed by this:
+the first place of a pair is never in a chunk that goes, for the chunk's own first place
+holds it earlier.  Runs found in both ways are grown together to passages.
 """
 
 from __future__ import annotations
@@ -22,12 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarterdeck.llm.shared import RowBuffer, stored
+from quarterdeck.llm.shared import RowBuffer, may_hold, stored
 
-WINDOW_LINES = 2  # lines the rolling hash looks back on
-CHUNK_LINES = 3  # lines of a chunk on average, beyond the least
-LEAST_LINES = 2  # lines of a chunk that may be removed
-PAIR_LINES = 2  # lines of the shortest passage; longer ones are made of such pairs
+CHUNK_PAIRS = 3  # pairs of lines in a chunk on average
+PAIR_LINES = 2  # lines the rolling hash looks back on, and of the shortest passage
 BASE = 0x9E3779B97F4A7C15  # of the rolling hash; any odd number serves
 
 
@@ -58,252 +58,177 @@ def rolling(hashes: np.ndarray, window: int) -> np.ndarray:
         return out ^ (out >> np.uint64(32))
 
 
-def chunk_spans(text: str, window: int = WINDOW_LINES, mean: int = CHUNK_LINES, least: int = LEAST_LINES) -> list[tuple[int, int, int]]:
-    """(start, end, lines) of every chunk; together they are the text."""
-    spans = line_spans(text)
+def line_hashes(text: str) -> np.ndarray:
     # A line counts without its line feed, so the last line of a text can match one amid another.
-    hashes = np.array([xxhash.xxh64_intdigest(text[a:b].rstrip("\n")) for a, b in spans], np.uint64)
-    ends = rolling(hashes, window) % np.uint64(mean) == 0
-    out, first = [], 0
-    for i, (_, end) in enumerate(spans):
-        if i + 1 == len(spans) or (ends[i] and i + 1 - first >= least):
-            out.append((spans[first][0], end, i + 1 - first))
-            first = i + 1
-    return out
-
-
-def _chunk_rows(window: int, mean: int, least: int):
-    schema = pa.schema([("row", pa.string()), ("id", pa.int64()), ("chunks", CHUNKS_TYPE)])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = RowBuffer(schema)
-        for batch in batches:
-            for row, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found = []
-                for start, end, lines in chunk_spans(text, window, mean, least):
-                    if lines >= least:
-                        body = text[start:end].rstrip("\n")
-                        digest = xxhash.xxh3_128_digest(body)
-                        found.append({"start": start, "end": end, "lines": lines, "hash": digest})
-                rows.add(row, key, found, size=64 * len(found) + 16)
-                if rows.full():
-                    yield from rows.take()
-        yield from rows.take()
-
-    return run
-
-
-CHUNKS_TYPE = pa.list_(
-    pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lines", pa.int32()), ("hash", pa.binary())])
-)
-CHUNKS = "row string, id bigint, chunks array<struct<start:int, end:int, lines:int, hash:binary>>"
-
-
-BODIES = "row string, id bigint, start int, end int, lines int, hash binary, body string"
-
-
-def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per asked chunk with its text; a document is walked once however many of its chunks are asked for."""
-    ints = [(n, pa.int32()) for n in ("start", "end", "lines")]
-    rows = RowBuffer(pa.schema([("row", pa.string()), ("id", pa.int64()), *ints, ("hash", pa.binary()), ("body", pa.string())]))
-    for batch in batches:
-        for row, key, text, asked in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            for c in asked:
-                body = text[c["start"] : c["end"]].rstrip("\n")
-                rows.add(row, key, c["start"], c["end"], c["lines"], c["hash"], body, size=len(body))
-                if rows.full():
-                    yield from rows.take()
-    yield from rows.take()
-
-
-@F.arrow_udf(T.StringType())
-def without_spans(texts: pa.Array, spans: pa.Array) -> pa.Array:
-    """Each text without its (start, end) spans, which are in order and do not overlap; null spans take nothing away."""
-    out = []
-    for text, gaps in zip(texts.to_pylist(), spans.to_pylist(), strict=True):
-        kept, start = [], 0
-        for gap in gaps or ():
-            kept.append(text[start : gap["start"]])
-            start = gap["end"]
-        out.append("".join([*kept, text[start:]]))
-    return pa.array(out, pa.string())
+    return np.array([xxhash.xxh64_intdigest(text[a:b].removesuffix("\n")) for a, b in line_spans(text)], np.uint64)
 
 
-def repeated_chunks(docs: DataFrame, window: int, mean: int, least: int) -> DataFrame:
-    """(row, start, end, lines) of the chunks to remove from ``docs`` (row, id, text)."""
-    spans = docs.select("row", "id", "text").mapInArrow(_chunk_rows(window, mean, least), CHUNKS)
-    chunks = stored(spans.select("row", "id", F.inline("chunks")), "chunks")
-    again = chunks.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash")
-    candidates = chunks.join(again, "hash", "left_semi")
-    # Their bytes: each document's candidate chunks are cut out of its text.
-    asked = candidates.groupBy("row").agg(F.collect_set(F.struct("start", "end", "lines", "hash")).alias("asked"))
-    cut = stored(docs.join(asked, "row").select("row", "id", "text", "asked").mapInArrow(_bodies, BODIES), "bodies")
-    # Equal in hash and in bytes; the first in the order of ids, rows and places stays.
-    place = F.struct(F.col("id").isNull().alias("unnamed"), "id", "row", "start")
-    ends = F.max(place).alias("last")
-    owners = cut.groupBy("hash", "body").agg(F.min(place).alias("owner"), ends).filter("owner != last").drop("last")
-    equal = cut.join(owners, ["hash", "body"])
-    first = (F.col("owner.row") == F.col("row")) & (F.col("owner.start") == F.col("start"))
-    return equal.filter(~first).select("row", "start", "end", "lines").distinct()
-
-
-def remove_repeated_lines(
-    df: DataFrame,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-    window: int = WINDOW_LINES,
-    mean: int = CHUNK_LINES,
-    least: int = LEAST_LINES,
-) -> DataFrame:
-    """One row per input row: (id, clean_text, removed_chunks, removed_lines, removed_spans).
+def boundaries(pairs: np.ndarray, mean: int = CHUNK_PAIRS) -> np.ndarray:
+    """Numbers of the lines at which chunks begin and end, by the hashes of the pairs of a text: its
+    first and last line, and every line whose pair with the one before falls so."""
+    if not len(pairs):
+        return np.zeros(0, np.int64)
+    inner = np.flatnonzero(pairs[:-1] % np.uint64(mean) == 0) + 1
+    return np.concatenate([[0], inner, [len(pairs)]])
 
-    Of equal chunks of ``least`` lines or more the one in the document with the smallest
-    id stays, there the first; documents that share an id follow a hash, those without id
-    come last.  Rows with equal id and text are one document and are cleaned alike.  A null or empty text stays an empty one.  Line feeds at a
-    chunk's end are not compared.  Spans are (start, end) in characters.  Other columns
-    are left out.  An empty table gives an empty result.
-    """
-    asked = df.select(
-        F.col(id_column).cast("bigint").alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text")
-    )
-    # A document is known by hashes of id and text, the same in every pass; equal rows are one document.
-    name = F.concat(F.hex(F.xxhash64("id", "text")), F.lit("-"), F.hex(F.xxhash64("text", "id")))
-    docs = asked.withColumn("row", name)
-    removed = repeated_chunks(docs, window, mean, least)
-    per_row = removed.groupBy("row").agg(
-        F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"), F.sum("lines").alias("lines")
-    )
-    joined = docs.join(per_row, "row", "left")
-    spans = F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>"))
-    return joined.select(
-        F.col("id").alias(id_column),
-        without_spans("text", "spans").alias("clean_text"),
-        F.size(spans).cast("long").alias("removed_chunks"),
-        F.coalesce("lines", F.lit(0)).cast("long").alias("removed_lines"),
-        spans.alias("removed_spans"),
-    )
-
-
-# ---- whole passages
-
-
-def pair_spans(spans: list[tuple[int, int]], line: int) -> tuple[int, int]:
-    """(start, end) of the pair of lines that begins with ``line``."""
-    return spans[line][0], spans[line + PAIR_LINES - 1][1]
 
-
-def _pair_rows() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    schema = pa.schema([("row", pa.binary()), ("id", pa.int64()), ("hashes", pa.list_(pa.int64()))])
+def _chunk_rows(mean: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    names = [("row", pa.binary()), ("id", pa.int64()), ("line", pa.int32()), ("hash", pa.binary()), ("pairs", pa.list_(pa.int64()))]
+    schema = pa.schema(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = RowBuffer(schema)
         for batch in batches:
             for row, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                each = [xxhash.xxh64_intdigest(text[a:b].removesuffix("\n")) for a, b in line_spans(text)]
-                pairs = rolling(np.array(each, np.uint64), PAIR_LINES)[PAIR_LINES - 1 :]
-                rows.add(row, key, pairs.view(np.int64), size=8 * len(pairs) + 48)
-                if rows.full():
-                    yield from rows.take()
+                each = line_hashes(text)
+                pairs = rolling(each, PAIR_LINES)[PAIR_LINES - 1 :]
+                bounds, signed = boundaries(pairs, mean).tolist(), pairs.view(np.int64)
+                for first, last in zip(bounds, bounds[1:]):
+                    digest = xxhash.xxh3_128_digest(each[first : last + 1].tobytes())
+                    rows.add(row, key, first, digest, signed[first:last], size=8 * (last - first) + 64)
+                    if rows.full():
+                        yield from rows.take()
         yield from rows.take()
 
     return run
 
 
-MAP_BITS = 1 << 24  # of the map of documents with candidates
-PART_BITS = 1 << 15  # of a bitmap of Spark's
-PAIRS = "row binary, id bigint, hashes array<bigint>"
-PAIR_BODIES = "row binary, id bigint, line int, start int, end int, body string"
+CHUNKS = "row binary, id bigint, line int, hash binary, pairs array<bigint>"
+BODIES = "row binary, id bigint, line int, lines int, start int, end int, body string"
 
 
-def _pair_bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per asked pair with its text; a line feed at its end is not compared."""
-    ints = [(n, pa.int32()) for n in ("line", "start", "end")]
+def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per asked run (line, lines) with its text; a line feed at its end is not compared."""
+    ints = [(n, pa.int32()) for n in ("line", "lines", "start", "end")]
     rows = RowBuffer(pa.schema([("row", pa.binary()), ("id", pa.int64()), *ints, ("body", pa.string())]))
     for batch in batches:
         for row, key, text, asked in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             spans = line_spans(text)
-            for line in sorted(asked):
-                start, end = pair_spans(spans, line)
+            for run in asked:
+                line, after = run["line"], run["line"] + run["lines"]
+                if after > len(spans):  # asked of another text with the same short key
+                    continue
+                start, end = spans[line][0], spans[after - 1][1]
                 body = text[start:end].removesuffix("\n")
-                rows.add(row, key, line, start, end, body, size=len(body))
+                rows.add(row, key, line, run["lines"], start, end, body, size=len(body) + 48)
                 if rows.full():
                     yield from rows.take()
     yield from rows.take()
 
 
-def candidate_pairs(docs: DataFrame) -> DataFrame:
-    """(row, asked): the lines of ``docs`` (row, id, text) that begin a pair whose hash occurs more than once."""
-    hashes = stored(docs.select("row", "id", "text").mapInArrow(_pair_rows(), PAIRS), "pairs")
-    pairs = hashes.select("row", F.posexplode("hashes").alias("line", "hash"))
-    again = pairs.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash")
-    asked = pairs.join(again, "hash", "left_semi").groupBy("row").agg(F.collect_set("line").alias("asked"))
-    return stored(asked, "asked")
+def _place():
+    """Rank of a run among equal ones: ids, then rows, then lines; documents without id come last."""
+    return F.struct(F.col("id").isNull().alias("unnamed"), "id", "row", "line")
 
 
-def repeated_pairs(docs: DataFrame, asked: DataFrame) -> DataFrame:
-    """(row, line, start, end) of the ``asked`` pairs of ``docs`` that stand, byte for byte, at an earlier place too;
-    those of equal documents come once for each.
+def _apart(first: str):
+    """A run that only shares a line with its first place, as in three equal lines, is no repetition."""
+    return (F.col(f"{first}.row") != F.col("row")) | (F.col("line") - F.col(f"{first}.line") >= PAIR_LINES)
 
-    Places are in the order of ids, rows and lines.  A pair that only shares a line with
-    its first occurrence, as in three equal lines, is no repetition.
-    """
-    cut = stored(docs.join(asked, "row").select("row", "id", "text", "asked").mapInArrow(_pair_bodies, PAIR_BODIES), "bodies")
-    place = F.struct(F.col("id").isNull().alias("unnamed"), "id", "row", "line")
-    owners = cut.groupBy("body").agg(F.min(place).alias("owner"), F.max(place).alias("last"))
-    equal = cut.join(owners.filter("owner != last").drop("last"), "body")
-    apart = (F.col("owner.row") != F.col("row")) | (F.col("line") - F.col("owner.line") >= PAIR_LINES)
-    return equal.filter(apart).select("row", "line", "start", "end")
+
+def chunk_table(docs: DataFrame, mean: int = CHUNK_PAIRS) -> DataFrame:
+    """(row, id, line, hash, pairs, repeated) of every chunk of ``docs`` (row, id, text): its first line, the
+    hashes of its pairs, and whether its own hash occurs more than once."""
+    chunks = stored(docs.select("row", "id", "text").mapInArrow(_chunk_rows(mean), CHUNKS), "chunks")
+    again = chunks.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash", F.lit(True).alias("repeated"))
+    return stored(chunks.join(again, "hash", "left").withColumn("repeated", F.coalesce("repeated", F.lit(False))), "chunks")
 
 
-def _bit(row):
-    return F.pmod(F.xxhash64(row), F.lit(MAP_BITS))
+def copied_chunks(chunks: DataFrame) -> DataFrame:
+    """(row, line, lines, hash) of the chunks of ``chunk_table`` whose hash has an earlier place."""
+    repeated = chunks.filter("repeated").withColumn("lines", F.size("pairs") + 1).drop("pairs", "repeated")
+    first = repeated.groupBy("hash").agg(F.min(_place()).alias("first"))
+    return repeated.join(first, "hash").filter(_apart("first")).select("row", "line", "lines", "hash").distinct()
 
 
-def with_flag(docs: DataFrame, asked: DataFrame) -> DataFrame:
-    """``docs`` and ``may``: false only where ``row`` is not in ``asked``, so those texts need not be moved.
+def asked_runs(chunks: DataFrame, copies: DataFrame) -> DataFrame:
+    """(short, asked): the runs whose bytes are to be compared, by a 64-bit key of their document.
 
-    One bit map of fixed size goes to all tasks, whatever the size of the tables.
+    These are all repeated chunks, and of the chunks that are no ``copies`` the pairs whose hash occurs more than once.
     """
-    bit = asked.select(_bit("row").alias("bit"))
-    part, place = F.floor(F.col("bit") / PART_BITS), F.col("bit") % PART_BITS
-    maps = bit.groupBy(part.alias("part")).agg(F.bitmap_construct_agg(place).alias("map"))
-    at = _bit("row")
-    byte = F.substring("map", (F.floor(at % PART_BITS / 8) + 1).cast("int"), F.lit(1))
-    known = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (at % 8).cast("int")) == 1
-    joined = docs.join(F.broadcast(maps), F.floor(at / PART_BITS) == F.col("part"), "left")
-    return joined.select(*docs.columns, F.coalesce(known, F.lit(False)).alias("may"))
+    short = F.xxhash64("row").alias("short")
+    whole = chunks.filter("repeated").select(short, "line", (F.size("pairs") + 1).alias("lines"))
+    plain = chunks.filter("NOT repeated").select("row", "line", "pairs")
+    owners = chunks.filter("repeated").join(copies.select("row", "line"), ["row", "line"], "left_anti")
+    left = plain.unionByName(owners.select("row", "line", "pairs"))
+    pairs = left.select(short, "line", F.posexplode("pairs").alias("at", "pair"))
+    pairs = pairs.select("short", (F.col("line") + F.col("at")).alias("line"), "pair")
+    again = pairs.groupBy("pair").agg(F.count("*").alias("n")).filter("n > 1").select("pair")
+    single = pairs.join(again, "pair", "left_semi").select("short", "line", F.lit(PAIR_LINES).alias("lines"))
+    both = whole.unionByName(single)
+    return both.groupBy("short").agg(F.collect_set(F.struct("line", "lines")).alias("asked"))
+
+
+def repeated_runs(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """(row, line, lines, start, end) of the ``asked`` runs of ``docs`` that stand, byte for byte, at an earlier place too."""
+    keyed = may_hold(docs.withColumn("short", F.xxhash64("row")), asked, "short", "may").filter("may")
+    texts = keyed.join(asked, "short").select("row", "id", "text", "asked")
+    cut = stored(texts.mapInArrow(_bodies, BODIES), "bodies")
+    owners = cut.groupBy("body").agg(F.min(_place()).alias("owner"), F.max(_place()).alias("last"))
+    equal = cut.join(owners.filter("owner != last").drop("last"), "body")
+    return equal.filter(_apart("owner")).select("row", "line", "lines", "start", "end").distinct()
+
+
+def found_runs(docs: DataFrame, mean: int = CHUNK_PAIRS) -> DataFrame:
+    """``repeated_runs`` of ``docs``: whole chunks, and pairs of lines where no chunk goes."""
+    chunks = chunk_table(docs, mean)
+    copies = stored(copied_chunks(chunks), "copies")
+    found = stored(repeated_runs(docs, stored(asked_runs(chunks, copies), "asked")), "found")
+    unlike = copies.join(found, ["row", "line", "lines"], "left_anti").select("hash").distinct()
+    if unlike.isEmpty():
+        return found
+    # Equal in hash but not in bytes: these chunks do not go, so their pairs count like all others.
+    proven = stored(copies.join(unlike, "hash", "left_anti"), "copies")
+    return stored(repeated_runs(docs, stored(asked_runs(chunks, proven), "asked")), "found")
 
 
 PASSAGES_TYPE = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lines", pa.int32())]))
 
 
 @F.arrow_udf(T.ArrayType(T.StructType([T.StructField(n, T.IntegerType()) for n in ("start", "end", "lines")])))
-def grown_together(pairs: pa.Array) -> pa.Array:
-    """Pairs (line, start, end) in order, those that overlap or touch made one passage."""
+def grown_together(runs: pa.Array) -> pa.Array:
+    """Runs (line, lines, start, end) in order, those that overlap or touch made one passage."""
     out = []
-    for found in pairs.to_pylist():
+    for found in runs.to_pylist():
         passages: list[dict] = []
         after = -1
-        for p in found or ():
-            first, after_this = max(p["line"], after), p["line"] + PAIR_LINES
-            if p["line"] <= after:
-                passages[-1]["end"] = p["end"]
-                passages[-1]["lines"] += after_this - first
-            else:
-                passages.append({"start": p["start"], "end": p["end"], "lines": PAIR_LINES})
-            after = after_this
+        for r in found or ():
+            if r["line"] > after:
+                passages.append({"start": r["start"], "end": r["end"], "lines": r["lines"]})
+                after = r["line"] + r["lines"]
+            elif r["line"] + r["lines"] > after:
+                passages[-1]["end"] = r["end"]
+                passages[-1]["lines"] += r["line"] + r["lines"] - after
+                after = r["line"] + r["lines"]
         out.append(passages)
     return pa.array(out, PASSAGES_TYPE)
 
 
-def remove_repeated_passages(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+@F.arrow_udf(T.StringType())
+def without_spans(texts: pa.Array, spans: pa.Array) -> pa.Array:
+    """Each text without its (start, end) spans, which are in order and do not overlap; null spans take nothing away."""
+    out = []
+    for text, gaps in zip(texts.to_pylist(), spans.to_pylist(), strict=True):
+        kept, start = [], 0
+        for gap in gaps or ():
+            kept.append(text[start : gap["start"]])
+            start = gap["end"]
+        out.append("".join([*kept, text[start:]]))
+    return pa.array(out, pa.string())
+
+
+def remove_repeated_passages(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", mean: int = CHUNK_PAIRS) -> DataFrame:
     """One row per input row: (id, clean_text, removed_chunks, removed_lines, removed_spans).
 
     A line goes when a run of two lines or more that holds it stands, byte for byte, at an
     earlier place of the table and does not overlap itself there; a blank line is a line.
     Earlier is the document with the smaller id, in it the line further ahead; documents that share an
-    id follow a hash, those without id come last.  Rows with equal id and text are one document and are cleaned
+    id follow a hash, those without id come last.  Places are those of the texts as given: a run may
+    go although longer runs took its earlier place, but every line that is removed stays somewhere.
+    Rows with equal id and text are one document and are cleaned
     alike.  A null or empty text stays an empty one.  A line feed at a run's end is not compared.
+    Very long texts are cut line by line like others; ``mean``, the pairs of a chunk on average, does
+    not change the result.
     Spans are (start, end) in characters and the longest stretches of lines removed; their number is
     ``removed_chunks``.  Other columns are left out.  An empty table gives an empty result.
     """
@@ -313,13 +238,14 @@ def remove_repeated_passages(df: DataFrame, id_column: str = "doc_id", text_colu
     parts = (F.lpad(F.hex(F.xxhash64(*pair)), 16, "0") for pair in (("id", "text"), ("text", "id")))
     name = F.unhex(F.concat(*parts))
     docs = texts.withColumn("row", name)
-    asked = candidate_pairs(docs)
-    marked = with_flag(docs, asked)
-    moved = marked.filter("may").drop("may")
-    found = repeated_pairs(moved, asked).groupBy("row").agg(F.sort_array(F.collect_set(F.struct("line", "start", "end"))).alias("pairs"))
-    passages = found.select("row", grown_together("pairs").alias("passages"))
-    untouched = marked.filter("NOT may").select("row", "id", "text", F.lit(None).cast(passages.schema["passages"].dataType).alias("passages"))
-    joined = moved.join(passages, "row", "left").select(untouched.columns).unionByName(untouched)
+    found = found_runs(docs, mean)
+    runs = found.groupBy("row").agg(F.sort_array(F.collect_set(F.struct("line", "lines", "start", "end"))).alias("runs"))
+    passages = runs.select("row", grown_together("runs").alias("passages"))
+    # Texts that lose nothing are not moved.
+    marked = may_hold(docs, found.select("row").distinct(), "row", "may")
+    touched = marked.filter("may").join(passages, "row", "left").select("id", "text", "passages")
+    untouched = marked.filter("NOT may").select("id", "text", F.lit(None).cast(passages.schema["passages"].dataType).alias("passages"))
+    joined = touched.unionByName(untouched)
     spans = F.coalesce(F.transform("passages", lambda p: F.struct(p["start"].alias("start"), p["end"].alias("end"))),
                        F.array().cast("array<struct<start:int,end:int>>"))
     count = F.aggregate("passages", F.lit(0), lambda n, p: n + p["lines"])

@@ -63,17 +63,13 @@ def test_exact_of_nothing(spark):
 
 
 def test_a_long_text_of_repeated_chunks(spark):
-    """Umlauts and characters beyond 16 bits keep their places; what is left and the spans make up the text."""
-    block = "".join(f"zeile {i} mit ü und 😀\n" for i in range(400))
+    """Umlauts and characters beyond 16 bits keep their places; the whole passage goes."""
+    block = "".join(f"zeile {i} mit ü und 😀\n" for i in range(20_000))
     rows = [(1, block), (2, "davor\n" + block + "danach"), (3, None)]
-    found = {r.doc_id: r for r in lines.remove_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found = {r.doc_id: r for r in lines.remove_repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert found[1].clean_text == block and found[1].removed_chunks == 0
-    text, taken = rows[1][1], found[2].removed_spans
-    assert found[2].removed_lines >= 390
-    rest, start = "", 0
-    for a, b in taken:
-        rest, start = rest + text[start:a], b
-    assert found[2].clean_text == rest + text[start:]
+    assert found[2].clean_text == "davor\ndanach" and found[2].removed_lines == 20_000
+    assert [tuple(s) for s in found[2].removed_spans] == [(6, 6 + len(block))]
     assert found[3].clean_text == "" and found[3].removed_lines == 0
 
 
@@ -85,37 +81,35 @@ def test_rolling_depends_on_the_last_lines_only():
     assert (left[-17:] == right[-17:]).all() and left[-18] != right[-18]
 
 
-def test_chunks_add_up_and_resist_shifts():
+def chunks(text, mean=lines.CHUNK_PAIRS):
+    """(first line, last line) of every chunk."""
+    pairs = lines.rolling(lines.line_hashes(text), lines.PAIR_LINES)[lines.PAIR_LINES - 1 :]
+    bounds = lines.boundaries(pairs, mean).tolist()
+    return list(zip(bounds, bounds[1:]))
+
+
+def test_every_pair_is_in_one_chunk_and_cuts_resist_shifts():
     draw = random.Random(5)
     passage = [f"line {draw.random()}" for _ in range(40)]
     one = "\n".join(passage)
     two = "\n".join([*(f"other {draw.random()}" for _ in range(7)), *passage])
     for text in (one, two, "", "\n", "a\n\n\nb", "no end"):
-        spans = lines.chunk_spans(text)
-        assert "".join(text[a:b] for a, b, _ in spans) == text
-    shared = {one[a:b].rstrip("\n") for a, b, _ in lines.chunk_spans(one)} & {two[a:b].rstrip("\n") for a, b, _ in lines.chunk_spans(two)}
-    assert len(shared) >= len(lines.chunk_spans(one)) - 2
-
-
-def plain_removal(rows):
-    """What the operator should give, by a dictionary of chunk texts."""
-    documents = sorted({(r[0] is None, r[0], r[1] or "") for r in rows}, key=repr)
-    owners = defaultdict(list)
-    for unnamed, doc_id, text in documents:
-        for start, end, count in lines.chunk_spans(text):
-            if count >= lines.LEAST_LINES:
-                owners[text[start:end].rstrip("\n")].append((unnamed, doc_id or 0, text, start, end))
-    removed = defaultdict(list)
-    for places in owners.values():
-        for unnamed, doc_id, text, start, end in sorted(places, key=lambda p: (p[0], p[1], p[3]))[1:]:
-            removed[None if unnamed else doc_id, text].append((start, end))
-    out = {}
-    for unnamed, doc_id, text in documents:
-        clean, at = "", 0
-        for start, end in sorted(removed[None if unnamed else doc_id, text]):
-            clean, at = clean + text[at:start], end
-        out[None if unnamed else doc_id] = (clean + text[at:], sorted(removed[None if unnamed else doc_id, text]))
-    return out
+        pairs = [i for first, last in chunks(text) for i in range(first, last)]
+        assert pairs == list(range(len(lines.line_spans(text)) - 1))
+    shifted = {(first - 7, last - 7) for first, last in chunks(two)}
+    assert len(chunks(one)) > 5 and len(set(chunks(one)) - shifted) <= 1
+
+
+def test_most_of_a_passage_goes_by_whole_chunks():
+    """The share of a shared passage's pairs of lines that whole chunks hold, by its length."""
+    draw, share = random.Random(8), {}
+    for length in (5, 10, 20, 60):
+        held = 0
+        for k in range(200):
+            text = "\n".join([*(f"own {k} {draw.random()}" for _ in range(5)), *(f"{k} {length} {i}" for i in range(length)), *(f"end {k} {draw.random()}" for _ in range(5))])
+            held += sum(last - first for first, last in chunks(text) if first >= 5 and last < 5 + length)
+        share[length] = held / 200 / (length - 1)
+    assert share[60] > 0.9 and share[20] > 0.7 and share[5] < share[10] < share[20]
 
 
 @pytest.fixture
@@ -130,43 +124,16 @@ def passages():
 
 
 def test_line_removal(spark, passages):
+    """Columns of clashing names do no harm, and whatever chunks are cut, the same lines go."""
     schema = "doc_id long, text string, clean_text string, row int"
-    found = lines.remove_repeated_lines(spark.createDataFrame(passages, schema).repartition(3)).collect()
-    wanted = plain_removal(passages)
-    assert len(found) == len(passages)
-    for row in found:
-        clean, spans = wanted[row.doc_id]
-        assert (row.clean_text, [tuple(s) for s in row.removed_spans]) == (clean, spans)
-        assert row.removed_chunks == len(spans)
-    assert sum(r.removed_chunks for r in found) > 30
-
-
-def test_equal_hashes_are_not_enough(spark, monkeypatch):
-    """With one hash for all chunks nothing but equal bytes is removed."""
-    schema = "doc_id long, text string"
-    rows = [(1, "a\nb"), (2, "a\nb"), (3, "c\nd")]
-    docs = spark.createDataFrame(rows, schema)
-    real = lines._chunk_rows
-
-    def same_hash(window, mean, least):
-        run = real(window, mean, least)
-
-        def changed(batches):
-            import pyarrow as pa
-
-            for batch in run(batches):
-                rows = batch.to_pylist()
-                for r in rows:
-                    for c in r["chunks"]:
-                        c["hash"] = b"0"
-                yield pa.RecordBatch.from_pylist(rows, schema=batch.schema)
-
-        return changed
-
-    monkeypatch.setattr(lines, "_chunk_rows", same_hash)
-    found = {r.doc_id: r.clean_text for r in lines.remove_repeated_lines(docs, mean=1).collect()}
-    assert found == {1: "a\nb", 2: "", 3: "c\nd"}
+    docs = spark.createDataFrame(passages, schema).repartition(3)
+    results = []
+    for mean in (1, 3, 1 << 40):
+        found = lines.remove_repeated_passages(docs, mean=mean).collect()
+        results.append(sorted((repr(r.doc_id), r.clean_text, r.removed_lines) for r in found))
+    assert results[0] == results[1] == results[2] and len(results[0]) == len(passages)
+    assert sum(n for _, _, n in results[0]) > 30 * 12
 
 
 def test_lines_of_nothing(spark):
-    assert lines.remove_repeated_lines(spark.createDataFrame([], SCHEMA)).count() == 0
+    assert lines.remove_repeated_passages(spark.createDataFrame([], SCHEMA)).count() == 0

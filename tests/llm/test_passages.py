@@ -2,7 +2,7 @@
 
 import random
 
-from quarterdeck.llm import lines
+from quarterdeck.llm import lines, shared
 
 SCHEMA = "doc_id long, text string"
 
@@ -64,23 +64,51 @@ def test_three_equal_lines_stay(spark):
     assert found == {1: "x\nx\nx", 2: "u\nu\n", 3: "one", 4: "one"}
 
 
-def test_equal_pair_hashes_are_not_enough(spark, monkeypatch):
-    real = lines._pair_rows
+def with_hashes(monkeypatch, change):
+    """Lets ``change`` alter every row of the scan that hashes chunks and pairs."""
+    real = lines._chunk_rows
 
-    def same_hash():
-        run = real()
+    def changed_scan(mean):
+        run = real(mean)
 
         def changed(batches):
             import pyarrow as pa
 
             for batch in run(batches):
-                rows = [r | {"hashes": [0] * len(r["hashes"])} for r in batch.to_pylist()]
-                yield pa.RecordBatch.from_pylist(rows, schema=batch.schema)
+                yield pa.RecordBatch.from_pylist([r | change(r) for r in batch.to_pylist()], schema=batch.schema)
 
         return changed
 
-    monkeypatch.setattr(lines, "_pair_rows", same_hash)
-    check(spark, [(1, "a\nb\nc"), (2, "x\na\nb"), (3, "c\nd\ne")])
+    monkeypatch.setattr(lines, "_chunk_rows", changed_scan)
+
+
+ALIKE = [(1, "a\nb\nc"), (2, "x\na\nb"), (3, "c\nd\ne"), (4, "d\ne\nf\ng"), (5, "a\nb\nc"), (6, "h\na\nb\nc\nd\ne\nh")]
+
+
+def test_equal_pair_hashes_are_not_enough(spark, monkeypatch):
+    with_hashes(monkeypatch, lambda r: {"pairs": [0] * len(r["pairs"])})
+    check(spark, ALIKE)
+
+
+def test_equal_chunk_hashes_are_not_enough(spark, monkeypatch):
+    """Chunks alike in hash only do not go, and the pairs in them are looked up after all."""
+    with_hashes(monkeypatch, lambda r: {"hash": b"0"})
+    check(spark, ALIKE)
+
+
+def test_equal_short_keys_are_not_enough(spark, monkeypatch):
+    """Documents asked for each other's runs, beyond their own end too, answer for themselves."""
+    real = lines.asked_runs
+
+    def all_asked(chunks, copies):
+        from pyspark.sql import functions as F
+
+        runs = real(chunks, copies).select(F.explode("asked").alias("run")).distinct()
+        every = chunks.select(F.xxhash64("row").alias("short")).distinct()
+        return every.crossJoin(runs).groupBy("short").agg(F.collect_set("run").alias("asked"))
+
+    monkeypatch.setattr(lines, "asked_runs", all_asked)
+    check(spark, ALIKE)
 
 
 def test_passages_of_nothing(spark):
@@ -90,6 +118,6 @@ def test_passages_of_nothing(spark):
 def test_flag_leaves_out_no_asked_document(spark):
     docs = spark.range(20_000).selectExpr("id", "'' AS text", "concat('r', id) AS row")
     asked = docs.filter("id % 5 = 0").select("row")
-    found = {r.id: r.may for r in lines.with_flag(docs, asked).collect()}
+    found = {r.id: r.may for r in shared.may_hold(docs, asked, "row", "may").collect()}
     assert len(found) == 20_000 and all(found[i] for i in range(0, 20_000, 5))
     assert sum(found.values()) < 4100
