@@ -25,8 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarterdeck.llm.lines import with_flag
-from quarterdeck.llm.shared import RowBuffer, stored, text_or_empty
+from quarterdeck.llm.shared import RowBuffer, may_hold, stored, text_or_empty
 from quarterdeck.llm.simhash import components, words_of
 
 SHINGLE = 4
@@ -154,7 +153,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
                     yield from out.take()
         yield from out.take()
 
-    near = with_flag(docs, wanted).filter("may").drop("may").dropDuplicates(["id", "row"])
+    near = may_hold(docs, wanted, "row", "may").filter("may").drop("may").dropDuplicates(["id", "row"])
     return near.join(wanted, ["id", "row"]).select("node", "text").mapInArrow(run, "node long, shingles binary")
 
 
