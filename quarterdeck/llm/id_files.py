@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarterdeck.llm.shared import RowBuffer
+from quarterdeck.llm.shared import RowBuffer, one_row_each
 from quarterdeck.llm.words import tokenizer_of
 
 MAGIC = b"QDTOKIDS"
@@ -54,7 +54,8 @@ def _dictionary(data: bytes) -> zstandard.ZstdCompressionDict | None:
 
 
 def sample_dictionary(df: DataFrame, path: str, end_id: int, rows: int, sample: int = DICTIONARY_SAMPLE) -> bytes:
-    """Trained on documents whose id hashes into the sample's share; about ``sample`` of them reach the driver."""
+    """Trained on documents whose id hashes into the sample's share; about ``sample`` of them reach the driver,
+    one for each id however many rows share it."""
     tail = end_id.to_bytes(4, "little")
     share = min(1.0, sample / max(rows, 1))
     chosen = F.col("doc_id").isNotNull() & (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
@@ -66,7 +67,7 @@ def sample_dictionary(df: DataFrame, path: str, end_id: int, rows: int, sample:
             ids = [(i + tail)[:DICTIONARY_SAMPLE_BYTES] for i in tokenizer.encode(texts)]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], ["ids"])
 
-    found = df.filter(chosen).select("text").mapInArrow(run, "ids binary")
+    found = one_row_each(df.filter(chosen), "doc_id", "text").select("text").mapInArrow(run, "ids binary")
     return train_dictionary(sorted(bytes(r[0]) for r in found.collect()))
 
 

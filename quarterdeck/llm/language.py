@@ -61,14 +61,15 @@ class LanguageModel:
 
 
 def training_sample(df: DataFrame, rules: LanguageRules, id_column: str, text_column: str, lang_column: str) -> DataFrame:
-    """(lang, text) of about ``docs_per_language`` rows of each language, chosen by a hash of the id."""
+    """(lang, text) of about ``docs_per_language`` rows of each language, chosen by a hash of id and text,
+    so that an id of very many rows is neither taken whole nor left out whole."""
     labelled = df.select(
         F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"), F.col(lang_column).alias("lang")
     ).filter("lang IS NOT NULL AND text IS NOT NULL")
     # One count per language; texts are chosen where they are read and do not move.
     counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
     shares = [F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, min(1.0, rules.docs_per_language / n))]
-    place = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    place = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     chosen = place < F.create_map(*shares)[F.col("lang")] if shares else F.lit(False)
     return labelled.filter(chosen).select("lang", "text")
 

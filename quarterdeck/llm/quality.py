@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarterdeck.llm.shared import pair_slices
+from quarterdeck.llm.shared import one_row_each, pair_slices
 
 
 @dataclass(frozen=True)
@@ -279,14 +279,17 @@ def learn(docs: DataFrame, labels: DataFrame, rules: QualityModelRules = Quality
 
     A document with several labels counts as good when most are good, as bad on a tie.
     Labels other than 0 and 1 are left out.  Without labels every text scores one half.
+    Of rows that share an id one is fitted on, so that the samples are bounded whatever ids repeat.
     """
     clean = labels.filter("quality IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.avg("quality").alias("mean"))
     clean = clean.select("doc_id", (F.col("mean") > 0.5).cast("int").alias("quality"))
-    wanted = docs.select("doc_id", "text", "lang", "source", "n_chars").filter("doc_id IS NOT NULL")
+    columns = ("text", "lang", "source", "n_chars")
+    wanted = docs.select("doc_id", *columns).filter("doc_id IS NOT NULL")
     # Rows are chosen by their ids before texts move.
     known, free = _share(rules.labelled_rows, clean.count()), _share(rules.unlabelled_rows, wanted.count(), 1)
-    labelled = wanted.filter(known).join(clean.filter(known), "doc_id")
-    unlabelled = wanted.filter(free).join(clean.filter(free), "doc_id", "left_anti")
+    labelled = one_row_each(wanted.filter(known).join(clean.filter(known).select("doc_id"), "doc_id", "left_semi"), "doc_id", *columns)
+    labelled = labelled.join(clean.filter(known), "doc_id")
+    unlabelled = one_row_each(wanted.filter(free).join(clean.filter(free), "doc_id", "left_anti"), "doc_id", *columns)
     unlabelled = unlabelled.withColumn("quality", F.lit(None).cast("int"))
     found = labelled.unionByName(unlabelled).mapInArrow(_featured, FEATURED).collect()
     # In one order whatever the partitions were, so that a rerun fits the same model.

@@ -47,6 +47,15 @@ def text_or_empty(column: str):
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def one_row_each(rows: DataFrame, key: str, *columns: str) -> DataFrame:
+    """(key, columns): of the rows that share a key the one whose ``columns`` have the smallest hash.
+
+    A key's rows are reduced where they lie before they are moved.
+    """
+    least = rows.groupBy(key).agg(F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("_row"))
+    return least.select(key, *(F.col("_row")[c].alias(c) for c in columns))
+
+
 MAP_BITS = 1 << 24  # of the map of keys
 PART_BITS = 1 << 15  # of a bitmap of Spark's
 
