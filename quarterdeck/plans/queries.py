@@ -30,7 +30,7 @@ def query(fn: Query) -> Query:
 
 QUALITY = QualityRules(allowed_segments=("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"))
 YEARS = (*(f"{y}-Q{q}" for y in range(1995, 2001) for q in range(1, 5)), "2001-Q1", "2001-Q2", "2001-Q3")
-ARRAY_FILES = 16  # files a table is written to as JSON arrays; each is read by one task
+ARRAY_ROWS = 20_000  # rows of a JSON array on average; each file is read by one task
 BOUNDS = (
     ArrBound("AUTOMOBILE", minimum=1000),
     ArrBound("BUILDING", minimum=50_000, maximum=200_000),
@@ -81,7 +81,8 @@ def json_array_read(spark, sf):
     path = scratch(spark, "transcripts")
     turns = b.transcripts(spark, sf)
     record = F.to_json(F.struct(*(c for c in turns.columns if c != "ordinal")))
-    rows = turns.select(F.pmod(F.xxhash64("deal_id", "ordinal"), F.lit(ARRAY_FILES)).alias("file"), "deal_id", "ordinal", record.alias("record"))
+    files = turns.count() // ARRAY_ROWS + 1
+    rows = turns.select(F.pmod(F.xxhash64("deal_id", "ordinal"), F.lit(files)).alias("file"), "deal_id", "ordinal", record.alias("record"))
     place = Window.partitionBy("file").orderBy("deal_id", "ordinal")
     first, last = F.lag("record").over(place).isNull(), F.lead("record").over(place).isNull()
     value = F.concat(F.when(first, "[").otherwise(""), "record", F.when(last, "]").otherwise(","))
