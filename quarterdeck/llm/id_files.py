@@ -63,7 +63,7 @@ def sample_dictionary(df: DataFrame, path: str, end_id: int, rows: int, sample:
     def run(batches):
         tokenizer = tokenizer_of(path)
         for batch in batches:
-            texts = (t or "" for t in batch.column(0).to_pylist())
+            texts = (t.as_py() or "" for t in batch.column(0))
             ids = [(i + tail)[:DICTIONARY_SAMPLE_BYTES] for i in tokenizer.encode(texts)]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], ["ids"])
 
@@ -159,7 +159,7 @@ def _compress(path: str, end_id: int, dictionary: bytes, bounds: np.ndarray):
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
             shards = np.searchsorted(bounds, np.array([d or 0 for d in doc_ids], np.int64), "right").tolist()
-            texts = (t or "" for t in batch.column(1).to_pylist())
+            texts = (t.as_py() or "" for t in batch.column(1))  # one at a time: a batch may hold long ones
             for shard, doc_id, ids in zip(shards, doc_ids, tokenizer.encode(texts), strict=True):
                 if doc_id is None:
                     shard = -1 - zlib.crc32(ids) % (len(bounds) + 1)
