@@ -109,6 +109,22 @@ def payload_owners(heads: DataFrame) -> DataFrame:
     return heads.groupBy("strong_digest", "payload_bytes").agg(F.min("page_id").alias("owner"))
 
 
+def with_owners(chunks: DataFrame, decisions: DataFrame) -> DataFrame:
+    """``chunks`` with the ``owner`` that ``decisions`` (page_id, strong_digest, owner) name, or null; null ids are equal.
+
+    Payloads move once: the keys of the join, without nulls, are those of the one shuffle.  Rows of one page then
+    lie side by side, so that of equal rows the first can be told.
+    """
+    keys = ["nameless", "known", "strong_digest"]
+
+    def keyed(rows: DataFrame) -> DataFrame:
+        known = F.coalesce("page_id", F.lit(0).cast("bigint"))
+        return rows.withColumns({"nameless": F.isnull("page_id"), "known": known})
+
+    found = keyed(decisions).drop("page_id")
+    return keyed(chunks).repartition(*keys).join(found, keys, "left").drop("nameless", "known")
+
+
 def write_archives(df: DataFrame, out: str, chunk_bytes: int = CHUNK_BYTES, min_bytes: int = 0,
                    compression: str = "gzip", nameless: bool = False, **columns: str) -> None:
     """Writes a record per row of ``df`` under ``out``; equal payloads of at least ``min_bytes`` are written once.
@@ -122,15 +138,11 @@ def write_archives(df: DataFrame, out: str, chunk_bytes: int = CHUNK_BYTES, min_
     first = chunk_table(df, chunk_bytes=chunk_bytes, payloads=False, **columns)
     heads = stored(first.select("page_id", "strong_digest", "payload_bytes"), "heads")
     owners = payload_owners(heads.filter(F.col("payload_bytes") >= min_bytes))
-    page = ["page_id", "strong_digest"]
-    decisions = heads.join(owners, ["strong_digest", "payload_bytes"]).select(*page, "owner").distinct()
-    # Payloads move once; rows of one page then lie side by side, so that of equal rows the first can be told.
-    chunks = chunk_table(df, chunk_bytes=chunk_bytes, **columns).repartition(*page)
-    same = chunks["page_id"].eqNullSafe(decisions["page_id"]) & (chunks["strong_digest"] == decisions["strong_digest"])
-    decided = chunks.join(decisions, same, "left").drop(decisions["page_id"], decisions["strong_digest"])
+    decisions = heads.join(owners, ["strong_digest", "payload_bytes"]).select("page_id", "strong_digest", "owner").distinct()
+    decided = with_owners(chunk_table(df, chunk_bytes=chunk_bytes, **columns), decisions)
     later = F.col("owner").isNotNull() & ~F.col("owner").eqNullSafe(F.col("page_id"))
     wanted = decided.withColumn("refers_to", F.when(later, F.col("owner"))).filter(~later | (F.col("chunk_no") == 0))
-    ordered = wanted.sortWithinPartitions(*page, "row_key", "chunk_no")
+    ordered = wanted.sortWithinPartitions("page_id", "strong_digest", "row_key", "chunk_no")
     asked = ordered.select("page_id", "url", "row_key", "payload_bytes", "payload_digest", "strong_digest",
                            "chunk_no", "chunks", "chunk", "owner", "refers_to")
     records = asked.mapInArrow(_record_writer(nameless), "record binary")

@@ -99,3 +99,20 @@ def test_a_changed_payload_is_an_error(spark):
 def test_no_id_is_an_error(spark):
     with pytest.raises(Exception, match="without page_id"):
         warc.write_archives(spark.createDataFrame([(None, "u", "x", "")], SCHEMA), scratch(spark, "test-warc"))
+
+
+def test_payloads_move_once(spark):
+    chunks = warc.chunk_table(spark.createDataFrame([*pages(), (None, None, "x", None)], SCHEMA))
+    heads = chunks.filter("chunk_no = 0").select("page_id", "strong_digest").distinct().limit(50)
+    decisions = spark.createDataFrame([(*r, 1) for r in heads.collect()], "page_id long, strong_digest string, owner long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        decided = warc.with_owners(chunks, decisions)
+        plan = decided._jdf.queryExecution().executedPlan().toString()
+        # One for the chunks and one for the decisions.
+        assert plan.count("Exchange hashpartitioning") == 2
+        told = {(r.page_id, r.strong_digest): r.owner for r in decided.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    named = {(r.page_id, r.strong_digest) for r in decisions.collect()}
+    assert told and all((owner == 1) == (page in named) for page, owner in told.items())
