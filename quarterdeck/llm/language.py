@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import math
 import re
-import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -39,12 +38,22 @@ class LanguageRules:
     backoff_weight: float = 0.5
 
 
-# Letters of any script in a row.  Python's \w also holds numerals that are no decimal digits, such as a half.
-_NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha())
-WORD = re.compile(rf"[^\W_{_NUMERALS}]+")
+# Python's \w also holds numerals that are no decimal digits, such as a half; a class that lists them all is slow.
+WORD = re.compile(r"[^\W\d_]+")
+_NOT_LETTERS = {i: " " for i in range(128) if not chr(i).isalpha()}
 WORD_SQL = r"\p{L}+"
 
 
+def words_of(text: str) -> list[str]:
+    """Letters of any script in a row, in the order of the text."""
+    if text.isascii():
+        return text.translate(_NOT_LETTERS).split()
+    runs = WORD.findall(text)
+    if "".join(runs).isalpha():
+        return runs
+    return [w for run in runs for w in "".join(c if c.isalpha() else " " for c in run).split()]
+
+
 @dataclass
 class LanguageModel:
     """Log probabilities per language: one row per known word or n-gram."""
@@ -198,7 +207,7 @@ class Scorer:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """(language, probability); no letter, or no language learned, gives ``und`` and 0."""
-        words = Counter(WORD.findall(text.lower())) if text else None
+        words = Counter(words_of(text.lower())) if text else None
         if not words or not self.model.languages:
             return UNDETERMINED, 0.0
         if self.used + len(words) > len(self.scores) or self.chars > self.cache_chars:
