@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarterdeck.operators.skew import free_name, may_hold  # noqa: F401  (used by the modules beside this one)
+
 # Long loops over a batch work on slices of about this many characters, so that
 # numpy's temporary arrays stay small whatever a batch holds.
 SLICE_CHARS = 1 << 20
@@ -56,38 +58,6 @@ def one_row_each(rows: DataFrame, key: str, *columns: str) -> DataFrame:
     return least.select(key, *(F.col("_row")[c].alias(c) for c in columns))
 
 
-MAP_BITS = 1 << 24  # of the map of keys
-PART_BITS = 1 << 15  # of a bitmap of Spark's
-
-
-def may_hold(rows: DataFrame, keys: DataFrame, key: str, flag: str) -> DataFrame:
-    """``rows`` and the column ``flag``: false only where ``key`` is not among those of ``keys``, so such rows need not be moved.
-
-    One bit map of 2 MB at most goes to all tasks, whatever the size of the tables.
-    """
-    bit = keys.select(_bit(key).alias("bit"))
-    part, place = F.floor(F.col("bit") / PART_BITS), F.col("bit") % PART_BITS
-    part_name, map_name = free_name(rows.columns, "part"), free_name(rows.columns, "map")
-    maps = bit.groupBy(part.alias(part_name)).agg(F.bitmap_construct_agg(place).alias(map_name))
-    at = _bit(key)
-    byte = F.substring(F.col(map_name), (F.floor(at % PART_BITS / 8) + 1).cast("int"), F.lit(1))
-    known = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (at % 8).cast("int")) == 1
-    joined = rows.join(F.broadcast(maps), F.floor(at / PART_BITS) == F.col(part_name), "left")
-    return joined.withColumn(flag, F.coalesce(known, F.lit(False))).drop(part_name, map_name)
-
-
-def _bit(key: str):
-    return F.pmod(F.xxhash64(key), F.lit(MAP_BITS))
-
-
-def free_name(columns: Iterable[str], name: str) -> str:
-    """``name``, with underscores in front until no column is called so."""
-    taken = {c.lower() for c in columns}
-    while name.lower() in taken:
-        name = "_" + name
-    return name
-
-
 def pair_slices(texts: Sequence[str], limit: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
     """Ranges of ``texts`` of at most ``limit`` characters each, or one longer text."""
     start = size = 0

@@ -49,9 +49,13 @@ def positions(
     start = sum((F.col(f"_before{d}") for d in range(1, len(names) + 1)), F.lit(0))
     starts = starts.select(*group, *names, start.alias("_start"), *([total] if total else []))
 
-    inside = Window.partitionBy(*group, *names).orderBy(*order)
-    placed = _null_safe_join(blocked.withColumn("_row", F.row_number().over(inside)), starts, [*group, *names])
-    return placed.withColumn(position, F.col("_start") + F.col("_row") - 1).drop("_row", "_start", *names)
+    # One key that is never null, nulls inside it being equal: the window and the join share one shuffle of the rows.
+    place = F.struct(*group, *names)
+    inside = Window.partitionBy("_place").orderBy(*order)
+    numbered = blocked.withColumn("_place", place).drop(*names).withColumn("_row", F.row_number().over(inside))
+    starts = starts.select(place.alias("_place"), "_start", *([total] if total else []))
+    placed = numbered.join(starts, "_place")
+    return placed.withColumn(position, F.col("_start") + F.col("_row") - 1).drop("_row", "_start", "_place")
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -1,13 +1,13 @@
 """Joins of a large table with a per-key table when some keys hold many of the rows.
 
 Spark's adaptive execution splits hot keys of a plain join by their measured size; that
-is enough wherever nothing above the join needs the rows of a key together.  The helper
-here is for the other joins: it cuts hot keys into parts before the shuffle.
+is enough wherever nothing above the join needs the rows of a key together.  ``salted_join``
+is for the other joins: it cuts hot keys into parts before the shuffle.  ``may_hold`` tells which rows need no join.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,3 +66,35 @@ def _all_present(keys: Sequence[str]) -> Column:
     for key in keys:
         present = present & F.col(key).isNotNull()
     return present
+
+
+MAP_BITS = 1 << 24  # of the map of keys
+PART_BITS = 1 << 15  # of a bitmap of Spark's
+
+
+def may_hold(rows: DataFrame, keys: DataFrame, key: str, flag: str) -> DataFrame:
+    """``rows`` and the column ``flag``: false only where ``key`` is not among those of ``keys``, so such rows need not be moved.
+
+    One bit map of 2 MB at most goes to all tasks, whatever the size of the tables.
+    """
+    bit = keys.select(_bit(key).alias("bit"))
+    part, place = F.floor(F.col("bit") / PART_BITS), F.col("bit") % PART_BITS
+    part_name, map_name = free_name(rows.columns, "part"), free_name(rows.columns, "map")
+    maps = bit.groupBy(part.alias(part_name)).agg(F.bitmap_construct_agg(place).alias(map_name))
+    at = _bit(key)
+    byte = F.substring(F.col(map_name), (F.floor(at % PART_BITS / 8) + 1).cast("int"), F.lit(1))
+    known = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (at % 8).cast("int")) == 1
+    joined = rows.join(F.broadcast(maps), F.floor(at / PART_BITS) == F.col(part_name), "left")
+    return joined.withColumn(flag, F.coalesce(known, F.lit(False))).drop(part_name, map_name)
+
+
+def _bit(key: str):
+    return F.pmod(F.xxhash64(key), F.lit(MAP_BITS))
+
+
+def free_name(columns: Iterable[str], name: str) -> str:
+    """``name``, with underscores in front until no column is called so."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name

@@ -19,6 +19,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarterdeck.operators.skew import may_hold
 from quarterdeck.sources.writers import bucket_of, remove, write_table
 
 CHUNKS = "chunk_id string, deal_id string, document string, text_key string, encoder string, embedding array<float>, deleted boolean"
@@ -28,6 +29,9 @@ VECTORS = "text_key string, embedding array<float>, version int, encoder string"
 # Up to so many wanted values are written into the scan's filter; more go through a join.
 LISTED_VALUES = 1000
 
+# Texts and vectors are stored several times on their way; this takes less room than the default.
+COMPRESSION = "zstd"
+
 Layout = dict[int, list[int]]
 
 
@@ -71,7 +75,7 @@ def _merged(spark: SparkSession, path: str, buckets: Layout) -> DataFrame:
     """The newest row of every chunk of the buckets, marks of removed ones included.
 
     Later versions name the chunks they replace; only these names meet the other rows, and
-    only where a bucket has several versions.
+    only where a bucket has several versions.  Rows that a map of the names does not hold are not moved.
     """
 
     def read(folders: list[str]) -> DataFrame:
@@ -86,7 +90,9 @@ def _merged(spark: SparkSession, path: str, buckets: Layout) -> DataFrame:
         F.col("deal_bucket").alias("in_bucket"), F.col("chunk_id").alias("named"), F.col("version").alias("by_version")
     )
     replaced = (F.col("deal_bucket") == F.col("in_bucket")) & (F.col("chunk_id") == F.col("named"))
-    return rows.join(newer, replaced & (F.col("by_version") > F.col("version")), "left_anti")
+    told = may_hold(rows, newer.select(F.col("named").alias("chunk_id")), "chunk_id", "named_later")
+    asked = told.filter("named_later").join(newer, replaced & (F.col("by_version") > F.col("version")), "left_anti")
+    return told.filter("NOT named_later").unionByName(asked).drop("named_later")
 
 
 def read_corpus(spark: SparkSession, path: str, deals: DataFrame | None = None) -> DataFrame | None:
@@ -116,7 +122,7 @@ def with_values(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
     few = [r[0] for r in values.limit(LISTED_VALUES + 1).collect()]
     if len(few) <= LISTED_VALUES:
         return rows.filter(F.col(column).isin(few))
-    return rows.join(values, column, "left_semi")
+    return may_hold(rows, values, column, "asked").filter("asked").drop("asked").join(values, column, "left_semi")
 
 
 def read_vectors(spark: SparkSession, path: str, encoder: str, before: int, wanted: DataFrame) -> DataFrame:
@@ -163,7 +169,7 @@ def update_corpus(
     finished = manifests(spark, path)
     number = finished[-1] + 1 if finished else 1
     work = f"{path}/work"
-    changed = write_table(changed_chunks(spark, path, chunks, encoder), f"{work}/changed")
+    changed = write_table(changed_chunks(spark, path, chunks, encoder), f"{work}/changed", compression=COMPRESSION)
     written = changed.count()
     if not written:
         remove(spark, work)
@@ -171,14 +177,16 @@ def update_corpus(
 
     texts = changed.groupBy("text_key").agg(F.first("document").alias("document"))
     have = read_vectors(spark, path, encoder, number, changed)
-    missing = write_table(texts.join(have.select("text_key"), "text_key", "left_anti"), f"{work}/missing")
-    embedded = missing.count()
+    missing = texts.join(have.select("text_key"), "text_key", "left_anti")
     target = f"{path}/vectors/version={number}"
     remove(spark, target)  # of a run that failed
-    if embedded:
-        made = embed(missing).select("text_key", "embedding", F.lit(encoder).alias("encoder"))
-        # With a bloom filter a few wanted keys open few row groups.
-        made.write.option("parquet.bloom.filter.enabled#text_key", "true").partitionBy("encoder").parquet(target)
+    made = embed(missing).select("text_key", "embedding", F.lit(encoder).alias("encoder"))
+    # With a bloom filter a few wanted keys open few row groups.
+    writer = made.write.option("parquet.bloom.filter.enabled#text_key", "true").option("compression", COMPRESSION)
+    writer.partitionBy("encoder").parquet(target)
+    embedded = spark.read.schema(VECTORS).parquet(target).count()
+    if not embedded:
+        remove(spark, target)
 
     vectors = read_vectors(spark, path, encoder, number + 1, changed)
     full = changed.join(vectors, "text_key").select(
@@ -196,7 +204,7 @@ def update_corpus(
 def _write_version(rows: DataFrame, path: str, number: int, buckets: Layout, keep: bool) -> None:
     """Writes a version and its manifest; ``keep`` puts it on top of the versions of its buckets, else in their place."""
     spark, folder = rows.sparkSession, f"{path}/data/version={number}"
-    write_table(rows, folder, ["deal_bucket"])
+    write_table(rows, folder, ["deal_bucket"], COMPRESSION)
     touched = [int(f.rsplit("=", 1)[1]) for f in _glob(spark, f"{folder}/deal_bucket=*")]
     _publish(spark, path, number, buckets | {b: [*(buckets.get(b, []) if keep else []), number] for b in touched})
 

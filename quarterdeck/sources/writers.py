@@ -13,7 +13,7 @@ ROWS_PER_FILE = 5_000_000
 CORPUS_BUCKETS = 256
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
+def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), compression: str | None = None) -> DataFrame:
     """Replaces the table and returns it read back, so later steps start from storage.
 
     Rows of one partition value are brought together first, so that not every task
@@ -23,6 +23,8 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> D
     writer = rows.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if compression:
+        writer = writer.option("compression", compression)
     writer.parquet(path)
     return df.sparkSession.read.parquet(path)
 

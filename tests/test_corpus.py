@@ -162,3 +162,20 @@ def test_own_encoder_needs_a_name(spark, no_mail, path):
     turns = spark.createDataFrame([("D", "x", 0)], TURN)
     with pytest.raises(ValueError, match="needs a name"):
         jobs.index_corpus(turns, no_mail, path, encoder=lambda: lambda texts: [[1.0] for _ in texts])
+
+
+def test_rows_that_no_later_version_names_are_not_moved(spark, path):
+    _, embed = counting(spark)
+    first = spark.createDataFrame([(f"c{i}", f"D{i % 3}", f"text {i}") for i in range(300)], CHUNK)
+    corpus.update_corpus(first, path, embed, "e")
+    corpus.update_corpus(spark.createDataFrame([("c7", "D1", "new"), ("c8", "D2", None)], CHUNK), path, embed, "e")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = corpus.read_corpus(spark, path)
+        texts = {r.chunk_id: r.document for r in found.collect()}
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert texts == {f"c{i}": f"text {i}" for i in range(300)} | {"c7": "new", "c8": None}
+    # The join is asked for flagged rows alone, all others are read beside it.
+    assert plan.count("Join LeftAnti") == 1 and "Union" in plan and "bitmap_construct_agg" in plan

@@ -88,3 +88,17 @@ def test_head_per_group_limits_before_the_shuffle(spark, rows):
     plan = first._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
     assert rows(first.filter("key = 'hot'"), "ordinal", "rank") == [(0, 1), (3, 2)]
+
+
+def test_positions_move_rows_once(spark):
+    rows = spark.createDataFrame([(g, i, "text") for g in ("a", None) for i in [*range(40), None]], "g string, i long, body string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        placed = positions(rows, ["g"], ordinal_blocks("i"), ["i"])
+        plan = placed._jdf.queryExecution().executedPlan().toString()
+        found = {(r.g, r.i): r.position for r in placed.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found == {(g, i): 0 if i is None else i + 1 for g in ("a", None) for i in [*range(40), None]}
+    # One shuffle of the rows, for the window and the join, and one of the counts.
+    assert plan.count("Exchange hashpartitioning(_place") == 2
