@@ -100,19 +100,16 @@ class WordTokenizer:
             self.words, self.pieces, self.chars = {}, {}, 0
 
     def _know_pieces(self, wanted: Iterable[str]) -> None:
-        """Ids of pieces: one call of the model for each that is new, packed together."""
+        """Ids of pieces: one call of the model for each that is new."""
         pieces, old = self.pieces, self.old_pieces
-        new = [p for p in dict.fromkeys(wanted) if p not in pieces]
+        new = set(wanted).difference(pieces)
         if old:
-            pieces.update((p, old[p]) for p in new if p in old)
-            new = [p for p in new if p not in old]
-        found = list(map(self.tokenizer.model.tokenize, new))
-        packed = np.array([t.id for tokens in found for t in tokens], "<u4").tobytes()
-        start = 0
-        for piece, tokens in zip(new, found):
-            end = start + 4 * len(tokens)
-            pieces[piece] = packed[start:end]
-            start = end
+            # The difference looks up what is new; an intersection with a dict would walk through the dict.
+            unknown = new.difference(old)
+            pieces.update((p, old[p]) for p in new - unknown)
+            new = unknown
+        tokenize = self.tokenizer.model.tokenize
+        pieces.update((p, b"".join([t.id.to_bytes(4, "little") for t in tokenize(p)])) for p in new)
 
     def _learn_plain(self, words: list[str], stems: list[str]) -> None:
         """Words of ASCII letters (``stems``) with marks behind them or none."""
@@ -157,11 +154,11 @@ class WordTokenizer:
                 continue
             self._turn_if_full()
             words = text.split()
-            found = list(map(self.words.get, words))
-            if None in found:
-                self._learn(list({w: None for w, ids in zip(words, found) if ids is None}))
-                found = map(self.words.__getitem__, words)
-            yield b"".join(found)
+            # Repeated words meet the large table once before the ids are joined.
+            new = set(words).difference(self.words)
+            if new:
+                self._learn(list(new))
+            yield b"".join(map(self.words.__getitem__, words))
 
 
 @functools.lru_cache(maxsize=2)
