@@ -45,7 +45,7 @@ class WordTokenizer:
     library has it by default; without, it is ordinary text.
     """
 
-    def __init__(self, path: str, cache_words: int = 1_000_000, cache_chars: int = 12 << 20, special_tokens: bool = False):
+    def __init__(self, path: str, cache_words: int = 600_000, cache_chars: int = 8 << 20, special_tokens: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
