@@ -171,11 +171,15 @@ def top_k(
 
     queries = vectors.filter(is_query)
     groups = queries.count() // QUERY_ROWS + 1
-    grouped = queries.groupBy(F.pmod(F.xxhash64("id", "v"), F.lit(groups)).alias("group"))
-    gathered = grouped.agg(F.collect_list(F.struct("id", "v")).alias("queries"))
+    grouped = queries.withColumn("group", F.pmod(F.xxhash64("id", "v"), F.lit(groups))).repartition(groups, "group")
+    gathered = grouped.groupBy("group").agg(F.collect_list(F.struct("id", "v")).alias("queries"))
     # The stated queries go to every slot of the index; rows never meet rows one by one.
     spread = gathered.select("queries", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot"))
-    met = index.join(spread, "slot").select(
+    # Spark's size check counts the queries once and not once for each slot: unless told so, it may
+    # gather them all in the driver to broadcast them.  A slot's search is long for its few bytes, so
+    # the number of partitions is stated and small ones are not merged.
+    apart, asking = (side.repartition(slots, "slot") for side in (index, spread))
+    met = apart.join(asking.hint("merge"), "slot").select(
         "ids", "low", "slices", F.col("queries.id").alias("q_ids"), F.col("queries.v").alias("q")
     )
     found = met.mapInArrow(_search(k), "query_id bigint, vec_id bigint, score bigint")

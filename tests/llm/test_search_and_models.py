@@ -65,6 +65,17 @@ def test_few_rows_and_none(spark):
     assert bit_slices.top_k(empty, F.col("id") == 0).count() == 0
 
 
+def test_queries_for_all_slots_are_not_gathered_in_the_driver(spark):
+    draw = random.Random(3)
+    rows = [(i, [draw.uniform(-1, 1) for _ in range(4)], "x") for i in range(400)]
+    df = spark.createDataFrame(rows, VECTORS).repartition(3)
+    top = bit_slices.top_k(df, F.col("id") % 10 == 0, k=3, block_rows=8)
+    assert sorted(tuple(r) for r in top.collect()) == plain_top_k(rows, 3, lambda i: i % 10 == 0)
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan and "SortMergeJoin" in plan
+    assert "BroadcastExchange" not in plan.split("Initial Plan")[0]
+
+
 def test_adder():
     draw = np.random.default_rng(2)
     stack = {0: draw.integers(0, 2, (5, 64)), 1: draw.integers(0, 2, (9, 64)), 3: draw.integers(0, 2, (2, 64))}
